@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def digits(number: Column, width: int) -> Column:
+    """Zero-padded whole number; one wider than ``width`` keeps all its digits."""
+    text = number.cast("bigint").cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def padded(prefix: str, number: Column, width: int) -> Column:
-    """prefix + zero-padded number; a number wider than ``width`` keeps all its digits."""
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    return F.concat(F.lit(prefix), digits(number, width))
 
 
 def store_key(region: Column, number: Column) -> Column:
-    return F.format_string("IT-%s-%03d", region, number.cast("bigint"))
+    return F.concat(F.lit("IT-"), region, F.lit("-"), digits(number, 3))
 
 
 def product_key(number: Column) -> Column:
@@ -27,4 +32,4 @@ def order_key(number: Column) -> Column:
 
 
 def time_of_day(hour: Column, minute: Column) -> Column:
-    return F.format_string("%02d:%02d:00", hour.cast("int"), minute.cast("int"))
+    return F.concat(digits(hour, 2), F.lit(":"), digits(minute, 2), F.lit(":00"))

@@ -14,13 +14,30 @@ from pyspark.sql import Column, functions as F
 LANES = 4
 
 
+def _digest(seed: int, stream: str, row_id: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), row_id.cast("string")))
+
+
+def _unit(hex_digits: Column) -> Column:
+    # The digits are never NULL; saying so keeps Spark from testing them in an extra filter.
+    whole = F.coalesce(F.conv(hex_digits, 16, 10).cast("bigint"), F.lit(0))
+    return (whole + F.lit(0.5)) / F.lit(4294967296.0)
+
+
 def uniform(seed: int, stream: str, row_id: Column, lane: int = 0) -> Column:
     """Uniform in (0, 1) from eight hex digits of a digest."""
     if not 0 <= lane < LANES:
         raise ValueError(f"lane must be below {LANES}")
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), row_id.cast("string")))
-    whole = F.conv(F.substring(digest, 1 + 8 * lane, 8), 16, 10).cast("bigint")
-    return (whole + F.lit(0.5)) / F.lit(4294967296.0)
+    return _unit(F.substring(_digest(seed, stream, row_id), 1 + 8 * lane, 8))
+
+
+def uniforms(seed: int, stream: str, row_id: Column, k: Column, most: int) -> Column:
+    """Array of k independent uniforms (k up to ``most``); number i is lane i % 4 of digest i / 4."""
+    digests = [
+        F.when(k > LANES * i, _digest(seed, f"{stream}-{i}", row_id)) for i in range(-(-most // LANES))
+    ]
+    pieces = F.regexp_extract_all(F.concat_ws("", *digests), F.lit("[0-9a-f]{8}"), F.lit(0))
+    return F.transform(F.slice(pieces, 1, k.cast("int")), _unit)
 
 
 def uniform_index(u: Column, n: Column | int) -> Column:
@@ -39,13 +56,16 @@ def bernoulli(u: Column, probability: float, value: Column) -> Column:
 
 
 def weighted_choice(u: Column, values: Sequence, weights: Sequence[float]) -> Column:
-    """One of a short fixed list, by cumulative weight."""
-    total, running, chain = float(sum(weights)), 0.0, None
-    for value, weight in list(zip(values, weights))[:-1]:
+    """One of a short fixed list, by cumulative weight.
+
+    The position is the number of bounds reached: all bounds test the same uniform, which Spark
+    then computes once (in a CASE each branch would compute it again).
+    """
+    total, running, position = float(sum(weights)), 0.0, F.lit(1)
+    for weight in weights[:-1]:
         running += weight
-        below = u < running / total
-        chain = F.when(below, F.lit(value)) if chain is None else chain.when(below, F.lit(value))
-    return F.lit(values[-1]) if chain is None else chain.otherwise(F.lit(values[-1]))
+        position = position + (u >= running / total).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), position)
 
 
 def normal(u1: Column, u2: Column, mean: float, deviation: float) -> Column:
@@ -69,19 +89,16 @@ def redrawn_date(u_first: Column, u_test: Column, u_again: Column, coefficients:
     return F.when(u_test > share, uniform_date(u_again, first, last)).otherwise(day)
 
 
-def sample_positions(n: Column, k: Column, draw) -> Column:
+def sample_positions(n: Column, k: Column, draws: Column) -> Column:
     """Array of k different positions in 0 .. n-1, every subset equally likely.
 
-    Floyd's method: step j picks from 0 .. j and takes j itself when the pick is already in the
-    set. It needs k draws and no shuffle; ``draw(j)`` gives the uniform of step j. Asking for
-    more than n positions gives all of them.
+    Floyd's method: step i looks at j = n-k+i, picks from 0 .. j and takes j itself when the pick
+    is already in the set. ``draws`` is an array of k uniforms, ``k`` at most ``n``; no shuffle.
     """
-    k = F.least(k, n)
 
-    def step(taken: Column, j: Column) -> Column:
-        pick = F.floor(draw(j) * (j + 1)).cast("bigint")
+    def step(taken: Column, u: Column) -> Column:
+        j = (n - k + F.size(taken)).cast("bigint")
+        pick = uniform_index(u, j + 1)
         return F.concat(taken, F.array(F.when(F.array_contains(taken, pick), j).otherwise(pick)))
 
-    steps = F.sequence((n - k).cast("bigint"), (n - 1).cast("bigint"))
-    empty = F.array().cast("array<bigint>")
-    return F.when(k > 0, F.aggregate(steps, empty, step)).otherwise(empty)
+    return F.aggregate(draws, F.array().cast("array<bigint>"), step)

@@ -24,10 +24,10 @@ def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame
     changes = (
         F.when(a.isNull(), F.array(image(b, INSERT)))
         .when(b.isNull(), F.array(image(a, DELETE)))
-        .when(~a.eqNullSafe(b), F.array(image(a, BEFORE), image(b, AFTER)))
+        .otherwise(F.array(image(a, BEFORE), image(b, AFTER)))
     )
-    pairs = left.join(right, list(key), "full_outer")
-    return pairs.select(F.explode(changes).alias("_c")).select("_c.*")
+    changed = left.join(right, list(key), "full_outer").filter(~a.eqNullSafe(b))
+    return changed.select(F.explode_outer(changes).alias("_c")).select("_c.*")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:

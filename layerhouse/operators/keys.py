@@ -23,7 +23,8 @@ def _bucketed(df: DataFrame, key: Sequence[str], digits: int) -> DataFrame:
         raise ValueError(f"digits must be 1 to {MAX_DIGITS}")
     digest = df.withColumn("_digest", _digest(key))
     bucket = F.conv(F.substring("_digest", 1, digits), 16, 10).cast("int")
-    return digest.withColumn("_bucket", bucket)
+    # Never NULL: said here, so that joining on it adds no filter that hashes every key again.
+    return digest.withColumn("_bucket", F.coalesce(bucket, F.lit(0)))
 
 
 def dense_position(df: DataFrame, key: Sequence[str], name: str, within: Sequence[str] = (),
@@ -54,12 +55,6 @@ def dense_keys(df: DataFrame, key: Sequence[str], name: str, after: int = 0, dig
     return dense_position(df, key, name, digits=digits).withColumn(name, F.col(name) + 1 + F.lit(after))
 
 
-def strided_key(key: Sequence[str], digits: int = 2) -> tuple[Column, Column]:
-    """(bucket, order) columns for numbering by stride, see ``strided_keys``."""
-    digest = _digest(key)
-    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("int"), digest
-
-
 def strided_keys(df: DataFrame, key: Sequence[str], name: str, after: Column | int = 0,
                  digits: int = 2) -> DataFrame:
     """Unique surrogate keys in one pass and one shuffle; they may have gaps.

@@ -11,34 +11,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def with_previous(df: DataFrame, key: Sequence[str], chunk: str | None, order: Sequence[str],
-                  columns: Sequence[str], name: str) -> DataFrame:
-    """Struct of ``columns`` from the row before, NULL on the first row of a key."""
-    return _with_neighbour(df, key, chunk, order, columns, name, forward=False)
+                  columns: Sequence[str | Column], name: str, last: str) -> DataFrame:
+    """Adds the struct of ``columns`` from the row before (NULL on a key's first row) as ``name``,
+    and whether the row is the key's last as ``last``."""
+    values = F.struct(*columns)
+    if chunk is None:
+        window = Window.partitionBy(*key).orderBy(*order)
+        return df.withColumns({name: F.lag(values).over(window), last: F.lead(F.lit(1)).over(window).isNull()})
+    window = Window.partitionBy(*key, chunk).orderBy(*order)
+    inner = df.withColumns({name: F.lag(values).over(window), last: F.lead(F.lit(1)).over(window).isNull()})
+    chunks = Window.partitionBy(*key).orderBy(chunk)
+    borders = (
+        df.groupBy(*key, chunk)
+        .agg(F.max_by(values, F.struct(*order)).alias("_border"))
+        .select(
+            *key, chunk, F.lag("_border").over(chunks).alias("_carried"),
+            F.lead(F.lit(1)).over(chunks).isNull().alias("_final"),
+        )
+    )
+    return (
+        inner.join(borders, [*key, chunk])
+        .withColumns({name: F.coalesce(F.col(name), F.col("_carried")), last: F.col(last) & F.col("_final")})
+        .drop("_carried", "_final")
+    )
 
 
 def with_next(df: DataFrame, key: Sequence[str], chunk: str | None, order: Sequence[str],
-              columns: Sequence[str], name: str) -> DataFrame:
-    """Struct of ``columns`` from the row after, NULL on the last row of a key."""
-    return _with_neighbour(df, key, chunk, order, columns, name, forward=True)
-
-
-def _with_neighbour(df, key, chunk, order, columns, name, forward):
-    values, position = F.struct(*columns), F.struct(*order)
-    shift = F.lead if forward else F.lag
-    border = F.min_by if forward else F.max_by
+              columns: Sequence[str | Column], name: str) -> DataFrame:
+    """Adds the struct of ``columns`` from the row after, NULL on the last row of a key."""
+    values = F.struct(*columns)
     if chunk is None:
-        return df.withColumn(name, shift(values).over(Window.partitionBy(*key).orderBy(*order)))
-    inner = df.withColumn(name, shift(values).over(Window.partitionBy(*key, chunk).orderBy(*order)))
-    summary = df.groupBy(*key, chunk).agg(border(values, position).alias("_border"))
-    carried = summary.select(
-        *key, chunk, shift("_border").over(Window.partitionBy(*key).orderBy(chunk)).alias("_carried")
+        return df.withColumn(name, F.lead(values).over(Window.partitionBy(*key).orderBy(*order)))
+    inner = df.withColumn(name, F.lead(values).over(Window.partitionBy(*key, chunk).orderBy(*order)))
+    chunks = Window.partitionBy(*key).orderBy(chunk)
+    borders = (
+        df.groupBy(*key, chunk)
+        .agg(F.min_by(values, F.struct(*order)).alias("_border"))
+        .select(*key, chunk, F.lead("_border").over(chunks).alias("_carried"))
     )
     return (
-        inner.join(carried, [*key, chunk], "left")
+        inner.join(borders, [*key, chunk])
         .withColumn(name, F.coalesce(F.col(name), F.col("_carried")))
         .drop("_carried")
     )

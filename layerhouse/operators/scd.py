@@ -124,7 +124,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: st
         .when(cur[HASH] != new[HASH], F.array(ended, opened))
         .otherwise(F.array(_version(cur, spec, {})))
     )
-    touched = pairs.select(F.explode(versions).alias("_v")).select("_v.*")
+    # No array is empty; the outer form spares the filter that would build each of them twice.
+    touched = pairs.select(F.explode_outer(versions).alias("_v")).select("_v.*")
     return closed.unionByName(touched)
 
 
@@ -188,25 +189,26 @@ def scd2_history(log: DataFrame, spec: Scd2Spec, batch: str | tuple[str, ...],
     """
     order = (batch,) if isinstance(batch, str) else tuple(batch)
     log = with_hash(log, spec)
-    seen = with_previous(log, spec.key, chunk, order, [HASH, *spec.overwrite], "_prev")
-    starts = seen.filter(F.col("_prev").isNull() | (F.col("_prev")[HASH] != F.col(HASH)))
-    # The row before the next start is the last of this version: it holds the overwrite values.
-    starts = starts.withColumn("_end", F.col(order[0]))
-    versions = with_next(starts, spec.key, chunk, order, ["_end", "_prev"], "_next")
-    latest = log.groupBy(*spec.key).agg(
-        F.max_by(F.struct(HASH, *spec.overwrite), F.struct(*order)).alias("_latest")
-    )
-    final = F.coalesce(F.col("_next")["_prev"], F.col("_latest"))
-    result = versions.join(latest, list(spec.key)) if spec.overwrite else versions
-    return result.select(
+    seen = with_previous(log, spec.key, chunk, order, [HASH, *spec.overwrite], "_prev", "_last")
+    starts = F.col("_prev").isNull() | (F.col("_prev")[HASH] != F.col(HASH))
+    # A version ends before the next start, or at the last row of its key: that row holds the
+    # final overwrite values, all rows between are not needed any more.
+    kept = seen.withColumn("_start", starts).filter(F.col("_start") | F.col("_last"))
+    own = F.struct(F.col(HASH), *spec.overwrite).alias("_own")
+    follower = ["_start", F.col(order[0]).alias("_from"), "_prev", own]
+    versions = with_next(kept, spec.key, chunk, order, follower, "_next").filter(F.col("_start"))
+    after = F.col("_next")
+    ended = F.coalesce(after["_start"], F.lit(False))
+    final = F.when(after.isNull(), F.struct(F.col(HASH), *spec.overwrite)).when(ended, after["_prev"]).otherwise(after["_own"])
+    return versions.select(
         *spec.key,
-        *[F.col(c) for c in spec.tracked],
+        *spec.tracked,
         *[final[c].alias(c) for c in spec.overwrite],
-        *[F.col(c) for c in spec.carried],
+        *spec.carried,
         F.col(order[0]).alias(VALID_FROM),
-        F.col("_next")["_end"].alias(VALID_TO),
-        F.col("_next").isNull().alias(IS_CURRENT),
-        F.col(HASH),
+        F.when(ended, after["_from"]).alias(VALID_TO),
+        (~ended).alias(IS_CURRENT),
+        HASH,
     )
 
 

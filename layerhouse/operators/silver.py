@@ -39,7 +39,8 @@ def cast_rejects(df: DataFrame, key: Sequence[str], types: Mapping[str, str]) ->
         for c, t in types.items()
     ])
     return (
-        df.select(*key, F.explode(F.array_compact(found)).alias("_reject"))
+        df.select(*key, F.explode(found).alias("_reject"))
+        .filter(F.col("_reject").isNotNull())
         .select(*key, "_reject.column_name", "_reject.target_type", "_reject.raw_value")
     )
 

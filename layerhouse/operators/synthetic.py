@@ -91,12 +91,15 @@ def order_lines(orders: DataFrame, order: str, products: DataFrame, product: str
     """
     numbered = dense_position(products.select(product, price), [product], "_position")
     size = products.agg(F.count(F.lit(1)).alias("_n"))
-    draws = lambda j: rv.uniform(seed, "sample", F.concat_ws("-", F.col(order).cast("string"), j.cast("string")))
+    wanted = F.least(lines_per_order(seed, F.col(order)).cast("bigint"), F.col("_n"))
     picked = (
         orders.select(order)
         .crossJoin(F.broadcast(size))
-        .select(order, rv.sample_positions(F.col("_n"), lines_per_order(seed, F.col(order)), draws).alias("_p"))
-        .select(order, F.posexplode("_p").alias("_slot", "_position"))
+        .select(order, "_n", wanted.alias("_k"))
+        .select(order, rv.sample_positions(
+            F.col("_n"), F.col("_k"), rv.uniforms(seed, "sample", F.col(order), F.col("_k"), LINES[3])).alias("_p"))
+        # The outer form: the plain one adds a filter that computes the whole array twice.
+        .select(order, F.posexplode_outer("_p").alias("_slot", "_position"))
     )
     line_id = F.concat_ws("-", F.col(order).cast("string"), (F.col("_slot") + 1).cast("string"))
     qty = quantity(seed, line_id)

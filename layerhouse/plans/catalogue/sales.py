@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from layerhouse.contracts import FACT_DAILY_SALES
 from layerhouse.functions.dates import date_key, month_start
 from layerhouse.operators import gold, silver
 from layerhouse.plans.catalogue.registry import query, table
 from layerhouse.session import work_dir
+from layerhouse.sources import tables
 
 LINE_KEY = ("order_id", "line_num")
 
@@ -117,7 +119,7 @@ def fact_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole fact written by day, then one year read back: only its directories are opened."""
     path = work_dir(spark, "fact")
     fact = fact_daily_sales(spark, sf_dir)
-    fact.hint("rebalance", "sk_data").write.partitionBy("sk_data").parquet(path)
+    tables.clustered(fact, FACT_DAILY_SALES).write.partitionBy(*FACT_DAILY_SALES.partition_by).parquet(path)
     stored = spark.read.schema(fact.schema).parquet(path)
     return stored.filter(F.col("sk_data").between(19970101, 19971231)).select(*fact.columns)
 

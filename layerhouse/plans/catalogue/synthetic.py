@@ -57,15 +57,15 @@ def synth_seasonal_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT 'TF' AS kind, c_custkey AS number,
-  CASE WHEN {u_sql('card', 'c_custkey')} < 0.7 THEN 'TF-' || lpad(CAST(c_custkey + 1 AS VARCHAR), 6, '0') END AS code,
+  CASE WHEN {u_sql('card', 'c_custkey')} < 0.7 THEN 'TF-' || printf('%06d', c_custkey + 1) END AS code,
   {date_sql(u_sql('registered', 'c_custkey'), '2020-01-01', '2024-12-31')} AS day FROM customer
 UNION ALL
-SELECT 'P', p_partkey, 'P-' || lpad(CAST(p_partkey + 1 AS VARCHAR), 5, '0'), NULL FROM part
+SELECT 'P', p_partkey, 'P-' || printf('%05d', p_partkey + 1), NULL FROM part
 UNION ALL
-SELECT 'ORD', o_orderkey, 'ORD-' || lpad(CAST(o_orderkey + 1 AS VARCHAR), 7, '0'), CAST(o_orderdate AS DATE) FROM orders
+SELECT 'ORD', o_orderkey, 'ORD-' || printf('%07d', o_orderkey + 1), CAST(o_orderdate AS DATE) FROM orders
 UNION ALL
 SELECT 'IT', s_suppkey, 'IT-' || upper(substr(n_name, 1, 2)) || '-' ||
-  lpad(CAST(s_suppkey + 1 AS VARCHAR), greatest(3, length(CAST(s_suppkey + 1 AS VARCHAR))), '0'),
+  printf('%03d', s_suppkey + 1),
   {date_sql(u_sql('opened', 's_suppkey'), '2015-01-01', '2022-06-30')}
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def synth_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,8 @@ def synth_order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "r_name", "s_suppkey", "c_custkey", "ora_ordine")
 
 
-SAMPLE_PICK = "CAST(floor(" + u_sql("sample", "concat_ws('-', order_id, step[1])") + " * (step[1] + 1)) AS BIGINT)"
+SAMPLE_DRAWS = "[" + ", ".join(u_sql(f"sample-{i // 4}", "o_orderkey", i % 4) for i in range(12)) + "]"
+SAMPLE_PICK = "CAST(floor(draws[step[1] - (n - k) + 1] * (step[1] + 1)) AS BIGINT)"
 
 
 @query(f"""WITH products AS (
@@ -155,7 +156,7 @@ SAMPLE_PICK = "CAST(floor(" + u_sql("sample", "concat_ws('-', order_id, step[1])
     row_number() OVER (ORDER BY md5(CAST(p_partkey AS VARCHAR)), p_partkey) - 1 AS pos FROM part),
 wanted AS (
   SELECT o_orderkey AS order_id, least({N_LINES_SQL}, (SELECT count(*) FROM part)) AS k,
-    (SELECT count(*) FROM part) AS n FROM orders),
+    (SELECT count(*) FROM part) AS n, {SAMPLE_DRAWS} AS draws FROM orders),
 drawn AS (
   SELECT order_id, list_reduce(
     list_transform(range(n - k, n), lambda j: [j]),

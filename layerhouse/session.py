@@ -7,24 +7,34 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# UTC keeps timestamps comparable between runs; AQE re-plans joins, merges small
-# shuffle partitions and splits skewed ones from run-time sizes.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# AQE re-plans joins, merges small shuffle partitions and splits skewed ones from run-time sizes.
+# Forced splitting also covers a join whose output partitioning a later step relies on: the
+# extra shuffle is added only when a partition is found to be skewed.
+ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# UTC keeps timestamps comparable between runs.
+SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC"}
+
+
+def adapt(spark: SparkSession) -> SparkSession:
+    """Turns the run-time settings on in a session that someone else has built."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(app: str = "layerhouse", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the settings above; ``extra`` uses ``__`` for dots, or pass a dict via ``**``."""
+    """Session with the settings above and ``**{name: value}`` of further ones."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -46,12 +46,24 @@ def append_batch(df: DataFrame, contract: Contract) -> int:
     return rows.get["n_rows"]
 
 
-def publish(df: DataFrame, contract: Contract, version: str) -> int:
+def clustered(df: DataFrame, contract: Contract, tasks: int | None = None) -> DataFrame:
+    """Rows range-partitioned by the table's partition columns, then the rest of its key.
+
+    A task holds neighbouring table partitions, so each of these ends up in few files, and one
+    very large partition is cut along the key over several tasks. ``tasks`` defaults to the
+    session's number of shuffle partitions.
+    """
+    if not contract.partition_by:
+        return df
+    rest = [k for k in contract.key if k not in contract.partition_by]
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(tasks, *contract.partition_by, *rest)
+
+
+def publish(df: DataFrame, contract: Contract, version: str, tasks: int | None = None) -> int:
     """Replaces the table's content by ``df`` and gives the number of rows written.
 
-    Partitioned tables are rebalanced by their partition columns: small partitions share a
-    task, a very large one is split over several. A version name in use gets a suffix, so a
-    repeated run never overwrites what it reads.
+    A version name in use gets a suffix, so a repeated run never overwrites what it reads.
     """
     if not re.fullmatch(r"[A-Za-z0-9_]+", version):
         raise ValueError(f"version {version!r}: only letters, digits and _")
@@ -61,9 +73,7 @@ def publish(df: DataFrame, contract: Contract, version: str) -> int:
         again += 1
         target = f"{contract.name}__{version}_{again}"
     counted, rows = _observed(conform(df, contract))
-    if contract.partition_by:
-        counted = counted.hint("rebalance", *contract.partition_by)
-    writer = counted.write.mode("errorifexists").format("parquet")
+    writer = clustered(counted, contract, tasks).write.mode("errorifexists").format("parquet")
     if contract.partition_by:
         writer = writer.partitionBy(*contract.partition_by)
     writer.saveAsTable(target)
