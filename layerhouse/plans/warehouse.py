@@ -24,7 +24,7 @@ def ingest_bronze(spark: SparkSession, landing: str, batch_id: str, batch_ts: st
     loaded = {}
     for table, contract in (("ordini", c.BRONZE_ORDERS), ("vendite", c.BRONZE_LINES)):
         raw = bronze.to_bronze(_landing(spark, landing, table), table, batch_id, batch_ts)
-        loaded[contract.name] = tables.append_batch(raw, contract)
+        loaded[contract.name] = tables.append_batch(raw, contract, batch_id)
     return loaded
 
 

@@ -30,19 +30,21 @@ def create_table(spark: SparkSession, contract: Contract) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {contract.name} ({columns}) USING PARQUET{parts}")
 
 
-def append_batch(df: DataFrame, contract: Contract) -> int:
+def append_batch(df: DataFrame, contract: Contract, batch_id: str) -> int:
     """Adds a batch and gives its number of rows, counted while writing.
 
-    The table is partitioned by batch and only the partitions in ``df`` are replaced: new
+    The table is partitioned by batch, and the batch's own partition is named and replaced: new
     batches add up, and writing one batch twice changes nothing.
     """
-    create_table(df.sparkSession, contract)
-    counted, rows = _observed(conform(df, contract))
-    # Partition columns come last in the stored table.
-    last = contract.partition_by
-    ordered = counted.select(*[c for c in contract.columns if c not in last], *last)
-    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(contract.name)
+    spark = df.sparkSession
+    _plain_name(batch_id)
+    create_table(spark, contract)
+    (batch,) = contract.partition_by
+    counted, rows = _observed(conform(df, contract).drop(batch))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {contract.name} PARTITION ({batch} = '{batch_id}') SELECT * FROM {{rows}}",
+        rows=counted,
+    )
     return rows.get["n_rows"]
 
 
@@ -65,15 +67,14 @@ def publish(df: DataFrame, contract: Contract, version: str, tasks: int | None =
 
     A version name in use gets a suffix, so a repeated run never overwrites what it reads.
     """
-    if not re.fullmatch(r"[A-Za-z0-9_]+", version):
-        raise ValueError(f"version {version!r}: only letters, digits and _")
+    _plain_name(version)
     spark = df.sparkSession
     target, again = f"{contract.name}__{version}", 1
     while spark.catalog.tableExists(target):
         again += 1
         target = f"{contract.name}__{version}_{again}"
-    counted, rows = _observed(conform(df, contract))
-    writer = clustered(counted, contract, tasks).write.mode("errorifexists").format("parquet")
+    counted, rows = _observed(clustered(conform(df, contract), contract, tasks))
+    writer = counted.write.mode("errorifexists").format("parquet")
     if contract.partition_by:
         writer = writer.partitionBy(*contract.partition_by)
     writer.saveAsTable(target)
@@ -96,6 +97,13 @@ def drop_old_versions(spark: SparkSession, contract: Contract) -> list[str]:
     return old
 
 
+def _plain_name(text: str) -> None:
+    if not re.fullmatch(r"[A-Za-z0-9_]+", text):
+        raise ValueError(f"{text!r}: only letters, digits and _")
+
+
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Counts rows as they are written. It has to come last: below a range partitioning the
+    sampling pass would count them a second time."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
