@@ -34,5 +34,11 @@ def fiscal_year(day: Column) -> Column:
     return (F.year(day) - F.when(F.month(day) < FISCAL_YEAR_FIRST_MONTH, 1).otherwise(0)).cast("int")
 
 
+def time_slot(ts: Column, minutes: int = 10) -> Column:
+    """Number of the time slot; rises with a timestamp without time zone."""
+    days = F.date_diff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * (1440 // minutes) + F.floor((F.hour(ts) * 60 + F.minute(ts)) / minutes)
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "month")

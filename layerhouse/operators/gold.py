@@ -83,8 +83,8 @@ def dropped_lines(lines: DataFrame, product_dim: DataFrame, store_dim: DataFrame
 
 def with_unknown_member(dim: DataFrame, member: Mapping[str, object], schema: StructType) -> DataFrame:
     """Adds the row that stands for 'not known'; columns it does not name are NULL."""
-    row = tuple(member.get(f.name) for f in schema.fields)
-    sentinel = dim.sparkSession.createDataFrame([row], schema)
+    row = [F.lit(member.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    sentinel = dim.sparkSession.range(1).select(*row)
     return dim.unionByName(sentinel, allowMissingColumns=True)
 
 

@@ -2,7 +2,7 @@
 
 Keys are spread over hash buckets; numbering happens inside a bucket. Keys must be unique in the
 input, which makes buckets even whatever the data looks like. Size ``digits`` so a bucket
-holds at most a few million keys: 2 digits are 256 buckets, 4 are 65,536.
+holds at most a few million keys: 3 digits are 4,096 buckets, 4 are 65,536.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def _bucketed(df: DataFrame, key: Sequence[str], digits: int) -> DataFrame:
 
 
 def dense_position(df: DataFrame, key: Sequence[str], name: str, within: Sequence[str] = (),
-                   digits: int = 2) -> DataFrame:
+                   digits: int = 3) -> DataFrame:
     """Position 0, 1, 2 ... in digest order, restarted for each ``within`` group.
 
     The result does not depend on ``digits``, as buckets are prefixes of the sort order. Bucket
@@ -50,13 +50,13 @@ def dense_position(df: DataFrame, key: Sequence[str], name: str, within: Sequenc
     )
 
 
-def dense_keys(df: DataFrame, key: Sequence[str], name: str, after: int = 0, digits: int = 2) -> DataFrame:
+def dense_keys(df: DataFrame, key: Sequence[str], name: str, after: int = 0, digits: int = 3) -> DataFrame:
     """Gap-free surrogate keys following ``after``; reads the input twice (count, then number)."""
     return dense_position(df, key, name, digits=digits).withColumn(name, F.col(name) + 1 + F.lit(after))
 
 
 def strided_keys(df: DataFrame, key: Sequence[str], name: str, after: Column | int = 0,
-                 digits: int = 2) -> DataFrame:
+                 digits: int = 3) -> DataFrame:
     """Unique surrogate keys in one pass and one shuffle; they may have gaps.
 
     Bucket b of B numbers its rows b+1, b+1+B, b+1+2B and so on, so no bucket has to know the

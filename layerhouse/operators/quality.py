@@ -26,11 +26,11 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_ke
 
 def reconcile(left: DataFrame, left_amount: Column, right: DataFrame, right_amount: Column,
               left_name: str = "tot_brz", right_name: str = "tot_gld") -> DataFrame:
-    """Two totals side by side and their distance; both sides are one row."""
+    """Two totals side by side and their distance, as one row."""
     a = left.agg(F.sum(left_amount).cast("decimal(22,2)").alias(left_name))
-    b = right.agg(F.sum(right_amount).cast("decimal(22,2)").alias(right_name))
+    total = right.agg(F.sum(right_amount).cast("decimal(22,2)"))
     distance = F.abs(F.col(left_name) - F.col(right_name)).cast("decimal(22,2)")
-    return a.crossJoin(b).withColumn("delta", distance)
+    return a.withColumn(right_name, total.scalar()).withColumn("delta", distance)
 
 
 def not_one_current(dim: DataFrame, key: Sequence[str]) -> DataFrame:

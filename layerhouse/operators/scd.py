@@ -133,20 +133,19 @@ def _version(cur: Column, spec: Scd2Spec, changes: dict[str, Column]) -> Column:
     return F.struct(*[changes.get(c, cur[c]).alias(c) for c in spec.columns])
 
 
-def with_surrogates(dim: DataFrame, before: DataFrame, spec: Scd2Spec, digits: int = 2) -> DataFrame:
+def with_surrogates(dim: DataFrame, before: DataFrame, spec: Scd2Spec, digits: int = 3) -> DataFrame:
     """Gives the new versions (surrogate key NULL) keys above the largest one ``before`` the batch.
 
-    Existing rows are never renumbered. The largest key arrives as a one-row join.
+    Existing rows are never renumbered.
     """
     key = spec.surrogate
-    largest = before.agg(F.coalesce(F.max(key), F.lit(0)).alias("_largest"))
+    largest = before.agg(F.coalesce(F.max(key), F.lit(0)))
     old = dim.filter(F.col(key).isNotNull())
-    new = dim.filter(F.col(key).isNull()).drop(key).crossJoin(F.broadcast(largest))
-    new = strided_keys(new, spec.key, key, F.col("_largest"), digits).drop("_largest")
+    new = strided_keys(dim.filter(F.col(key).isNull()).drop(key), spec.key, key, largest.scalar(), digits)
     return old.unionByName(new)
 
 
-def scd2_initial(incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column, digits: int = 2) -> DataFrame:
+def scd2_initial(incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column, digits: int = 3) -> DataFrame:
     """First load of a dimension: every key opens its first version."""
     rows = _incoming(incoming, spec)
     opened = _opened(F.col, spec, _timestamp(batch_ts))

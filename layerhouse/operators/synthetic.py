@@ -77,7 +77,7 @@ def pick_parent(df: DataFrame, u: Column, parent: DataFrame, key: Sequence[str],
     wanted = list(dict.fromkeys([*within, *key, *columns]))
     numbered = dense_position(parent.select(*wanted), key, "_position", within)
     sizes = parent.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
-    sized = df.join(sizes, list(within)) if within else df.crossJoin(F.broadcast(sizes))
+    sized = df.join(sizes, list(within)) if within else df.withColumn("_n", sizes.scalar())
     placed = sized.withColumn("_position", rv.uniform_index(u, F.col("_n"))).drop("_n")
     return placed.join(numbered, [*within, "_position"]).drop("_position")
 
@@ -90,11 +90,10 @@ def order_lines(orders: DataFrame, order: str, products: DataFrame, product: str
     look-up is a join.
     """
     numbered = dense_position(products.select(product, price), [product], "_position")
-    size = products.agg(F.count(F.lit(1)).alias("_n"))
+    size = products.agg(F.count(F.lit(1)))
     wanted = F.least(lines_per_order(seed, F.col(order)).cast("bigint"), F.col("_n"))
     picked = (
-        orders.select(order)
-        .crossJoin(F.broadcast(size))
+        orders.select(order, size.scalar().alias("_n"))
         .select(order, "_n", wanted.alias("_k"))
         .select(order, rv.sample_positions(
             F.col("_n"), F.col("_k"), rv.uniforms(seed, "sample", F.col(order), F.col("_k"), LINES[3])).alias("_p"))

@@ -212,8 +212,8 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH d AS (SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR)) AS digest FROM customer),
-b AS (SELECT *, CAST('0x' || substr(digest, 1, 2) AS BIGINT) AS bucket FROM d)
-SELECT c_custkey, (row_number() OVER (PARTITION BY bucket ORDER BY digest, c_custkey) - 1) * 256 + bucket + 1
+b AS (SELECT *, CAST('0x' || substr(digest, 1, 3) AS BIGINT) AS bucket FROM d)
+SELECT c_custkey, (row_number() OVER (PARTITION BY bucket ORDER BY digest, c_custkey) - 1) * 4096 + bucket + 1
   AS sk_cliente FROM b""")
 def surrogate_keys_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse.contracts import text_schema
+from layerhouse.functions.dates import time_slot
 from layerhouse.functions.hashing import hash_diff
 from layerhouse.operators import calendar_dim, cdf, gold, scd, silver
 from layerhouse.plans.catalogue.registry import query, table
@@ -80,7 +81,7 @@ OPENED = """opened AS (
   WHERE cur.cod_prodotto IS NULL OR cur._hash_diff <> src._hash_diff),
 numbered AS (
   SELECT *, md5(CAST(cod_prodotto AS VARCHAR)) AS digest,
-    CAST('0x' || substr(md5(CAST(cod_prodotto AS VARCHAR)), 1, 2) AS BIGINT) AS bucket FROM opened)"""
+    CAST('0x' || substr(md5(CAST(cod_prodotto AS VARCHAR)), 1, 3) AS BIGINT) AS bucket FROM opened)"""
 
 APPLIED = f"""{DIM}, {INCOMING}, {OPENED}, applied AS (
   SELECT d.sk_prodotto, d.cod_prodotto, d.nome, d.categoria, d.iva_perc,
@@ -93,7 +94,7 @@ APPLIED = f"""{DIM}, {INCOMING}, {OPENED}, applied AS (
   FROM dim d LEFT JOIN src s USING (cod_prodotto)
   UNION ALL
   SELECT (SELECT max(sk_prodotto) FROM dim)
-      + (row_number() OVER (PARTITION BY bucket ORDER BY digest, cod_prodotto) - 1) * 256 + bucket + 1,
+      + (row_number() OVER (PARTITION BY bucket ORDER BY digest, cod_prodotto) - 1) * 4096 + bucket + 1,
     cod_prodotto, nome, categoria, iva_perc, prezzo_unitario, DATE '2024-06-01', NULL, true, _hash_diff
   FROM numbered)"""
 
@@ -111,8 +112,8 @@ def _applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH d AS (SELECT p_partkey AS cod_prodotto, p_name AS nome, p_type AS categoria, p_size AS iva_perc,
   CAST(p_retailprice AS DECIMAL(10,2)) AS prezzo_unitario, md5(CAST(p_partkey AS VARCHAR)) AS digest FROM part),
-b AS (SELECT *, CAST('0x' || substr(digest, 1, 2) AS BIGINT) AS bucket FROM d)
-SELECT (row_number() OVER (PARTITION BY bucket ORDER BY digest, cod_prodotto) - 1) * 256 + bucket + 1 AS sk_prodotto,
+b AS (SELECT *, CAST('0x' || substr(digest, 1, 3) AS BIGINT) AS bucket FROM d)
+SELECT (row_number() OVER (PARTITION BY bucket ORDER BY digest, cod_prodotto) - 1) * 4096 + bucket + 1 AS sk_prodotto,
   cod_prodotto, nome, categoria, iva_perc, prezzo_unitario, DATE '2024-06-01' AS valid_from,
   CAST(NULL AS DATE) AS valid_to, true AS is_current,
   sha256(concat_ws('||', nome, categoria, CAST(iva_perc AS VARCHAR))) AS _hash_diff FROM b""")
@@ -204,11 +205,11 @@ SELECT user_id, event_type, value, props, strftime(valid_from, '%Y-%m-%d %H:%M:%
   lead(valid_from) OVER (PARTITION BY user_id ORDER BY run) IS NULL AS is_current,
   sha256(event_type) AS _hash_diff FROM spans""")
 def scd2_history_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event is a batch of its own; days cut the rows of a busy user into pieces."""
+    """Every event is a batch of its own; ten-minute slots cut the rows of a busy user into pieces."""
     log = table(spark, sf_dir, "events").select(
         "user_id", "ts", "event_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value"), "props",
-        F.col("ts").cast("date").alias("day"))
-    versions = scd.scd2_history(log, EVENT_SPEC, ("ts", "event_id"), chunk="day")
+        time_slot(F.col("ts")).alias("slot"))
+    versions = scd.scd2_history(log, EVENT_SPEC, ("ts", "event_id"), chunk="slot")
     return versions.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("valid_from", "valid_to")}
     )

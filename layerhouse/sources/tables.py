@@ -8,6 +8,7 @@ old version in place.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -65,14 +66,12 @@ def clustered(df: DataFrame, contract: Contract, tasks: int | None = None) -> Da
 def publish(df: DataFrame, contract: Contract, version: str, tasks: int | None = None) -> int:
     """Replaces the table's content by ``df`` and gives the number of rows written.
 
-    A version name in use gets a suffix, so a repeated run never overwrites what it reads.
+    Every call writes to a name of its own: a repeated run never overwrites what it reads, and is
+    not in the way of files that a lost run has left.
     """
     _plain_name(version)
     spark = df.sparkSession
-    target, again = f"{contract.name}__{version}", 1
-    while spark.catalog.tableExists(target):
-        again += 1
-        target = f"{contract.name}__{version}_{again}"
+    target = f"{contract.name}__{version}_{uuid.uuid4().hex[:8]}"
     counted, rows = _observed(clustered(conform(df, contract), contract, tasks))
     writer = counted.write.mode("errorifexists").format("parquet")
     if contract.partition_by:
