@@ -19,9 +19,10 @@ def _digest(seed: int, stream: str, row_id: Column) -> Column:
 
 
 def _unit(hex_digits: Column) -> Column:
-    # The digits are never NULL; saying so keeps Spark from testing them in an extra filter.
+    # Nothing here is NULL, and Spark can see it (a division would count as nullable): so joins on
+    # a value made of this add no filter that computes it once more.
     whole = F.coalesce(F.conv(hex_digits, 16, 10).cast("bigint"), F.lit(0))
-    return (whole + F.lit(0.5)) / F.lit(4294967296.0)
+    return (whole + F.lit(0.5)) * F.lit(2.0 ** -32)
 
 
 def uniform(seed: int, stream: str, row_id: Column, lane: int = 0) -> Column:
@@ -42,7 +43,8 @@ def uniforms(seed: int, stream: str, row_id: Column, k: Column, most: int) -> Co
 
 def uniform_index(u: Column, n: Column | int) -> Column:
     """Whole number in 0 .. n-1."""
-    return F.floor(u * (F.lit(n) if isinstance(n, int) else n)).cast("bigint")
+    scaled = F.floor(u * (F.lit(n) if isinstance(n, int) else n)).cast("bigint")
+    return F.coalesce(scaled, F.lit(0))
 
 
 def uniform_date(u: Column, first: str, last: str) -> Column:

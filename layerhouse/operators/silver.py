@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,17 +30,19 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
 
 def cast_rejects(df: DataFrame, key: Sequence[str], types: Mapping[str, str]) -> DataFrame:
-    """One row per value that ``apply_types`` turns into NULL, with column, target type and text."""
+    """One row per value that ``apply_types`` turns into NULL, with column, target type and text.
+
+    Sound rows are filtered out before anything is built for them.
+    """
+    bad = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()}
     found = F.array(*[
-        F.when(
-            F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
-            F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("target_type"),
-                     F.col(c).cast("string").alias("raw_value")),
-        )
+        F.when(bad[c], F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("target_type"),
+                                F.col(c).cast("string").alias("raw_value")))
         for c, t in types.items()
     ])
     return (
-        df.select(*key, F.explode(found).alias("_reject"))
+        df.filter(reduce(Column.__or__, bad.values()))
+        .select(*key, F.explode(found).alias("_reject"))
         .filter(F.col("_reject").isNotNull())
         .select(*key, "_reject.column_name", "_reject.target_type", "_reject.raw_value")
     )

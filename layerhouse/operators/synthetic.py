@@ -77,7 +77,7 @@ def pick_parent(df: DataFrame, u: Column, parent: DataFrame, key: Sequence[str],
     wanted = list(dict.fromkeys([*within, *key, *columns]))
     numbered = dense_position(parent.select(*wanted), key, "_position", within)
     sizes = parent.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
-    sized = df.join(sizes, list(within)) if within else df.withColumn("_n", sizes.scalar())
+    sized = df.join(sizes, list(within)) if within else df.withColumn("_n", F.coalesce(sizes.scalar(), F.lit(0)))
     placed = sized.withColumn("_position", rv.uniform_index(u, F.col("_n"))).drop("_n")
     return placed.join(numbered, [*within, "_position"]).drop("_position")
 

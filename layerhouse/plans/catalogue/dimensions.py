@@ -153,6 +153,51 @@ def gold_dim_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.publish_current(_applied(spark, sf_dir))
 
 
+STORE_SPEC = scd.Scd2Spec(key=("pos_id",), tracked=("cluster", "regione"), overwrite=("saldo",),
+                          carried=("nome",), null_safe_hash=True)
+
+
+@query("""WITH first AS (
+  SELECT s_suppkey AS pos_id, nullif(r_name, 'ASIA') AS cluster, n_name AS regione,
+    CAST(s_acctbal AS DECIMAL(10,2)) AS saldo, s_name AS nome
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+hashed AS (SELECT *, sha256(concat_ws('||',
+    coalesce(CAST(length(cluster) AS VARCHAR) || ':' || cluster, '-'),
+    coalesce(CAST(length(regione) AS VARCHAR) || ':' || regione, '-'))) AS _hash_diff FROM first),
+second AS (SELECT *, sha256(concat_ws('||',
+    coalesce(CAST(length(cluster) AS VARCHAR) || ':' || cluster, '-'),
+    coalesce(CAST(length(regione) AS VARCHAR) || ':' || regione, '-'))) AS _hash_diff FROM (
+  SELECT pos_id, CASE WHEN saldo < 0 THEN 'chiuso' ELSE cluster END AS cluster, regione,
+    CAST(saldo + 10 AS DECIMAL(10,2)) AS saldo, upper(nome) AS nome FROM first) s)
+SELECT a.pos_id, a.cluster, a.regione, CASE WHEN a._hash_diff = b._hash_diff THEN b.saldo ELSE a.saldo END AS saldo,
+  a.nome, DATE '2024-01-01' AS valid_from, CASE WHEN a._hash_diff <> b._hash_diff THEN DATE '2024-06-01' END AS valid_to,
+  a._hash_diff = b._hash_diff AS is_current, a._hash_diff
+FROM hashed a JOIN second b USING (pos_id)
+UNION ALL
+SELECT b.pos_id, b.cluster, b.regione, b.saldo, b.nome, DATE '2024-06-01', NULL, true, b._hash_diff
+FROM hashed a JOIN second b USING (pos_id) WHERE a._hash_diff <> b._hash_diff""")
+def scd2_apply_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores with a name that each version keeps from its opening; indebted ones change cluster."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    first = (
+        table(spark, sf_dir, "supplier")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("s_suppkey").alias("pos_id"), F.nullif("r_name", F.lit("ASIA")).alias("cluster"),
+            F.col("n_name").alias("regione"), F.col("s_acctbal").cast("decimal(10,2)").alias("saldo"),
+            F.col("s_name").alias("nome"),
+        )
+    )
+    second = first.withColumns({
+        "cluster": F.when(F.col("saldo") < 0, "chiuso").otherwise(F.col("cluster")),
+        "saldo": (F.col("saldo") + 10).cast("decimal(10,2)"),
+        "nome": F.upper("nome"),
+    })
+    opened = scd.scd2_initial(first, STORE_SPEC, "2024-01-01 00:00:00")
+    return _with_dates(scd.scd2_apply(opened, second, STORE_SPEC, BATCH_TS))
+
+
 EVENT_SPEC = scd.Scd2Spec(key=("user_id",), tracked=("event_type",), overwrite=("value",), carried=("props",))
 
 
