@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit ... -m layerhouse <step> --landing <folder>``.
+"""Command line: ``python -m layerhouse <step> --landing <folder>``.
 
 Steps: generate, bronze, silver, dimensions, gold, run (all four), check. Tables live in the
 session's catalogue, so separate calls need a persistent one.

@@ -67,3 +67,17 @@ def strided_keys(df: DataFrame, key: Sequence[str], name: str, after: Column | i
     start = F.lit(after) if isinstance(after, int) else after
     value = start + (rank - 1).cast("bigint") * (16 ** digits) + F.col("_bucket") + 1
     return rows.withColumn(name, value.cast("bigint")).drop("_digest", "_bucket")
+
+
+def number_missing(df: DataFrame, key: Sequence[str], name: str, before: DataFrame, digits: int = 3) -> DataFrame:
+    """Rows without a surrogate key get one above the largest in ``before``; the others keep theirs."""
+    largest = before.agg(F.coalesce(F.max(name), F.lit(0)))
+    old = df.filter(F.col(name).isNotNull())
+    new = strided_keys(df.filter(F.col(name).isNull()).drop(name), key, name, largest.scalar(), digits)
+    return old.unionByName(new)
+
+
+def keep_keys(df: DataFrame, before: DataFrame, key: Sequence[str], name: str, digits: int = 3) -> DataFrame:
+    """Rows known ``before`` keep their surrogate key, new ones are numbered after the largest."""
+    known = df.join(before.select(*key, name), list(key), "left")
+    return number_missing(known, key, name, before, digits)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layerhouse.functions.hashing import hash_diff
-from layerhouse.operators.keys import strided_keys
+from layerhouse.operators.keys import number_missing, strided_keys
 from layerhouse.operators.neighbours import with_next, with_previous
 
 VALID_FROM, VALID_TO, IS_CURRENT, HASH = "valid_from", "valid_to", "is_current", "_hash_diff"
@@ -138,11 +138,7 @@ def with_surrogates(dim: DataFrame, before: DataFrame, spec: Scd2Spec, digits: i
 
     Existing rows are never renumbered.
     """
-    key = spec.surrogate
-    largest = before.agg(F.coalesce(F.max(key), F.lit(0)))
-    old = dim.filter(F.col(key).isNotNull())
-    new = strided_keys(dim.filter(F.col(key).isNull()).drop(key), spec.key, key, largest.scalar(), digits)
-    return old.unionByName(new)
+    return number_missing(dim, spec.key, spec.surrogate, before, digits)
 
 
 def scd2_initial(incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column, digits: int = 3) -> DataFrame:

@@ -220,6 +220,21 @@ def surrogate_keys_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.strided_keys(customers, ["c_custkey"], "sk_cliente")
 
 
+@query("""WITH d AS (SELECT c_custkey, c_acctbal >= 0 AS early, md5(CAST(c_custkey AS VARCHAR)) AS digest FROM customer),
+b AS (SELECT *, CAST('0x' || substr(digest, 1, 3) AS BIGINT) AS bucket FROM d),
+first AS (SELECT c_custkey, (row_number() OVER (PARTITION BY bucket ORDER BY digest, c_custkey) - 1) * 4096 + bucket + 1
+  AS sk_cliente FROM b WHERE early)
+SELECT c_custkey, sk_cliente FROM first
+UNION ALL
+SELECT c_custkey, (SELECT max(sk_cliente) FROM first)
+  + (row_number() OVER (PARTITION BY bucket ORDER BY digest, c_custkey) - 1) * 4096 + bucket + 1 FROM b WHERE NOT early""")
+def surrogate_keys_second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in credit were numbered before and keep their keys; the others follow."""
+    customers = table(spark, sf_dir, "customer")
+    first = keys.strided_keys(customers.filter(F.col("c_acctbal") >= 0).select("c_custkey"), ["c_custkey"], "sk_cliente")
+    return keys.keep_keys(customers.select("c_custkey"), first, ["c_custkey"], "sk_cliente")
+
+
 @query("""WITH rated AS (SELECT p_partkey, p_type, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
   CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 22 WHEN p_type = 'LARGE' THEN 10 ELSE 4 END AS iva_perc FROM part)
 SELECT p_partkey, p_type, iva_perc,

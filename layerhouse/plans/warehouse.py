@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse import contracts as c
 from layerhouse.operators import bronze, calendar_dim, gold, quality, scd, silver
-from layerhouse.operators.keys import strided_keys
+from layerhouse.operators.keys import keep_keys, strided_keys
 from layerhouse.sources import landing as files, tables
 
 
@@ -77,7 +77,10 @@ def build_gold(spark: SparkSession, batch_id: str, first_year: int = 2020, last_
     known = gold.customer_dimension(
         table(c.SILVER_CUSTOMERS), c.CUSTOMER_ATTRIBUTES, c.UNKNOWN_CUSTOMER, c.UNKNOWN_CUSTOMER_SCHEMA
     )
-    customers = strided_keys(known, ["codice_fiscale"], "sk_cliente")
+    if spark.catalog.tableExists(c.GOLD_CUSTOMER.name):
+        customers = keep_keys(known, table(c.GOLD_CUSTOMER), ["codice_fiscale"], "sk_cliente")
+    else:
+        customers = strided_keys(known, ["codice_fiscale"], "sk_cliente")
     written[c.GOLD_CUSTOMER.name] = tables.publish(customers, c.GOLD_CUSTOMER, batch_id)
     fact = gold.daily_sales_fact(
         table(c.SILVER_LINES), table(c.SILVER_ORDERS), table(c.DIM_PRODUCT), table(c.DIM_STORE)

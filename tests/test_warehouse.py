@@ -77,9 +77,12 @@ def test_second_run_with_changes(spark, first_run, tmp_path):
         landing.write_csv(df, f"{second}/{table}.csv")
     before = {r.cod_prodotto: r.sk_prodotto for r in spark.table("slv_sales.dim_prodotto").collect()}
     raw_before = spark.table("brz_sales.ordini_raw").count()
+    customers = lambda: {r.codice_fiscale: r.sk_cliente for r in spark.table("gld_customer.dim_cliente").collect()}
+    customer_keys = customers()
     again = warehouse.run(spark, second, "b2", "2025-01-02 06:00:00")
     assert spark.table("brz_sales.ordini_raw").count() == raw_before + N_ORDERS
     assert again["slv_sales.ordini"] == N_ORDERS
+    assert customers() == customer_keys
     dim = spark.table("slv_sales.dim_prodotto")
     versions = [(r.nome == "Nuovo", r.is_current, r.sk_prodotto == before["P-00001"])
                 for r in dim.filter("cod_prodotto = 'P-00001'").collect()]
