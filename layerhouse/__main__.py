@@ -37,7 +37,8 @@ def execute(spark, args: argparse.Namespace) -> None:
         generate.write_landing(spark, args.landing, n_orders=args.orders, seed=args.seed)
         return
     if args.step == "check":
-        for name, df in {**warehouse.checks(spark), **warehouse.contract_checks(spark)}.items():
+        found = {**warehouse.checks(spark), **warehouse.contract_checks(spark), **warehouse.rejects(spark)}
+        for name, df in found.items():
             print(name)
             df.show(20, truncate=False)
         return

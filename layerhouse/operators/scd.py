@@ -191,6 +191,10 @@ def scd2_history(log: DataFrame, spec: Scd2Spec, batch: str | tuple[str, ...],
     kept = seen.withColumn("_start", starts).filter(F.col("_start") | F.col("_last"))
     own = F.struct(F.col(HASH), *spec.overwrite).alias("_own")
     follower = ["_start", F.col(order[0]).alias("_from"), "_prev", own]
+    if chunk is not None:
+        # Read by nobody: with the same columns needed on both sides of the chunk summary, Spark
+        # shuffles the log once and reuses that exchange.
+        follower += [F.struct(*spec.tracked, *spec.carried).alias("_same_columns")]
     versions = with_next(kept, spec.key, chunk, order, follower, "_next").filter(F.col("_start"))
     after = F.col("_next")
     ended = F.coalesce(after["_start"], F.lit(False))

@@ -112,6 +112,17 @@ def checks(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
+def rejects(spark: SparkSession) -> dict[str, DataFrame]:
+    """Raw values that the typed layer holds as NULL, by table."""
+    return {
+        source.name: silver.cast_rejects(spark.table(source.name), [*key, "_batch_id"], types)
+        for source, key, types in (
+            (c.BRONZE_ORDERS, c.SILVER_ORDERS.key, c.ORDER_TYPES),
+            (c.BRONZE_LINES, c.SILVER_LINES.key, c.LINE_TYPES),
+        )
+    }
+
+
 def contract_checks(spark: SparkSession) -> dict[str, DataFrame]:
     """Primary keys and required columns of every published table."""
     found = {}

@@ -114,6 +114,26 @@ def test_catalogue(spark, first_run):
         tables.publish(spark.range(1), c.GOLD_DATE, "no-dash")
 
 
+def test_malformed_values_are_listed(spark, first_run, tmp_path):
+    """A broken delivery of one order and one line: NULL in the typed layer, listed as rejects."""
+    path = str(tmp_path / "broken")
+    for table, row in (("ordini", ("ORD-BROKEN", "IT-MI-001", "CF", "2024-13-45", "08:00:00")),
+                       ("vendite", ("ORD-BROKEN", "1", "P-00001", "two", "1.00", "2.00")),
+                       ("clienti", ("CF", "N", "C", "e", "t", "c", "MI", None, "2024-01-01"))):
+        columns = c.SOURCE_COLUMNS[table]
+        landing.write_csv(spark.createDataFrame([row], c.text_schema(columns)), f"{path}/{table}.csv")
+    assert all(df.count() == 0 for df in warehouse.rejects(spark).values())
+    warehouse.ingest_bronze(spark, path, "broken", "2025-01-03 06:00:00")
+    found = {name: [(r.column_name, r.raw_value, r._batch_id) for r in df.collect()]
+             for name, df in warehouse.rejects(spark).items()}
+    assert found == {"brz_sales.ordini_raw": [("data_ordine", "2024-13-45", "broken")],
+                     "brz_sales.vendite_raw": [("quantita", "two", "broken")]}
+    warehouse.build_silver(spark, path, "broken", "2025-01-03 06:00:00")
+    violations = {n: df.collect() for n, df in warehouse.contract_checks(spark).items() if "required" in n}
+    assert [r.column_name for r in violations["slv_sales.ordini required"]] == ["data_ordine"]
+    assert [r.column_name for r in violations["slv_sales.vendite required"]] == ["quantita"]
+
+
 def test_append_is_idempotent_per_batch(spark):
     contract = c.Contract("default.raw_x", "v STRING, _batch_id STRING", partition_by=("_batch_id",))
     load = lambda n, b: tables.append_batch(spark.range(n).select(F.col("id").cast("string").alias("v"), F.lit(b).alias("_batch_id")), contract, b)
