@@ -10,6 +10,9 @@ def test_generate_step(spark, tmp_path, capsys):
     assert landing.read_csv_header(spark, f"{tmp_path}/punti_vendita.csv").count() == 50
     execute(spark, parse(["bronze", "--landing", str(tmp_path), "--batch-id", "cli1"]))
     assert "brz_sales.ordini_raw: 50 rows" in capsys.readouterr().out
+    # The session and its catalogue are shared with the pipeline tests.
+    for table in ("ordini_raw", "vendite_raw"):
+        spark.sql(f"DROP TABLE brz_sales.{table}")
 
 
 def test_landing_is_needed():
