@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerhouse.llm import decontaminate, simhash
+from layerhouse.llm import decontaminate, minhash, packing, simhash, token_store
 from layerhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,9 +29,25 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+@query()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.edited_likeness(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+@query()
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored(table(spark, sf_dir, "documents"), end=0)
+
+
 @query()
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), size=1024, end=2)
