@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerhouse.llm import decontaminate, minhash, packing, simhash, token_store
+from layerhouse.llm import decontaminate, language, minhash, packing, quality, simhash, token_store
 from layerhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs))
+
+
 @query()
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.edited_likeness(table(spark, sf_dir, "documents"))
@@ -40,6 +46,11 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(table(spark, sf_dir, "documents"), end=0)
 
 
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
