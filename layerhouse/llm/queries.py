@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerhouse.llm import decontaminate, language, minhash, packing, quality, simhash, token_store
+from layerhouse.llm import (
+    decontaminate, html_text, language, licences, minhash, packing, quality, simhash, token_store, url_filter,
+)
 from layerhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,12 +31,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+#: The rules of the query: verdict, host, start of the path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query(sql=url_filter.oracle(URL_RULES))
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 @query()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs))
 
 
+@query()
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.edited_likeness(table(spark, sf_dir, "documents"))
@@ -62,3 +84,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=1024, end=2)
+
+
+@query()
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
