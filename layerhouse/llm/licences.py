@@ -255,7 +255,8 @@ def scan(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id", te
     """
     found = paragraphs(docs, model or fit(docs, text), doc_id, text).select("doc_id", "family", "probability")
     every = docs.select(F.col(doc_id).alias("doc_id"), F.lit(None).cast("string").alias("family"), F.lit(None).cast("double").alias("probability"))
-    best = F.min_by("family", F.struct(-F.round("probability", 6), "family"))
+    order = F.when(F.col("family").isNotNull(), F.struct(-F.round("probability", 6), "family"))
+    best = F.min_by("family", order)
     return every.unionByName(found).groupBy("doc_id").agg(
         F.count("family").alias("n_paragraphs"), F.array_sort(F.collect_set("family")).alias("licenses"),
         best.alias("license"), F.round(F.max("probability"), 6).alias("probability"))
