@@ -1,7 +1,7 @@
 """Repeatable random columns.
 
 A value depends on (seed, stream, row id) alone, so a lost task re-creates the same rows and
-the number of partitions does not matter. One digest holds four independent lanes.
+the number of partitions does not matter. One digest holds two independent lanes of 52 bits.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-LANES = 4
+LANES, DIGITS = 2, 13
 
 
 def _digest(seed: int, stream: str, row_id: Column) -> Column:
@@ -22,23 +22,23 @@ def _unit(hex_digits: Column) -> Column:
     # Nothing here is NULL, and Spark can see it (a division would count as nullable): so joins on
     # a value made of this add no filter that computes it once more.
     whole = F.coalesce(F.conv(hex_digits, 16, 10).cast("bigint"), F.lit(0))
-    return (whole + F.lit(0.5)) * F.lit(2.0 ** -32)
+    return (whole + F.lit(0.5)) * F.lit(2.0 ** (-4 * DIGITS))
 
 
 def uniform(seed: int, stream: str, row_id: Column, lane: int = 0) -> Column:
-    """Uniform in (0, 1) from eight hex digits of a digest."""
-    if not 0 <= lane < LANES:
-        raise ValueError(f"lane must be below {LANES}")
-    return _unit(F.substring(_digest(seed, stream, row_id), 1 + 8 * lane, 8))
+    """Uniform in (0, 1) from thirteen hex digits of a digest; lanes 2 and up are digests of their own."""
+    part = lane // LANES
+    digest = _digest(seed, f"{stream}-{part}" if part else stream, row_id)
+    return _unit(F.substring(digest, 1 + 16 * (lane % LANES), DIGITS))
 
 
 def uniforms(seed: int, stream: str, row_id: Column, k: Column, most: int) -> Column:
-    """Array of k independent uniforms (k up to ``most``); number i is lane i % 4 of digest i / 4."""
+    """Array of k independent uniforms (k up to ``most``); number i is lane i % 2 of digest i / 2."""
     digests = [
         F.when(k > LANES * i, _digest(seed, f"{stream}-{i}", row_id)) for i in range(-(-most // LANES))
     ]
-    pieces = F.regexp_extract_all(F.concat_ws("", *digests), F.lit("[0-9a-f]{8}"), F.lit(0))
-    return F.transform(F.slice(pieces, 1, k.cast("int")), _unit)
+    pieces = F.regexp_extract_all(F.concat_ws("", *digests), F.lit("[0-9a-f]{16}"), F.lit(0))
+    return F.transform(F.slice(pieces, 1, k.cast("int")), lambda piece: _unit(F.substring(piece, 1, DIGITS)))
 
 
 def uniform_index(u: Column, n: Column | int) -> Column:

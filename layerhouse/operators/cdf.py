@@ -11,9 +11,18 @@ INSERT, DELETE = "insert", "delete"
 BEFORE, AFTER = "update_preimage", "update_postimage"
 
 
+def _with_columns(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    missing = {c: F.lit(None).cast(other.schema[c].dataType) for c in columns if c not in df.columns}
+    return df.withColumns(missing).select(*columns)
+
+
 def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """insert, delete, and both images of each update; one join on the primary key."""
-    columns = old.columns
+    """insert, delete, and both images of each update; one join on the primary key.
+
+    A column that only one version has is NULL in the other, so a row that gains a value is an update.
+    """
+    columns = [*old.columns, *(c for c in new.columns if c not in old.columns)]
+    old, new = _with_columns(old, new, columns), _with_columns(new, old, columns)
     left = old.select(*key, F.struct(*[F.col(c) for c in columns]).alias("_old"))
     right = new.select(*key, F.struct(*[F.col(c) for c in columns]).alias("_new"))
     a, b = F.col("_old"), F.col("_new")
@@ -31,7 +40,9 @@ def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The new version of the table from the old one and its change feed."""
-    kept = old.join(changes.select(*key).distinct(), list(key), "left_anti").select(*old.columns)
-    arrived = changes.filter(F.col(CHANGE_TYPE).isin(INSERT, AFTER)).select(*old.columns)
+    """The new version of the table from the old one and its change feed, with all columns of the feed."""
+    columns = [c for c in changes.columns if c != CHANGE_TYPE]
+    kept = old.join(changes.select(*key).distinct(), list(key), "left_anti")
+    kept = _with_columns(kept, changes, columns)
+    arrived = changes.filter(F.col(CHANGE_TYPE).isin(INSERT, AFTER)).select(*columns)
     return kept.unionByName(arrived)

@@ -34,19 +34,20 @@ def dense_position(df: DataFrame, key: Sequence[str], name: str, within: Sequenc
     The result does not depend on ``digits``, as buckets are prefixes of the sort order. Bucket
     sizes are counted first; their running total has at most 16^digits rows per group.
     """
-    rows = _bucketed(df, key, digits)
-    sizes = rows.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    group = Window.partitionBy(*(within or [F.lit(0)]))
-    earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The group as a struct: a NULL group is a group like others, and joins like others.
+    group = F.struct(*[F.col(c) for c in within]) if within else F.lit(0)
+    rows = _bucketed(df, key, digits).withColumn("_group", group)
+    sizes = rows.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *within, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+        "_group", "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy(*within, "_bucket").orderBy("_digest", *key)
+    inside = Window.partitionBy("_group", "_bucket").orderBy("_digest", *key)
     return (
         rows.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, [*within, "_bucket"])
+        .join(offsets, ["_group", "_bucket"])
         .withColumn(name, (F.col("_offset") + F.col("_rank") - 1).cast("bigint"))
-        .drop("_digest", "_bucket", "_rank", "_offset")
+        .drop("_digest", "_bucket", "_group", "_rank", "_offset")
     )
 
 
@@ -69,15 +70,27 @@ def strided_keys(df: DataFrame, key: Sequence[str], name: str, after: Column | i
     return rows.withColumn(name, value.cast("bigint")).drop("_digest", "_bucket")
 
 
-def number_missing(df: DataFrame, key: Sequence[str], name: str, before: DataFrame, digits: int = 3) -> DataFrame:
-    """Rows without a surrogate key get one above the largest in ``before``; the others keep theirs."""
-    largest = before.agg(F.coalesce(F.max(name), F.lit(0)))
-    old = df.filter(F.col(name).isNotNull())
-    new = strided_keys(df.filter(F.col(name).isNull()).drop(name), key, name, largest.scalar(), digits)
-    return old.unionByName(new)
+def number_missing(df: DataFrame, key: Sequence[str], name: str, after: Column | int, digits: int = 3) -> DataFrame:
+    """Rows without a surrogate key get one above ``after``; the others keep theirs.
+
+    ``after`` should be the largest key ever given out, see ``tables.high_water``. The input is read
+    once: old and new rows are numbered side by side in each bucket, and only the new ones take it.
+    """
+    rows = _bucketed(df, key, digits)
+    rank = F.row_number().over(
+        Window.partitionBy("_bucket", F.col(name).isNull()).orderBy("_digest", *key))
+    start = F.lit(after) if isinstance(after, int) else after
+    value = start + (rank - 1).cast("bigint") * (16 ** digits) + F.col("_bucket") + 1
+    return rows.withColumn(name, F.coalesce(F.col(name), value).cast("bigint")).drop("_digest", "_bucket")
 
 
-def keep_keys(df: DataFrame, before: DataFrame, key: Sequence[str], name: str, digits: int = 3) -> DataFrame:
-    """Rows known ``before`` keep their surrogate key, new ones are numbered after the largest."""
+def keep_keys(df: DataFrame, before: DataFrame, key: Sequence[str], name: str, after: Column | int,
+              digits: int = 3) -> DataFrame:
+    """Rows known ``before`` keep their surrogate key, new ones are numbered above ``after``."""
     known = df.join(before.select(*key, name), list(key), "left")
-    return number_missing(known, key, name, before, digits)
+    return number_missing(known, key, name, after, digits)
+
+
+def largest(df: DataFrame, name: str) -> Column:
+    """The largest key in a table as a scalar, 0 if it is empty; the mark of a table that never lost a row."""
+    return df.agg(F.coalesce(F.max(name), F.lit(0))).scalar()

@@ -14,6 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+CUT = "_cut"
+
+
+def _cut(df: DataFrame, key: Sequence[str], chunk: str) -> DataFrame:
+    """Key and chunk as one struct: it is never NULL and equal where all its fields are, NULLs among them,
+    so rows with a NULL key or chunk meet their summary like all others."""
+    return df.withColumn(CUT, F.struct(F.struct(*key).alias("key"), F.col(chunk).alias("chunk")))
+
+
 def with_previous(df: DataFrame, key: Sequence[str], chunk: str | None, order: Sequence[str],
                   columns: Sequence[str | Column], name: str, last: str) -> DataFrame:
     """Adds the struct of ``columns`` from the row before (NULL on a key's first row) as ``name``,
@@ -22,21 +31,22 @@ def with_previous(df: DataFrame, key: Sequence[str], chunk: str | None, order: S
     if chunk is None:
         window = Window.partitionBy(*key).orderBy(*order)
         return df.withColumns({name: F.lag(values).over(window), last: F.lead(F.lit(1)).over(window).isNull()})
-    window = Window.partitionBy(*key, chunk).orderBy(*order)
+    df = _cut(df, key, chunk)
+    window = Window.partitionBy(CUT).orderBy(*order)
     inner = df.withColumns({name: F.lag(values).over(window), last: F.lead(F.lit(1)).over(window).isNull()})
-    chunks = Window.partitionBy(*key).orderBy(chunk)
+    chunks = Window.partitionBy(f"{CUT}.key").orderBy(f"{CUT}.chunk")
     borders = (
-        df.groupBy(*key, chunk)
+        df.groupBy(CUT)
         .agg(F.max_by(values, F.struct(*order)).alias("_border"))
         .select(
-            *key, chunk, F.lag("_border").over(chunks).alias("_carried"),
+            CUT, F.lag("_border").over(chunks).alias("_carried"),
             F.lead(F.lit(1)).over(chunks).isNull().alias("_final"),
         )
     )
     return (
-        inner.join(borders, [*key, chunk])
+        inner.join(borders, CUT)
         .withColumns({name: F.coalesce(F.col(name), F.col("_carried")), last: F.col(last) & F.col("_final")})
-        .drop("_carried", "_final")
+        .drop("_carried", "_final", CUT)
     )
 
 
@@ -46,15 +56,16 @@ def with_next(df: DataFrame, key: Sequence[str], chunk: str | None, order: Seque
     values = F.struct(*columns)
     if chunk is None:
         return df.withColumn(name, F.lead(values).over(Window.partitionBy(*key).orderBy(*order)))
-    inner = df.withColumn(name, F.lead(values).over(Window.partitionBy(*key, chunk).orderBy(*order)))
-    chunks = Window.partitionBy(*key).orderBy(chunk)
+    df = _cut(df, key, chunk)
+    inner = df.withColumn(name, F.lead(values).over(Window.partitionBy(CUT).orderBy(*order)))
+    chunks = Window.partitionBy(f"{CUT}.key").orderBy(f"{CUT}.chunk")
     borders = (
-        df.groupBy(*key, chunk)
+        df.groupBy(CUT)
         .agg(F.min_by(values, F.struct(*order)).alias("_border"))
-        .select(*key, chunk, F.lead("_border").over(chunks).alias("_carried"))
+        .select(CUT, F.lead("_border").over(chunks).alias("_carried"))
     )
     return (
-        inner.join(borders, [*key, chunk])
+        inner.join(borders, CUT)
         .withColumn(name, F.coalesce(F.col(name), F.col("_carried")))
-        .drop("_carried")
+        .drop("_carried", CUT)
     )

@@ -79,9 +79,8 @@ def require_unique(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     )
 
 
-def _incoming(incoming: DataFrame, spec: Scd2Spec, check: bool = True) -> DataFrame:
-    rows = with_hash(incoming.select(*spec.key, *spec.attributes), spec)
-    return require_unique(rows, spec.key) if check else rows
+def _incoming(incoming: DataFrame, spec: Scd2Spec) -> DataFrame:
+    return require_unique(with_hash(incoming.select(*spec.key, *spec.attributes), spec), spec.key)
 
 
 def _opened(value, spec: Scd2Spec, batch_ts: Column) -> Column:
@@ -97,11 +96,14 @@ def _opened(value, spec: Scd2Spec, batch_ts: Column) -> Column:
     return F.struct(*fields)
 
 
-def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column) -> DataFrame:
+def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column,
+               after: Column | int | None = None, digits: int = 3) -> DataFrame:
     """The dimension after one batch, in one pass and with one clock.
 
     Closed versions go straight through; only the current slice meets the batch, in one full
-    outer join on unique keys. New versions have a NULL surrogate key, see ``with_surrogates``.
+    outer join on unique keys. With ``after``, the largest surrogate key ever given out, new versions
+    get the keys above it; without, theirs is NULL. The job fails when a version would end
+    before it began, which is what a late batch does.
     """
     ts = _timestamp(batch_ts)
     dim = dim.select(*spec.columns)
@@ -116,7 +118,10 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: st
     cur, new = F.col("_cur"), F.col("_new")
     opened = _opened(lambda c: new[c], spec, ts)
     unchanged = _version(cur, spec, {c: new[c] for c in spec.overwrite})
-    ended = _version(cur, spec, {VALID_TO: ts, IS_CURRENT: F.lit(False)})
+    late = F.concat(F.lit("the batch is not after the version it would close: "),
+                    F.concat_ws("|", *[cur[c].cast("string") for c in spec.key]))
+    end = F.when(ts > cur[VALID_FROM], ts).otherwise(F.raise_error(late).cast("timestamp"))
+    ended = _version(cur, spec, {VALID_TO: end, IS_CURRENT: F.lit(False)})
     versions = (
         F.when(cur.isNull(), F.array(opened))
         .when(new.isNull(), F.array(_version(cur, spec, {})))
@@ -126,21 +131,15 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: st
     )
     # No array is empty; the outer form spares the filter that would build each of them twice.
     touched = pairs.select(F.explode_outer(versions).alias("_v")).select("_v.*")
-    return closed.unionByName(touched)
+    if after is not None:
+        touched = number_missing(touched, spec.key, spec.surrogate, after, digits)
+    return closed.unionByName(touched.select(*spec.columns))
 
 
 def _version(cur: Column, spec: Scd2Spec, changes: dict[str, Column]) -> Column:
     return F.struct(*[changes.get(c, cur[c]).alias(c) for c in spec.columns])
 
 
-def with_surrogates(dim: DataFrame, before: DataFrame, spec: Scd2Spec, digits: int = 3) -> DataFrame:
-    """Gives the new versions (surrogate key NULL) keys above the largest one ``before`` the batch.
-
-    Existing rows are never renumbered.
-    """
-    return number_missing(dim, spec.key, spec.surrogate, before, digits)
-
-
 def scd2_initial(incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column, digits: int = 3) -> DataFrame:
     """First load of a dimension: every key opens its first version."""
     rows = _incoming(incoming, spec)
@@ -154,7 +153,7 @@ def scd2_initial(incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column, di
 def scd2_new_versions(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: str | Column) -> DataFrame:
     """Versions still to open: incoming keys without a current row (after closing, or repair)."""
     have = current_versions(dim).select(*spec.key)
-    missing = _incoming(incoming, spec, check=False).join(have, list(spec.key), "left_anti")
+    missing = _incoming(incoming, spec).join(have, list(spec.key), "left_anti")
     return missing.select(_opened(F.col, spec, _timestamp(batch_ts)).alias("_v")).select("_v.*")
 
 
@@ -184,13 +183,19 @@ def scd2_history(log: DataFrame, spec: Scd2Spec, batch: str | tuple[str, ...],
     """
     order = (batch,) if isinstance(batch, str) else tuple(batch)
     log = with_hash(log, spec)
-    seen = with_previous(log, spec.key, chunk, order, [HASH, *spec.overwrite], "_prev", "_last")
+    moment = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])
+    seen = with_previous(log, spec.key, chunk, order, [HASH, *spec.overwrite, moment.alias("_moment")], "_prev", "_last")
+    # Sorted by batch, two rows of one key and batch are neighbours.
+    twice = F.concat(F.lit("two rows of one key and batch: "), F.concat_ws("|", *[F.col(c).cast("string") for c in spec.key]))
+    same = F.col("_prev").isNotNull() & F.col("_prev")["_moment"].eqNullSafe(moment)
     starts = F.col("_prev").isNull() | (F.col("_prev")[HASH] != F.col(HASH))
+    starts = F.when(same, F.raise_error(twice).cast("boolean")).otherwise(starts)
     # A version ends before the next start, or at the last row of its key: that row holds the
     # final overwrite values, all rows between are not needed any more.
     kept = seen.withColumn("_start", starts).filter(F.col("_start") | F.col("_last"))
     own = F.struct(F.col(HASH), *spec.overwrite).alias("_own")
-    follower = ["_start", F.col(order[0]).alias("_from"), "_prev", own]
+    before = F.struct(*[F.col("_prev")[c].alias(c) for c in (HASH, *spec.overwrite)]).alias("_prev")
+    follower = ["_start", F.col(order[0]).alias("_from"), before, own]
     if chunk is not None:
         # Read by nobody: with the same columns needed on both sides of the chunk summary, Spark
         # shuffles the log once and reuses that exchange.

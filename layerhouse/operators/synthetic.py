@@ -19,6 +19,10 @@ CLUSTERS = (
     ("Isole", 0.05, 4, ("PA", "CA")),
 )
 
+# Cities of customers and their province codes.
+CITIES = (("Milano", "MI"), ("Torino", "TO"), ("Genova", "GE"), ("Venezia", "VE"), ("Firenze", "FI"), ("Roma", "RM"),
+          ("Napoli", "NA"), ("Bari", "BA"), ("Palermo", "PA"), ("Cagliari", "CA"))
+
 # Share of days kept by month, before the second draw.
 SEASON = {1: 0.85, 2: 0.85, 3: 0.95, 4: 1.00, 5: 1.00, 6: 1.05,
           7: 0.95, 8: 0.80, 9: 1.00, 10: 1.05, 11: 1.10, 12: 1.30}

@@ -12,8 +12,9 @@ SEED = 42
 
 
 def u_sql(stream: str, row_id: str, lane: int = 0) -> str:
-    digits = f"substr(md5('{SEED}|{stream}|' || CAST({row_id} AS VARCHAR)), {1 + 8 * lane}, 8)"
-    return f"((CAST('0x' || {digits} AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE))"
+    name = f"{stream}-{lane // 2}" if lane // 2 else stream
+    digits = f"substr(md5('{SEED}|{name}|' || CAST({row_id} AS VARCHAR)), {1 + 16 * (lane % 2)}, 13)"
+    return f"((CAST('0x' || {digits} AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST({2**52} AS DOUBLE))"
 
 
 def normal_sql(stream: str, row_id: str, mean: float, deviation: float) -> str:
@@ -147,7 +148,7 @@ def synth_order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "r_name", "s_suppkey", "c_custkey", "ora_ordine")
 
 
-SAMPLE_DRAWS = "[" + ", ".join(u_sql(f"sample-{i // 4}", "o_orderkey", i % 4) for i in range(12)) + "]"
+SAMPLE_DRAWS = "[" + ", ".join(u_sql(f"sample-{i // 2}", "o_orderkey", i % 2) for i in range(12)) + "]"
 SAMPLE_PICK = "CAST(floor(draws[step[1] - (n - k) + 1] * (step[1] + 1)) AS BIGINT)"
 
 

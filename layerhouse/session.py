@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,7 +21,11 @@ SETTINGS = {**ADAPTIVE, "spark.sql.session.timeZone": "UTC"}
 
 
 def adapt(spark: SparkSession) -> SparkSession:
-    """Turns the run-time settings on in a session that someone else has built."""
+    """Turns the run-time settings on in a session that someone else has built.
+
+    The registered queries call this for the session they are given, and leave it so; its time zone
+    is the caller's business (dates in the queries do not depend on it).
+    """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
     return spark
@@ -41,14 +44,8 @@ def build_session(app: str = "layerhouse", master: str | None = None, **extra: s
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    A session without that setting uses its warehouse folder, which all executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="layerhouse-")
-        spark.sparkContext.setCheckpointDir(base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
