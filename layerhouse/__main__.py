@@ -1,19 +1,21 @@
 """Command line: ``python -m layerhouse <step> --landing <folder>``.
 
-Steps: generate, bronze, silver, dimensions, gold, run (all four), check. Tables live in the
-session's catalogue, so separate calls need a persistent one.
+Steps: generate, bronze, silver, dimensions, gold, run (the four before), check, changes, clean. Tables live in
+the session's catalogue, so separate calls need a persistent one. The exit code is 1 if ``check`` finds a
+violation, or if a step keeps an old version because required values are missing.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
 import uuid
 
 from layerhouse.plans import generate, warehouse
 from layerhouse.session import build_session
 
-STEPS = ("generate", "bronze", "silver", "dimensions", "gold", "run", "check")
+STEPS = ("generate", "bronze", "silver", "dimensions", "gold", "run", "check", "changes", "clean")
 
 
 def parse(arguments=None) -> argparse.Namespace:
@@ -24,34 +26,49 @@ def parse(arguments=None) -> argparse.Namespace:
     parser.add_argument("--batch-id", default=uuid.uuid4().hex[:8])
     parser.add_argument("--batch-ts", default=now.strftime("%Y-%m-%d %H:%M:%S"), help="UTC")
     parser.add_argument("--orders", type=int, default=100_000, help="orders to generate")
+    parser.add_argument("--products", type=int, default=500, help="products to generate")
+    parser.add_argument("--customers", type=int, default=10_000, help="customers to generate")
     parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--first-year", type=int, default=2020, help="of the calendar")
+    parser.add_argument("--last-year", type=int, default=2030, help="of the calendar")
+    parser.add_argument("--drop-old-versions", action="store_true", help="at the end of a run")
     found = parser.parse_args(arguments)
-    if found.landing is None and found.step not in ("gold", "check"):
+    if found.landing is None and found.step not in ("gold", "check", "changes", "clean"):
         parser.error("--landing is needed")
     return found
 
 
-def execute(spark, args: argparse.Namespace) -> None:
-    batch = (args.batch_id, args.batch_ts)
+def execute(spark, args: argparse.Namespace) -> int:
+    batch, years = (args.batch_id, args.batch_ts), (args.first_year, args.last_year)
     if args.step == "generate":
-        generate.write_landing(spark, args.landing, n_orders=args.orders, seed=args.seed)
-        return
+        generate.write_landing(spark, args.landing, args.products, args.customers, args.orders, args.seed)
+        return 0
     if args.step == "check":
-        found = {**warehouse.checks(spark), **warehouse.contract_checks(spark), **warehouse.rejects(spark)}
-        for name, df in found.items():
-            print(name)
-            df.show(20, truncate=False)
-        return
+        found = warehouse.report(spark)
+        for name, n in found.items():
+            print(f"{name}: {n:,} rows in {warehouse.FINDINGS}")
+        return int(any(n for name, n in found.items() if name not in warehouse.INFORMATION))
+    if args.step == "changes":
+        feed = warehouse.order_changes(spark)
+        if feed is not None:
+            feed.write.format("parquet").mode("overwrite").saveAsTable("slv_sales.ordini_changes")
+        print("no version before" if feed is None else f"slv_sales.ordini_changes: {spark.table('slv_sales.ordini_changes').count():,} rows")
+        return 0
+    if args.step == "clean":
+        print("\n".join(warehouse.clean(spark)))
+        return 0
     steps = {
         "bronze": lambda: warehouse.ingest_bronze(spark, args.landing, *batch),
         "silver": lambda: warehouse.build_silver(spark, args.landing, *batch),
         "dimensions": lambda: warehouse.update_dimensions(spark, args.landing, *batch),
-        "gold": lambda: warehouse.build_gold(spark, args.batch_id),
-        "run": lambda: warehouse.run(spark, args.landing, *batch),
+        "gold": lambda: warehouse.build_gold(spark, args.batch_id, *years),
+        "run": lambda: warehouse.run(spark, args.landing, *batch, *years, keep_versions=not args.drop_old_versions),
     }
-    for table, n in steps[args.step]().items():
-        print(f"{table}: {n:,} rows")
+    written = steps[args.step]()
+    for table, n in written.items():
+        print(f"{table}: {n:,} rows" if n >= 0 else f"{table}: rejected, the old version stays")
+    return int(any(n < 0 for n in written.values()))
 
 
 if __name__ == "__main__":
-    execute(build_session(), parse())
+    sys.exit(execute(build_session(), parse()))

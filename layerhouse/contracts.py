@@ -16,12 +16,18 @@ from layerhouse.operators.scd import Scd2Spec
 
 @dataclass(frozen=True)
 class Contract:
-    """``ddl`` lists the columns; NOT NULL there makes a column required."""
+    """``ddl`` lists the columns; NOT NULL there makes a column required.
+
+    ``appended`` tables grow by batches, the others are replaced version by version. ``surrogate`` names the
+    column whose values are given out once and never again.
+    """
 
     name: str
     ddl: str
     key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    appended: bool = False
+    surrogate: str | None = None
 
     @cached_property
     def schema(self) -> StructType:
@@ -71,8 +77,8 @@ def _raw(table: str) -> str:
     return ", ".join(f"{c} STRING" for c in SOURCE_COLUMNS[table]) + ", " + AUDIT
 
 
-BRONZE_ORDERS = Contract("brz_sales.ordini_raw", _raw("ordini"), partition_by=("_batch_id",))
-BRONZE_LINES = Contract("brz_sales.vendite_raw", _raw("vendite"), partition_by=("_batch_id",))
+BRONZE_ORDERS = Contract("brz_sales.ordini_raw", _raw("ordini"), partition_by=("_batch_id",), appended=True)
+BRONZE_LINES = Contract("brz_sales.vendite_raw", _raw("vendite"), partition_by=("_batch_id",), appended=True)
 
 SILVER_ORDERS = Contract(
     "slv_sales.ordini",
@@ -98,14 +104,15 @@ DIM_PRODUCT = Contract(
     "slv_sales.dim_prodotto",
     "sk_prodotto BIGINT NOT NULL, cod_prodotto STRING NOT NULL, nome STRING, categoria STRING, "
     "prezzo_unitario DECIMAL(10,2), iva_perc INT, " + VERSION_COLUMNS,
-    key=("sk_prodotto",),
+    key=("sk_prodotto",), surrogate="sk_prodotto",
 )
 DIM_STORE = Contract(
     "slv_sales.dim_punto_vendita",
     "sk_punto_vendita BIGINT NOT NULL, pos_id STRING NOT NULL, nome STRING, indirizzo STRING, cluster STRING, "
     "regione STRING, manager STRING, telefono STRING, data_apertura DATE, " + VERSION_COLUMNS,
-    key=("sk_punto_vendita",),
+    key=("sk_punto_vendita",), surrogate="sk_punto_vendita",
 )
+# The roles of the dimensions' columns.
 PRODUCT_SPEC = Scd2Spec(
     key=("cod_prodotto",), tracked=("nome", "categoria", "iva_perc"),
     overwrite=("prezzo_unitario",), surrogate="sk_prodotto",
@@ -126,7 +133,7 @@ GOLD_CUSTOMER = Contract(
     "gld_customer.dim_cliente",
     "sk_cliente BIGINT NOT NULL, codice_fiscale STRING NOT NULL, nome STRING, cognome STRING, citta STRING, "
     "provincia STRING, tessera_fedelta STRING, segmento STRING, data_registrazione DATE",
-    key=("sk_cliente",),
+    key=("sk_cliente",), surrogate="sk_cliente",
 )
 GOLD_DATE = Contract(
     "gld_sales.dim_data",
@@ -148,7 +155,7 @@ GOLD_STORE = Contract(
     key=("sk_punto_vendita",),
 )
 
-# Casts of the raw text columns.
+# Casts of the raw text columns.
 ORDER_TYPES = {"data_ordine": "date"}
 LINE_TYPES = {"line_num": "int", "quantita": "int", "prezzo_unitario": "decimal(10,2)",
               "importo_riga": "decimal(10,2)"}
@@ -156,7 +163,7 @@ PRODUCT_TYPES = {"prezzo_unitario": "decimal(10,2)", "iva_perc": "int"}
 STORE_TYPES = {"data_apertura": "date"}
 CUSTOMER_TYPES = {"data_registrazione": "date"}
 
-# The customer dimension: published attributes and the row for sales without a known customer.
+# The published attributes of customers, and the row for sales without a known customer.
 CUSTOMER_ATTRIBUTES = ("codice_fiscale", "nome", "cognome", "citta", "provincia", "tessera_fedelta",
                        "data_registrazione")
 UNKNOWN_CUSTOMER = {"codice_fiscale": "UNKNOWN", "nome": "Sconosciuto", "cognome": "Sconosciuto",

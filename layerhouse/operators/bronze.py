@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 INGESTION_TS, SOURCE_FILE, BATCH_ID = "_ingestion_ts", "_source_file", "_batch_id"
-SOURCE_PREFIX = "postgres-source/"
+SOURCE_PREFIX = "postgres-source/"  # fixed value: the label of the source
 
 
 def stringify(df: DataFrame) -> DataFrame:
@@ -13,18 +13,20 @@ def stringify(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def with_audit_columns(df: DataFrame, table: str, batch_id: str, batch_ts: str | Column) -> DataFrame:
+def with_audit_columns(df: DataFrame, table: str, batch_id: str, batch_ts: str | Column,
+                       source_prefix: str = SOURCE_PREFIX) -> DataFrame:
     """Adds load time, source label and batch id; all three are parameters, so a re-run repeats them."""
     ts = F.lit(batch_ts) if isinstance(batch_ts, str) else batch_ts
     return df.withColumns({
         INGESTION_TS: ts.cast("timestamp"),
-        SOURCE_FILE: F.lit(f"{SOURCE_PREFIX}{table}"),
+        SOURCE_FILE: F.lit(f"{source_prefix}{table}"),
         BATCH_ID: F.lit(batch_id),
     })
 
 
-def to_bronze(df: DataFrame, table: str, batch_id: str, batch_ts: str | Column) -> DataFrame:
-    return with_audit_columns(stringify(df), table, batch_id, batch_ts)
+def to_bronze(df: DataFrame, table: str, batch_id: str, batch_ts: str | Column,
+              source_prefix: str = SOURCE_PREFIX) -> DataFrame:
+    return with_audit_columns(stringify(df), table, batch_id, batch_ts, source_prefix)
 
 
 def batch_row_audit(bronze: DataFrame, batch: str = BATCH_ID) -> DataFrame:

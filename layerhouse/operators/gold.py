@@ -35,12 +35,13 @@ def daily_sales_fact(lines: DataFrame, orders: DataFrame, product_dim: DataFrame
 
     Lines are summed by business key before the dimensions are joined, so the dimension joins
     see rows at fact grain. This equals joining first: a surrogate key belongs to one business
-    key. ``days`` (first, last) restricts the orders read. ``divisor`` may use columns of the
-    product dimension.
+    key. ``days`` (first, last) restricts the orders read; to spare the lines of other days their
+    deduplication, give the raw ones through ``lines_of`` first. ``divisor`` may use columns of the product
+    dimension.
     """
     n = names
     if days:
-        orders = orders.filter(F.col(n.day).between(F.lit(days[0]).cast("date"), F.lit(days[1]).cast("date")))
+        orders = orders_between(orders, days, n.day)
     sums = (
         lines.join(orders, n.order)
         .groupBy(n.day, n.product, n.store)
@@ -68,17 +69,45 @@ def daily_sales_fact(lines: DataFrame, orders: DataFrame, product_dim: DataFrame
     )
 
 
-def dropped_lines(lines: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
+def orders_between(orders: DataFrame, days: tuple[str, str], day: str = SalesColumns.day) -> DataFrame:
+    return orders.filter(F.col(day).between(F.lit(days[0]).cast("date"), F.lit(days[1]).cast("date")))
+
+
+def lines_of(lines: DataFrame, orders: DataFrame, order: str = SalesColumns.order) -> DataFrame:
+    """The lines of the given orders. The order is part of a line's key, so this may come before the
+    latest line of each key is chosen: all copies of a line go or stay together."""
+    return lines.join(orders.select(order), order, "left_semi")
+
+
+def dropped_lines(lines: DataFrame, orders: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
                   names: SalesColumns = SalesColumns()) -> DataFrame:
-    """The lines the fact leaves out, once per missing dimension.
+    """The lines the fact leaves out, once for each reason in ``missing``.
 
-    The lines stay on the streamed side of each anti join, which AQE splits when a key is hot.
+    order: no order head; day: the head has none; product, store: no current row, or no value at all. The
+    store may be a column of the lines or of the orders; without a head the latter is not asked for.
+    Lines keep their columns. One pass: the lines stay on the streamed side of each join, which AQE
+    splits when a key is hot. Order heads and current dimension rows are unique, so no line is doubled.
     """
-    parts = []
-    for dim, key, what in ((product_dim, names.product, "product"), (store_dim, names.store, "store")):
-        lost = lines.join(current_versions(dim).select(key), key, "left_anti")
-        parts.append(lost.select(*lines.columns, F.lit(what).alias("missing")))
-    return parts[0].unionByName(parts[1])
+    n = names
+    of_order = [c for c in (n.store,) if c not in lines.columns]
+    heads = orders.select(n.order, F.col(n.day).alias("_day"), *[F.col(c).alias("_store") for c in of_order],
+                          F.lit(True).alias("_head"))
+    marked = lines.join(heads, n.order, "left")
+    if not of_order:
+        marked = marked.withColumn("_store", F.col(n.store))
+    known = lambda dim, key, name, mark: current_versions(dim).select(F.col(key).alias(name), F.lit(True).alias(mark))
+    marked = (
+        marked.withColumn("_product", F.col(n.product))
+        .join(known(product_dim, n.product, "_product", "_has_product"), "_product", "left")
+        .join(known(store_dim, n.store, "_store", "_has_store"), "_store", "left")
+    )
+    head = F.col("_head").isNotNull()
+    store = F.col("_has_store").isNull() & (head if of_order else F.lit(True))
+    reasons = F.array_compact(F.array(
+        F.when(~head, F.lit("order")), F.when(head & F.col("_day").isNull(), F.lit("day")),
+        F.when(F.col("_has_product").isNull(), F.lit("product")), F.when(store, F.lit("store"))))
+    lost = marked.filter(~head | F.col("_day").isNull() | F.col("_has_product").isNull() | F.col("_has_store").isNull())
+    return lost.select(*lines.columns, F.explode(reasons).alias("missing"))
 
 
 def with_unknown_member(dim: DataFrame, member: Mapping[str, object], schema: StructType) -> DataFrame:

@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from layerhouse.plans.catalogue.registry import QUERIES, SQL
-from layerhouse.plans.catalogue import checks, conversion, dimensions, sales, synthetic  # noqa: F401
+from layerhouse.plans.catalogue import checks, conversion, dimensions, sales, sinks, synthetic  # noqa: F401
 
 __all__ = ["QUERIES", "SQL"]

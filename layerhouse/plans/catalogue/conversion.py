@@ -53,15 +53,17 @@ def csv_landing_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(bronze.to_bronze(text, "ordini", BATCH, BATCH_TS))
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') AS segment,
-  CASE WHEN c_acctbal < 0 THEN '' ELSE c_name END AS name FROM customer""")
+@query(r"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, nullif(c_mktsegment, 'HOUSEHOLD') AS segment,
+  CASE WHEN c_acctbal < 0 THEN '' WHEN c_acctbal < 2000 THEN '\N'
+    ELSE replace(c_name, '#', '\' || chr(9) || chr(10) || 't' || chr(13) || '\\n') END AS name FROM customer""")
 def tsv_null_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tab-separated text keeps NULL and the empty string apart."""
+    r"""Tab-separated text keeps NULL, the empty string and the text \N apart, and tabs and line breaks in place."""
     path = work_dir(spark, "customer-tsv")
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("segment"),
-        F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_name")).alias("name"),
+        F.when(F.col("c_acctbal") < 0, "").when(F.col("c_acctbal") < 2000, r"\N")
+        .otherwise(F.replace("c_name", F.lit("#"), F.lit("\\\t\nt\r\\\\n"))).alias("name"),
     )
     landing.write_tsv(customers, path)
     return landing.read_tsv(spark, path, customers.columns)
@@ -232,7 +234,8 @@ def surrogate_keys_second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in credit were numbered before and keep their keys; the others follow."""
     customers = table(spark, sf_dir, "customer")
     first = keys.strided_keys(customers.filter(F.col("c_acctbal") >= 0).select("c_custkey"), ["c_custkey"], "sk_cliente")
-    return keys.keep_keys(customers.select("c_custkey"), first, ["c_custkey"], "sk_cliente")
+    return keys.keep_keys(
+        customers.select("c_custkey"), first, ["c_custkey"], "sk_cliente", keys.largest(first, "sk_cliente"))
 
 
 @query("""WITH rated AS (SELECT p_partkey, p_type, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
@@ -248,3 +251,13 @@ def tax_rate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", "p_type", rate.alias("iva_perc"),
         money.net_amount(price, money.tax_divisor(rate)).alias("net_price"),
     )
+
+
+@query("""SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END AS c_nationkey,
+  row_number() OVER (PARTITION BY CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END
+    ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) - 1 AS position FROM customer""")
+def dense_position_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without a nation are a group like others."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")).alias("c_nationkey"))
+    return keys.dense_position(customers, ["c_custkey"], "position", ["c_nationkey"])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from layerhouse.contracts import text_schema
 from layerhouse.functions.dates import time_slot
 from layerhouse.functions.hashing import hash_diff
-from layerhouse.operators import calendar_dim, cdf, gold, scd, silver
+from layerhouse.operators import calendar_dim, cdf, gold, keys, scd, silver
 from layerhouse.plans.catalogue.registry import query, table
 
 SPEC = scd.Scd2Spec(key=("cod_prodotto",), tracked=("nome", "categoria", "iva_perc"),
@@ -106,8 +106,7 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = dimension(spark, sf_dir)
-    after = scd.scd2_apply(before, delivery(spark, sf_dir), SPEC, BATCH_TS)
-    return scd.with_surrogates(after, before, SPEC)
+    return scd.scd2_apply(before, delivery(spark, sf_dir), SPEC, BATCH_TS, keys.largest(before, SPEC.surrogate))
 
 
 @query("""WITH d AS (SELECT p_partkey AS cod_prodotto, p_name AS nome, p_type AS categoria, p_size AS iva_perc,
@@ -343,3 +342,71 @@ def change_feed_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed applied to the old version gives the new one."""
     old, new = _part_versions(spark, sf_dir)
     return cdf.apply_changes(old, cdf.change_feed(old, new, ["p_partkey"]), ["p_partkey"])
+
+
+@query(f"""WITH {OLD_PART}, new AS (
+  SELECT p_partkey, p_name, p_brand, p_size, CAST(p_retailprice AS DECIMAL(10,2)) AS price,
+    CASE WHEN p_type = 'LARGE' THEN 'big' END AS label FROM part WHERE p_type <> 'SMALL'),
+wide AS (SELECT *, CAST(NULL AS VARCHAR) AS label FROM old)
+SELECT *, 'delete' AS _change_type FROM wide WHERE p_partkey NOT IN (SELECT p_partkey FROM new)
+UNION ALL SELECT *, 'update_preimage' FROM wide WHERE p_partkey IN (SELECT p_partkey FROM new WHERE label IS NOT NULL)
+UNION ALL SELECT *, 'update_postimage' FROM new WHERE label IS NOT NULL""")
+def change_feed_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new version has one column more."""
+    old, _ = _part_versions(spark, sf_dir)
+    part = table(spark, sf_dir, "part").filter(F.col("p_type") != "SMALL")
+    new = part.select(
+        "p_partkey", "p_name", "p_brand", "p_size", F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        F.when(F.col("p_type") == "LARGE", "big").alias("label"))
+    return cdf.change_feed(old, new, ["p_partkey"])
+
+
+NULL_KEYS = """log AS (
+  SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, ts, event_id, event_type,
+    CAST(value AS DECIMAL(12,2)) AS value, props FROM events),
+marked AS (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM log),
+runs AS (
+  SELECT *, sum(CASE WHEN before IS NULL OR before <> event_type THEN 1 ELSE 0 END)
+    OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+spans AS (
+  SELECT user_id, run, min(event_type) AS event_type, arg_max(value, event_id) AS value,
+    arg_min(props, event_id) AS props, min(event_id) AS valid_from FROM runs GROUP BY user_id, run)"""
+
+
+@query(f"""WITH {NULL_KEYS}
+SELECT user_id, event_type, value, props, valid_from,
+  lead(valid_from) OVER (PARTITION BY user_id ORDER BY run) AS valid_to,
+  lead(valid_from) OVER (PARTITION BY user_id ORDER BY run) IS NULL AS is_current, sha256(event_type) AS _hash_diff
+FROM spans""")
+def scd2_history_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events have no user, and the first of each user no chunk: no row may be lost."""
+    chunk = F.when(F.col("event_id") >= 500, F.floor(F.col("event_id") / 500))
+    log = table(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_id"), "event_id", "event_type",
+        F.col("value").cast("decimal(12,2)").alias("value"), "props", chunk.alias("slot"))
+    return scd.scd2_history(log, EVENT_SPEC, "event_id", chunk="slot")
+
+
+@query("""WITH known AS (
+  SELECT p_partkey AS k, p_size % 3 AS delivery FROM part),
+d AS (SELECT k, delivery, md5(CAST(k AS VARCHAR)) AS digest FROM known),
+b AS (SELECT *, CAST('0x' || substr(digest, 1, 3) AS BIGINT) AS bucket FROM d),
+first AS (SELECT k, (row_number() OVER (PARTITION BY bucket ORDER BY digest, k) - 1) * 4096 + bucket + 1 AS sk FROM b
+  WHERE delivery <> 2),
+second AS (SELECT * FROM first WHERE k NOT IN (SELECT k FROM known WHERE delivery = 1)),
+third AS (
+  SELECT * FROM second
+  UNION ALL
+  SELECT k, (SELECT max(sk) FROM first) + (row_number() OVER (PARTITION BY bucket ORDER BY digest, k) - 1) * 4096 + bucket + 1
+  FROM b WHERE delivery = 2)
+SELECT 1 AS delivery, * FROM first UNION ALL SELECT 2, * FROM second UNION ALL SELECT 3, * FROM third""")
+def surrogate_keys_three_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second delivery lacks a third of the keys, a third one brings new ones: no key gets a second owner."""
+    known = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), (F.col("p_size") % 3).alias("delivery"))
+    first = keys.strided_keys(known.filter("delivery <> 2").select("k"), ["k"], "sk")
+    mark = keys.largest(first, "sk")
+    second = keys.keep_keys(known.filter("delivery = 0").select("k"), first, ["k"], "sk", mark)
+    third = keys.keep_keys(known.filter("delivery <> 1").select("k"), second, ["k"], "sk", mark)
+    rows = [df.select(F.lit(i + 1).alias("delivery"), "k", "sk") for i, df in enumerate((first, second, third))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

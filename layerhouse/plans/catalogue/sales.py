@@ -34,8 +34,9 @@ def line_order() -> list:
     return [F.col(c).desc() for c in ("_ingestion_ts", "cod_prodotto", "pos_id", "importo_riga", "quantita")]
 
 
-def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.latest_per_key(raw_lines(spark, sf_dir), LINE_KEY, line_order())
+def latest_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    raw = raw_lines(spark, sf_dir)
+    return silver.latest_per_key(raw if orders is None else gold.lines_of(raw, orders), LINE_KEY, line_order())
 
 
 def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,11 +108,10 @@ def fact_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {FACT} SELECT * FROM fact WHERE sk_data BETWEEN 19970101 AND 19971231")
 def fact_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The date range reaches the scan of the orders."""
+    """The date range reaches the scan of the orders, and their raw lines before these are sorted out."""
+    orders = gold.orders_between(order_heads(spark, sf_dir), ("1997-01-01", "1997-12-31"))
     return gold.daily_sales_fact(
-        latest_lines(spark, sf_dir), order_heads(spark, sf_dir),
-        product_dim(spark, sf_dir), store_dim(spark, sf_dir), days=("1997-01-01", "1997-12-31"),
-    )
+        latest_lines(spark, sf_dir, orders), orders, product_dim(spark, sf_dir), store_dim(spark, sf_dir))
 
 
 @query(f"WITH {FACT} SELECT * FROM fact WHERE sk_data BETWEEN 19970101 AND 19971231")
@@ -124,20 +124,30 @@ def fact_partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.filter(F.col("sk_data").between(19970101, 19971231)).select(*fact.columns)
 
 
-@query(f"""WITH {LATEST_LINES}
-SELECT order_id, line_num, cod_prodotto, pos_id, quantita, importo_riga, 'product' AS missing FROM latest
-WHERE cod_prodotto NOT IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO')
+LOST = "SELECT order_id, line_num, cod_prodotto, pos_id, quantita, importo_riga"
+
+
+@query(f"""WITH {LATEST_LINES}, heads AS (
+  SELECT o_orderkey AS order_id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS day FROM orders
+  WHERE o_orderstatus <> 'P')
+{LOST}, 'product' AS missing FROM latest WHERE cod_prodotto NOT IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO')
+UNION ALL
+{LOST}, 'store' FROM latest WHERE pos_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
+UNION ALL
+{LOST}, 'order' FROM latest WHERE order_id NOT IN (SELECT order_id FROM heads)
 UNION ALL
-SELECT order_id, line_num, cod_prodotto, pos_id, quantita, importo_riga, 'store' FROM latest
-WHERE pos_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)""")
+{LOST}, 'day' FROM latest WHERE order_id IN (SELECT order_id FROM heads WHERE day IS NULL)""")
 def fact_dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promotional parts and indebted suppliers have no current version here."""
+    """Promotional parts and indebted suppliers have no current version here, some orders no head, some no day."""
     products = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("cod_prodotto"), (F.col("p_type") != "PROMO").alias("is_current"))
     stores = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("pos_id"), (F.col("s_acctbal") >= 0).alias("is_current"))
+    heads = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate").cast("date")).alias("data_ordine"))
     lines = latest_lines(spark, sf_dir).drop("_ingestion_ts")
-    return gold.dropped_lines(lines, products, stores)
+    return gold.dropped_lines(lines, heads, products, stores)
 
 
 @query("""SELECT o_orderkey AS order_id, CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS sk_data FROM orders""")

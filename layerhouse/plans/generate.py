@@ -38,10 +38,9 @@ def stores(spark: SparkSession, seed: int = 42) -> DataFrame:
 
 
 def products(spark: SparkSession, n: int = 500, seed: int = 42) -> DataFrame:
-    """Products in equal numbers per category."""
+    """Products in runs by category, whose numbers differ by one at most."""
     number = F.col("id") + 1
-    per_category = max(1, n // len(syn.CATEGORIES))
-    slot = F.least(F.floor(F.col("id") / per_category).cast("int"), F.lit(len(syn.CATEGORIES) - 1))
+    slot = F.floor(F.col("id") * len(syn.CATEGORIES) / n).cast("int")
     category = F.element_at(F.array(*[F.lit(c) for c in syn.CATEGORIES]), slot + 1)
     return spark.range(n).select(
         formats.product_key(number).alias("cod_prodotto"),
@@ -55,14 +54,16 @@ def products(spark: SparkSession, n: int = 500, seed: int = 42) -> DataFrame:
 def customers(spark: SparkSession, n: int = 10_000, seed: int = 42) -> DataFrame:
     number = F.col("id") + 1
     text = number.cast("string")
+    places = F.array(*[F.struct(F.lit(city).alias("citta"), F.lit(code).alias("provincia")) for city, code in syn.CITIES])
+    place = places[rv.uniform_index(rv.uniform(seed, "city", number), len(syn.CITIES)).cast("int")]
     return spark.range(n).select(
         formats.padded("CF", number, 14).alias("codice_fiscale"),
         F.concat(F.lit("Nome"), text).alias("nome"),
         F.concat(F.lit("Cognome"), text).alias("cognome"),
         F.concat(F.lit("cliente"), text, F.lit("@example.com")).alias("email"),
         F.concat(F.lit("+39 333 "), F.lpad(text, 7, "0")).alias("telefono"),
-        F.lit("Milano").alias("citta"),
-        F.lit("MI").alias("provincia"),
+        place["citta"].alias("citta"),
+        place["provincia"].alias("provincia"),
         rv.bernoulli(rv.uniform(seed, "card", number), syn.LOYALTY_SHARE, formats.loyalty_card(number))
         .alias("tessera_fedelta"),
         rv.uniform_date(rv.uniform(seed, "registered", number), "2020-01-01", LAST_DAY).alias("data_registrazione"),

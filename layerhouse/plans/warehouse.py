@@ -9,11 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse import contracts as c
-from layerhouse.operators import bronze, calendar_dim, gold, quality, scd, silver
+from layerhouse.operators import bronze, calendar_dim, cdf, gold, quality, scd, silver
 from layerhouse.operators.keys import keep_keys, strided_keys
 from layerhouse.sources import landing as files, tables
 
 
+#: Tables that are replaced version by version.
+PUBLISHED = (c.SILVER_ORDERS, c.SILVER_LINES, c.SILVER_CUSTOMERS, c.DIM_PRODUCT, c.DIM_STORE, c.FACT_DAILY_SALES,
+             c.GOLD_CUSTOMER, c.GOLD_DATE, c.GOLD_PRODUCT, c.GOLD_STORE)
+#: Checks that only inform: the raw total differs after a repeated delivery, the days depend on the calendar.
+INFORMATION = ("raw_total", "silver_total", "days")
+FINDINGS = "qa"
+
+
+def _publish(df: DataFrame, contract: c.Contract, batch_id: str) -> int:
+    """Rows written; minus the number of kinds of NULLs if the old version stays because of them."""
+    try:
+        return tables.publish(df, contract, batch_id)
+    except tables.Rejected as rejected:
+        print(rejected)
+        return -len(rejected.nulls)
+
+
 def _landing(spark: SparkSession, landing: str, table: str) -> DataFrame:
     return files.read_csv(spark, f"{landing}/{table}.csv", c.text_schema(c.SOURCE_COLUMNS[table]))
 
@@ -41,7 +58,7 @@ def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str
         (c.BRONZE_LINES, c.SILVER_LINES, c.LINE_TYPES),
     ):
         typed = silver.dedup_and_type(spark.table(source.name), target.key, types, newest_first(source))
-        written[target.name] = tables.publish(typed, target, batch_id)
+        written[target.name] = _publish(typed, target, batch_id)
     customers = _landing(spark, landing, "clienti")
     one_each = silver.latest_per_key(
         customers, c.SILVER_CUSTOMERS.key, [F.col(x).desc() for x in customers.columns]
@@ -49,7 +66,7 @@ def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str
     typed = silver.apply_types(one_each, c.CUSTOMER_TYPES).withColumn(
         "_ingestion_ts", F.lit(batch_ts).cast("timestamp")
     )
-    written[c.SILVER_CUSTOMERS.name] = tables.publish(typed, c.SILVER_CUSTOMERS, batch_id)
+    written[c.SILVER_CUSTOMERS.name] = _publish(typed, c.SILVER_CUSTOMERS, batch_id)
     return written
 
 
@@ -62,12 +79,11 @@ def update_dimensions(spark: SparkSession, landing: str, batch_id: str, batch_ts
     ):
         incoming = silver.apply_types(_landing(spark, landing, table), types)
         if spark.catalog.tableExists(contract.name):
-            before = spark.table(contract.name)
-            after = scd.scd2_apply(before, incoming, spec, batch_ts)
-            dim = scd.with_surrogates(after, before, spec)
+            dim = scd.scd2_apply(
+                spark.table(contract.name), incoming, spec, batch_ts, tables.high_water(spark, contract))
         else:
             dim = scd.scd2_initial(incoming, spec, batch_ts)
-        written[contract.name] = tables.publish(dim, contract, batch_id)
+        written[contract.name] = _publish(dim, contract, batch_id)
     return written
 
 
@@ -78,24 +94,25 @@ def build_gold(spark: SparkSession, batch_id: str, first_year: int = 2020, last_
         table(c.SILVER_CUSTOMERS), c.CUSTOMER_ATTRIBUTES, c.UNKNOWN_CUSTOMER, c.UNKNOWN_CUSTOMER_SCHEMA
     )
     if spark.catalog.tableExists(c.GOLD_CUSTOMER.name):
-        customers = keep_keys(known, table(c.GOLD_CUSTOMER), ["codice_fiscale"], "sk_cliente")
+        customers = keep_keys(known, table(c.GOLD_CUSTOMER), ["codice_fiscale"], "sk_cliente",
+                              tables.high_water(spark, c.GOLD_CUSTOMER))
     else:
         customers = strided_keys(known, ["codice_fiscale"], "sk_cliente")
-    written[c.GOLD_CUSTOMER.name] = tables.publish(customers, c.GOLD_CUSTOMER, batch_id)
+    written[c.GOLD_CUSTOMER.name] = _publish(customers, c.GOLD_CUSTOMER, batch_id)
     fact = gold.daily_sales_fact(
         table(c.SILVER_LINES), table(c.SILVER_ORDERS), table(c.DIM_PRODUCT), table(c.DIM_STORE)
     )
-    written[c.FACT_DAILY_SALES.name] = tables.publish(fact, c.FACT_DAILY_SALES, batch_id)
+    written[c.FACT_DAILY_SALES.name] = _publish(fact, c.FACT_DAILY_SALES, batch_id)
     dates = calendar_dim.date_dimension(spark, first_year, last_year)
-    written[c.GOLD_DATE.name] = tables.publish(dates, c.GOLD_DATE, batch_id)
+    written[c.GOLD_DATE.name] = _publish(dates, c.GOLD_DATE, batch_id)
     for source, target in ((c.DIM_PRODUCT, c.GOLD_PRODUCT), (c.DIM_STORE, c.GOLD_STORE)):
-        written[target.name] = tables.publish(scd.publish_current(table(source)), target, batch_id)
+        written[target.name] = _publish(scd.publish_current(table(source)), target, batch_id)
     return written
 
 
 def checks(spark: SparkSession) -> dict[str, DataFrame]:
     """The model checks on the published tables. Violations are expected to be empty, the
-    reconciliation to show a delta of zero, the day count to be 731."""
+    reconciliation to show a delta of zero, the day count to be 731 if the calendar holds both years."""
     table = lambda contract: spark.table(contract.name)
     fact, lines = table(c.FACT_DAILY_SALES), table(c.SILVER_LINES)
     amount = F.col("importo_riga").try_cast("decimal(12,2)")
@@ -108,6 +125,9 @@ def checks(spark: SparkSession) -> dict[str, DataFrame]:
         "silver_total": quality.reconcile(lines, F.col("importo_riga"), fact, F.col("importo_lordo"), "tot_slv"),
         "one_current_product": quality.not_one_current(table(c.DIM_PRODUCT), ["cod_prodotto"]),
         "one_current_store": quality.not_one_current(table(c.DIM_STORE), ["pos_id"]),
+        "silver_differs": quality.reconcile(
+            lines, F.col("importo_riga"), fact, F.col("importo_lordo"), "tot_slv").filter("NOT delta <=> 0"),
+        "dropped_lines": gold.dropped_lines(lines, table(c.SILVER_ORDERS), table(c.DIM_PRODUCT), table(c.DIM_STORE)),
         "days": quality.days_held(table(c.GOLD_DATE), 2023, 2024),
     }
 
@@ -126,19 +146,53 @@ def rejects(spark: SparkSession) -> dict[str, DataFrame]:
 def contract_checks(spark: SparkSession) -> dict[str, DataFrame]:
     """Primary keys and required columns of every published table."""
     found = {}
-    for contract in (c.SILVER_ORDERS, c.SILVER_LINES, c.SILVER_CUSTOMERS, c.DIM_PRODUCT, c.DIM_STORE,
-                     c.FACT_DAILY_SALES, c.GOLD_CUSTOMER, c.GOLD_DATE, c.GOLD_PRODUCT, c.GOLD_STORE):
+    for contract in PUBLISHED:
         df = spark.table(contract.name)
         found[f"{contract.name} key"] = quality.duplicate_groups(df, contract.key)
         found[f"{contract.name} required"] = quality.null_counts(df, contract.required)
     return found
 
 
-def run(spark: SparkSession, landing: str, batch_id: str, batch_ts: str) -> dict[str, int]:
-    """One daily run over all layers; rows written per table."""
-    return {
+def report(spark: SparkSession) -> dict[str, int]:
+    """Writes all rows of every check to a table of its own in the schema ``qa``; rows per check.
+
+    The checks in ``INFORMATION`` always have a row; rows of any other are violations.
+    """
+    tables.create_schemas(spark, [FINDINGS])
+    found = {}
+    for name, df in {**checks(spark), **contract_checks(spark), **rejects(spark)}.items():
+        target = f"{FINDINGS}.{name.replace('.', '_').replace(' ', '_')}"
+        df.write.format("parquet").mode("overwrite").saveAsTable(target)
+        found[name] = spark.table(target).count()
+    return found
+
+
+def order_changes(spark: SparkSession) -> DataFrame | None:
+    """Inserted, updated and deleted orders between the version shown and the one before, if that is still there."""
+    before = tables.version_before(spark, c.SILVER_ORDERS)
+    if before is None:
+        return None
+    return cdf.change_feed(before, spark.table(c.SILVER_ORDERS.name), c.SILVER_ORDERS.key)
+
+
+def clean(spark: SparkSession) -> list[str]:
+    """Drops old versions; of the orders the one before stays, for ``order_changes``."""
+    dropped = []
+    for contract in PUBLISHED:
+        if spark.catalog.tableExists(contract.name):
+            dropped += tables.drop_old_versions(spark, contract, keep_before=contract is c.SILVER_ORDERS)
+    return dropped
+
+
+def run(spark: SparkSession, landing: str, batch_id: str, batch_ts: str, first_year: int = 2020,
+        last_year: int = 2030, keep_versions: bool = True) -> dict[str, int]:
+    """One daily run over all layers; rows written per table. Without ``keep_versions`` old ones go at the end."""
+    written = {
         **ingest_bronze(spark, landing, batch_id, batch_ts),
         **build_silver(spark, landing, batch_id, batch_ts),
         **update_dimensions(spark, landing, batch_id, batch_ts),
-        **build_gold(spark, batch_id),
+        **build_gold(spark, batch_id, first_year, last_year),
     }
+    if not keep_versions:
+        clean(spark)
+    return written

@@ -24,8 +24,21 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(schema))
 
 
+class Rejected(Exception):
+    """Rows without a required value: the version was not shown, the rows are in ``table``."""
+
+    def __init__(self, contract: Contract, nulls: dict[str, int], table: str):
+        super().__init__(f"{contract.name}: NULL in required columns {nulls}; the rows are in {table}")
+        self.nulls, self.table = nulls, table
+
+
 def create_table(spark: SparkSession, contract: Contract) -> None:
-    """Empty Parquet table of the contract, if it is not there yet."""
+    """Empty table of the contract, if it is not there yet: a partitioned one for batches, else a first version."""
+    if spark.catalog.tableExists(contract.name):
+        return
+    if not contract.appended:
+        publish(spark.createDataFrame([], contract.schema), contract, "empty")
+        return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.schema.fields)
     parts = f" PARTITIONED BY ({', '.join(contract.partition_by)})" if contract.partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {contract.name} ({columns}) USING PARQUET{parts}")
@@ -41,7 +54,7 @@ def append_batch(df: DataFrame, contract: Contract, batch_id: str) -> int:
     _plain_name(batch_id)
     create_table(spark, contract)
     (batch,) = contract.partition_by
-    counted, rows = _observed(conform(df, contract).drop(batch))
+    counted, rows = _observed(conform(df, contract).drop(batch), contract)
     spark.sql(
         f"INSERT OVERWRITE TABLE {contract.name} PARTITION ({batch} = '{batch_id}') SELECT * FROM {{rows}}",
         rows=counted,
@@ -49,48 +62,85 @@ def append_batch(df: DataFrame, contract: Contract, batch_id: str) -> int:
     return rows.get["n_rows"]
 
 
-def clustered(df: DataFrame, contract: Contract, tasks: int | None = None) -> DataFrame:
-    """Rows range-partitioned by the table's partition columns, then the rest of its key.
+def clustered(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows of one table partition together, in tasks of the advisory size.
 
-    A task holds neighbouring table partitions, so each of these ends up in few files, and one
-    very large partition is cut along the key over several tasks. ``tasks`` defaults to the
-    session's number of shuffle partitions.
+    One shuffle whose number of tasks follows the data: small table partitions share a task, so each ends up
+    in one file, and a very large one is cut over several tasks.
     """
     if not contract.partition_by:
         return df
-    rest = [k for k in contract.key if k not in contract.partition_by]
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(tasks, *contract.partition_by, *rest)
+    return df.hint("rebalance", *[F.col(c) for c in contract.partition_by])
 
 
-def publish(df: DataFrame, contract: Contract, version: str, tasks: int | None = None) -> int:
+def publish(df: DataFrame, contract: Contract, version: str) -> int:
     """Replaces the table's content by ``df`` and gives the number of rows written.
 
     Every call writes to a name of its own: a repeated run never overwrites what it reads, and is
-    not in the way of files that a lost run has left.
+    not in the way of files that a lost run has left. NULLs in required columns are counted as the rows
+    are written; if there are any, the old version stays in view, the rows concerned are kept in a table
+    of rejects, and ``Rejected`` is raised. The largest surrogate key ever shown goes along with the view.
     """
     _plain_name(version)
     spark = df.sparkSession
     target = f"{contract.name}__{version}_{uuid.uuid4().hex[:8]}"
-    counted, rows = _observed(clustered(conform(df, contract), contract, tasks))
+    counted, seen = _observed(clustered(conform(df, contract), contract), contract)
     writer = counted.write.mode("errorifexists").format("parquet")
     if contract.partition_by:
         writer = writer.partitionBy(*contract.partition_by)
     writer.saveAsTable(target)
+    found = seen.get
+    nulls = {c: found[f"_null_{i}"] for i, c in enumerate(contract.required) if found[f"_null_{i}"]}
+    if nulls:
+        rejects = target.replace("__", "__rejects_", 1)
+        missing = " OR ".join(f"`{c}` IS NULL" for c in nulls)
+        spark.table(target).filter(missing).write.format("parquet").saveAsTable(rejects)
+        spark.sql(f"DROP TABLE {target}")
+        raise Rejected(contract, nulls, rejects)
+    before = _property(spark, contract, "holds")
+    mark = max(high_water(spark, contract), found["_largest"] or 0) if contract.surrogate else 0
     columns = ", ".join(f"`{c}`" for c in contract.columns)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {contract.name} TBLPROPERTIES ('holds' = '{target}') "
+        f"CREATE OR REPLACE VIEW {contract.name} TBLPROPERTIES "
+        f"('holds' = '{target}', 'before' = '{before or ''}', 'high_water' = '{mark}') "
         f"AS SELECT {columns} FROM {target}"
     )
-    return rows.get["n_rows"]
+    return found["n_rows"]
+
+
+def high_water(spark: SparkSession, contract: Contract) -> int:
+    """The largest surrogate key that any version of the table has shown; 0 before the first."""
+    value = _property(spark, contract, "high_water")
+    if value is not None:
+        return int(value)
+    if not spark.catalog.tableExists(contract.name):
+        return 0
+    return spark.table(contract.name).agg(F.max(contract.surrogate)).first()[0] or 0  # shown before marks were kept
+
+
+def _property(spark: SparkSession, contract: Contract, name: str) -> str | None:
+    if not spark.catalog.tableExists(contract.name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {contract.name}").collect()
+    return {r["key"]: r["value"] for r in rows}.get(name)
+
+
+def version_before(spark: SparkSession, contract: Contract) -> DataFrame | None:
+    """The version that the present one has replaced, if it is still there."""
+    name = _property(spark, contract, "before")
+    if not name or not spark.catalog.tableExists(name):
+        return None
+    return spark.table(name).select(*contract.columns)
 
 
-def drop_old_versions(spark: SparkSession, contract: Contract) -> list[str]:
-    """Drops all versions of a published table but the one its view shows."""
-    held = spark.sql(f"SHOW TBLPROPERTIES {contract.name} ('holds')").first()["value"]
+def drop_old_versions(spark: SparkSession, contract: Contract, keep_before: bool = False) -> list[str]:
+    """Drops all versions of a published table but the one its view shows, and the one before if asked to
+    keep it for a change feed; tables of rejects stay."""
+    held = {_property(spark, contract, "holds"), _property(spark, contract, "before") if keep_before else None}
     schema, table = contract.name.split(".")
-    versions = [f"{schema}.{t}" for t in list_tables(spark, schema) if t.startswith(f"{table}__")]
-    old = [v for v in versions if v != held]
+    versions = [f"{schema}.{t}" for t in list_tables(spark, schema)
+                if t.startswith(f"{table}__") and not t.startswith(f"{table}__rejects_")]
+    old = [v for v in versions if v not in held]
     for name in old:
         spark.sql(f"DROP TABLE {name}")
     return old
@@ -101,8 +151,12 @@ def _plain_name(text: str) -> None:
         raise ValueError(f"{text!r}: only letters, digits and _")
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Counts rows as they are written. It has to come last: below a range partitioning the
-    sampling pass would count them a second time."""
+def _observed(df: DataFrame, contract: Contract) -> tuple[DataFrame, Observation]:
+    """Counts rows and NULLs as they are written. It has to come last: below a shuffle the
+    rows of a repeated task would count twice."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
+    measures = [F.count(F.lit(1)).alias("n_rows")]
+    measures += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(contract.required)]
+    if contract.surrogate:
+        measures.append(F.max(contract.surrogate).alias("_largest"))
+    return df.observe(seen, *measures), seen
