@@ -101,9 +101,13 @@ def test_daily_fact(spark):
     own_rate = gold.daily_sales_fact(lines, orders, products, stores, divisor=money.tax_divisor(F.col("iva_perc")))
     assert own_rate.first().importo_netto == Decimal("9.02")
     assert gold.daily_sales_fact(lines, orders, products, stores, days=("2024-03-02", "2024-03-31")).count() == 0
-    joined = lines.join(orders, "order_id")
-    lost = gold.dropped_lines(joined, products, stores)
+    lost = gold.dropped_lines(lines, orders, products, stores)
     assert rows(lost.select("order_id", "line_num", "missing")) == [("o2", 1, "product")]
+    one = orders.filter("order_id <> 'o1'")
+    lost = gold.dropped_lines(lines, one, products, stores)
+    assert {(r.order_id, r.missing) for r in lost.collect()} == {("o1", "order"), ("o2", "product")}
+    no_day = orders.withColumn("data_ordine", F.lit(None).cast("date"))
+    assert {r.missing for r in gold.dropped_lines(lines, no_day, products, stores).collect()} == {"day", "product"}
 
 
 def test_fact_day_range_reaches_the_scan(spark, tmp_path):

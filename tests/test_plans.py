@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from layerhouse.plans.catalogue import QUERIES
 from compare import SF
 from layerhouse.operators import scd
 
@@ -15,7 +16,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"fact_partition_prune"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"fact_partition_prune"}))
 def test_no_products_and_no_python(name, spark):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert [word for word in UNWANTED if word in plan] == []
@@ -41,6 +42,12 @@ def test_date_range_is_pushed_to_the_orders(spark):
     assert scan and "1997" in scan[0]
 
 
+def test_date_range_meets_the_raw_lines_below_the_window(spark):
+    plan = plan_of(entry.queries()["fact_date_range"](spark, SF))
+    below = plan[plan.rindex("Window ["):]
+    assert "LeftSemi" in below and "1997" in below
+
+
 def test_closed_versions_are_not_shuffled(spark):
     spec = scd.Scd2Spec(key=("k",), tracked=("a",))
     dim = spark.range(5).select(

@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from layerhouse.operators import scd
+from layerhouse.operators.keys import largest
 from layerhouse.operators.quality import duplicate_groups, not_one_current
 
 SPEC = scd.Scd2Spec(key=("k",), tracked=("nome",), overwrite=("price",), carried=("note",), surrogate="sk")
@@ -32,7 +33,7 @@ def state(dim):
 def step(dim, incoming, n):
     """Writes nothing: rows are collected, as a table would hold them between batches."""
     spark = dim.sparkSession
-    after = scd.with_surrogates(scd.scd2_apply(dim, incoming, SPEC, day(n)), dim, SPEC)
+    after = scd.scd2_apply(dim, incoming, SPEC, day(n), largest(dim, SPEC.surrogate))
     return spark.createDataFrame(after.collect(), after.schema)
 
 
@@ -144,3 +145,54 @@ def test_one_current_finds_none_and_two(spark):
 def test_publish_drops_technical_columns(spark):
     dim = scd.scd2_initial(batch(spark, [("P1", "A", "1.00", "n")]), SPEC, day(1))
     assert scd.publish_current(dim).columns == ["sk", "k", "nome", "price", "note"]
+
+
+def test_a_late_batch_fails(spark):
+    dim = step(scd.scd2_initial(batch(spark, [("P1", "A", "1.00", "n")]), SPEC, day(5)), batch(spark, []), 6)
+    scd.scd2_apply(dim, batch(spark, [("P1", "A", "2.00", "n")]), SPEC, day(2)).collect()  # closes nothing
+    for n in (2, 5):
+        with pytest.raises(PySparkException, match="not after the version"):
+            scd.scd2_apply(dim, batch(spark, [("P1", "B", "1.00", "n")]), SPEC, day(n)).collect()
+
+
+def test_new_versions_check_their_keys(spark):
+    dim = scd.scd2_initial(batch(spark, [("P1", "A", "1.00", "n")]), SPEC, day(1))
+    for rows in ([("P2", "A", "1.00", "n"), ("P2", "B", "1.00", "n")], [(None, "A", "1.00", "n")]):
+        with pytest.raises(PySparkException, match="business key"):
+            scd.scd2_new_versions(dim, batch(spark, rows), SPEC, day(2)).collect()
+
+
+@pytest.mark.parametrize("chunk", [None, "c"])
+def test_history_of_null_keys_and_chunks_and_of_doubled_batches(spark, chunk):
+    spec = scd.Scd2Spec(key=("k",), tracked=("a",), overwrite=("p",))
+    rows = [(None, 1, "x", 1, None), (None, 2, "y", 2, 1), (1, 1, "x", 3, None), (1, 2, "x", 4, 1), (1, 3, "z", 5, 1)]
+    log = spark.createDataFrame(rows, "k int, b int, a string, p int, c int")
+    found = sorted(map(tuple, scd.scd2_history(log, spec, "b", chunk).drop("_hash_diff").collect()), key=repr)
+    assert found == sorted([(None, "x", 1, 1, 2, False), (None, "y", 2, 2, None, True), (1, "x", 4, 1, 3, False),
+                            (1, "z", 5, 3, None, True)], key=repr)
+    twice = log.unionByName(spark.createDataFrame([(1, 2, "q", 9, 1)], log.schema))
+    with pytest.raises(PySparkException, match="two rows of one key and batch"):
+        scd.scd2_history(twice, spec, "b", chunk).collect()
+
+
+def test_apply_reads_the_current_slice_once(spark, tmp_path):
+    dim = scd.scd2_initial(batch(spark, [("P1", "A", "1.00", "n"), ("P2", "A", "1.00", "n")]), SPEC, day(1))
+    dim.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    plan = scd.scd2_apply(dim, batch(spark, [("P1", "B", "1.00", "n")]), SPEC, day(2), 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") - plan.count("Union") <= 1
+    assert plan.count("FileScan") == 2  # the closed rows and the current ones
+
+
+def test_keys_are_never_given_out_twice(spark):
+    """Keys leave and new ones arrive, several times; the mark is kept like a table's."""
+    from layerhouse.operators.keys import keep_keys
+    owners, mark = {}, 0
+    before = spark.createDataFrame([], "k long, sk long")
+    for first, last in ((0, 200), (0, 150), (0, 400), (390, 600), (0, 50)):
+        before = keep_keys(spark.range(first, last).select(F.col("id").alias("k")), before, ["k"], "sk", mark)
+        before = spark.createDataFrame(before.collect(), before.schema)
+        for r in before.collect():
+            owners.setdefault(r.sk, set()).add(r.k)
+            mark = max(mark, r.sk)
+    assert {len(x) for x in owners.values()} == {1}

@@ -60,8 +60,9 @@ def test_fact_with_a_hot_order_and_product(spark):
 def test_dropped_lines_with_a_hot_product(spark):
     products = spark.range(1, 400).select(F.col("id").alias("cod_prodotto"), F.lit(True).alias("is_current"))
     stores = spark.range(3).select(F.col("id").alias("pos_id"), F.lit(True).alias("is_current"))
+    orders = spark.range(5000).select(F.col("id").alias("order_id"), F.lit("2024-01-01").cast("date").alias("data_ordine"))
     with low_thresholds(spark):
-        lost = gold.dropped_lines(lines(spark), products, stores)
+        lost = gold.dropped_lines(lines(spark), orders, products, stores)
         assert lost.count() == lines(spark).filter("cod_prodotto = 0").count()
 
 

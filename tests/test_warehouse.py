@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerhouse import contracts as c
+from layerhouse.__main__ import execute, parse
+from layerhouse.operators import calendar_dim, gold
+from layerhouse.operators.keys import keep_keys, strided_keys
 from layerhouse.plans import generate, warehouse
 from layerhouse.sources import landing, tables
 from layerhouse.streaming.incremental import ingest_new_files
@@ -24,7 +27,8 @@ def empty(checks, names):
     return {name: checks[name].count() for name in names}
 
 
-VIOLATIONS = ("grain", "orphan_products", "orphan_stores", "orphan_days", "one_current_product", "one_current_store")
+VIOLATIONS = ("grain", "orphan_products", "orphan_stores", "orphan_days", "one_current_product", "one_current_store",
+              "dropped_lines", "silver_differs")
 
 
 def test_first_run(spark, first_run):
@@ -128,24 +132,99 @@ def test_malformed_values_are_listed(spark, first_run, tmp_path):
              for name, df in warehouse.rejects(spark).items()}
     assert found == {"brz_sales.ordini_raw": [("data_ordine", "2024-13-45", "broken")],
                      "brz_sales.vendite_raw": [("quantita", "two", "broken")]}
-    warehouse.build_silver(spark, path, "broken", "2025-01-03 06:00:00")
-    violations = {n: df.collect() for n, df in warehouse.contract_checks(spark).items() if "required" in n}
-    assert [r.column_name for r in violations["slv_sales.ordini required"]] == ["data_ordine"]
-    assert [r.column_name for r in violations["slv_sales.vendite required"]] == ["quantita"]
+    held = {n: spark.table(n).count() for n in ("slv_sales.ordini", "slv_sales.vendite")}
+    written = warehouse.build_silver(spark, path, "broken", "2025-01-03 06:00:00")
+    assert written["slv_sales.ordini"] == written["slv_sales.vendite"] == -1
+    assert {n: spark.table(n).count() for n in held} == held  # the old versions stay in view
+    assert {n: df.count() for n, df in warehouse.contract_checks(spark).items() if df.count()} == {}
+    kept = [t for t in tables.list_tables(spark, "slv_sales") if "rejects" in t]
+    assert sorted(t.split("__")[0] for t in kept) == ["ordini", "vendite"]
+    rejected = {t.split("__")[0]: [r.order_id for r in spark.table(f"slv_sales.{t}").collect()] for t in kept}
+    assert rejected == {"ordini": ["ORD-BROKEN"], "vendite": ["ORD-BROKEN"]}
+
+
+def test_lines_are_in_the_fact_or_listed_as_dropped(spark, first_run):
+    lines, orders = spark.table("slv_sales.vendite"), spark.table("slv_sales.ordini")
+    products = spark.table("slv_sales.dim_prodotto").withColumn("is_current", F.col("is_current") & (F.col("sk_prodotto") % 7 != 0))
+    heads = orders.filter(F.crc32(F.col("order_id").cast("binary")) % 5 != 0)
+    lost = gold.dropped_lines(lines, heads, products, spark.table("slv_sales.dim_punto_vendita"))
+    fact = gold.daily_sales_fact(lines, heads, products, spark.table("slv_sales.dim_punto_vendita"))
+    assert {r.missing for r in lost.select("missing").distinct().collect()} == {"order", "product"}
+    amount = lambda df, column: df.agg(F.sum(column)).first()[0]
+    once = lost.dropDuplicates(["order_id", "line_num"])
+    assert amount(fact, "importo_lordo") + amount(once, "importo_riga") == amount(lines, "importo_riga")
+
+
+def test_customer_keys_have_one_owner_over_three_deliveries(spark):
+    """The customers with the largest keys leave, then new ones arrive."""
+    contract = c.Contract("default.clienti_k", "sk BIGINT NOT NULL, k BIGINT NOT NULL", key=("sk",), surrogate="sk")
+    owners: dict = {}
+    for version, (first, last) in enumerate(((0, 300), (0, 100), (0, 500))):
+        incoming = spark.range(first, last).select(F.col("id").alias("k"))
+        if version:
+            numbered = keep_keys(incoming, spark.table(contract.name), ["k"], "sk", tables.high_water(spark, contract))
+        else:
+            numbered = strided_keys(incoming, ["k"], "sk")
+        tables.publish(numbered, contract, f"v{version}")
+        for r in spark.table(contract.name).collect():
+            owners.setdefault(r.sk, set()).add(r.k)
+    assert {len(x) for x in owners.values()} == {1}
+
+
+def test_created_tables_can_be_replaced_and_cleaned(spark):
+    contract = c.Contract("default.date_x", c.GOLD_DATE.ddl, key=("sk_data",))
+    tables.create_table(spark, contract)
+    tables.create_table(spark, contract)
+    assert spark.table(contract.name).count() == 0
+    tables.publish(calendar_dim.date_dimension(spark, 2024, 2024), contract, "v1")
+    assert spark.table(contract.name).count() == 366 and tables.version_before(spark, contract).count() == 0
+    assert len(tables.drop_old_versions(spark, contract)) == 1 and tables.version_before(spark, contract) is None
+
+
+def test_changes_of_the_orders(spark, first_run):
+    feed = warehouse.order_changes(spark)
+    assert feed is None or feed.columns == [*c.SILVER_ORDERS.columns, "_change_type"]
+
+
+def test_check_step_lists_every_violation(spark, first_run, capsys):
+    before = spark.table("gld_sales.dim_data")
+    held = before.count()
+    try:
+        tables.publish(before.filter("anno <> 2023"), c.GOLD_DATE, "short")
+        assert execute(spark, parse(["check"])) == 1
+        assert spark.table("qa.orphan_days").count() > 20
+    finally:
+        tables.publish(calendar_dim.date_dimension(spark, 2020, 2030), c.GOLD_DATE, "whole")
+    assert spark.table("gld_sales.dim_data").count() == held
+    assert "orphan_days" in capsys.readouterr().out
+
+
+def test_large_partitions_are_cut(spark, tmp_path):
+    fact = spark.range(200_000).select(F.lit(20240101).alias("sk_data"), F.col("id"), F.rand(1).alias("r"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        contract = c.Contract("x", "sk_data INT, id BIGINT, r DOUBLE", key=("sk_data", "id"), partition_by=("sk_data",))
+        tables.clustered(fact, contract).write.partitionBy("sk_data").parquet(str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(spark.read.parquet(str(tmp_path / "hot")).inputFiles()) > 2
 
 
 def test_append_is_idempotent_per_batch(spark):
-    contract = c.Contract("default.raw_x", "v STRING, _batch_id STRING", partition_by=("_batch_id",))
+    contract = c.Contract("default.raw_x", "v STRING, _batch_id STRING", partition_by=("_batch_id",), appended=True)
     load = lambda n, b: tables.append_batch(spark.range(n).select(F.col("id").cast("string").alias("v"), F.lit(b).alias("_batch_id")), contract, b)
     assert [load(3, "a"), load(2, "b"), load(3, "a")] == [3, 2, 3]
     assert dict(spark.table("default.raw_x").groupBy("_batch_id").count().collect()) == {"a": 3, "b": 2}
 
 
 def test_tsv_keeps_null_and_empty(spark, tmp_path):
-    df = spark.createDataFrame([("1", None, ""), ("2", "", "x"), ("3", "a b", None)], "a string, b string, c string")
+    df = spark.createDataFrame([("1", None, ""), ("2", "", "x"), ("3", "a b", None), ("a\tb", "\\N", "\\\\t\t\\"),
+                                ("x\ny", "\r\n", "\\n\\"), ("\\", "\\\\", "é")], "a string, b string, c string")
     landing.write_tsv(df, str(tmp_path / "t"))
     back = landing.read_tsv(spark, str(tmp_path / "t"), df.columns)
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    with pytest.raises(Exception, match="2 fields expected"):
+        landing.read_tsv(spark, str(tmp_path / "t"), ["a", "b"]).collect()
 
 
 def test_csv_keeps_commas_quotes_and_checks_header(spark, tmp_path):
@@ -160,7 +239,7 @@ def test_csv_keeps_commas_quotes_and_checks_header(spark, tmp_path):
 
 def test_new_files_are_loaded_once(spark, tmp_path):
     tables.create_schemas(spark, ["stream_raw"])
-    contract = c.Contract("stream_raw.ordini_raw", c.BRONZE_ORDERS.ddl, partition_by=("_batch_id",))
+    contract = c.Contract("stream_raw.ordini_raw", c.BRONZE_ORDERS.ddl, partition_by=("_batch_id",), appended=True)
     folder, check = str(tmp_path / "in"), str(tmp_path / "check")
     columns = c.SOURCE_COLUMNS["ordini"]
 
@@ -176,3 +255,8 @@ def test_new_files_are_loaded_once(spark, tmp_path):
     assert ingest_new_files(*args) == 3
     assert spark.table(contract.name).count() == 8
     assert spark.table(contract.name).select("_batch_id").distinct().count() == 2
+    swapped = spark.range(1).select(*[F.lit("v").alias(x) for x in (columns[1], columns[0], *columns[2:])])
+    swapped.coalesce(1).write.mode("append").option("header", True).csv(folder)
+    with pytest.raises(Exception):
+        ingest_new_files(*args)
+    assert spark.table(contract.name).count() == 8
