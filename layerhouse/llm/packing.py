@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from layerhouse.llm import tokenizer
 from layerhouse.llm.common import saved
 
+ROWS = 1024
+
 
 def _pair(left: np.ndarray, gap: int) -> tuple[int, int] | None:
     """Two available lengths with the sum ``gap``, the larger as large as possible."""
@@ -111,7 +113,7 @@ def cut(docs: DataFrame, size: int, path: str, end: int, doc_id: str = "doc_id",
     def run(batches):
         encoder, seen = tokenizer.load(path), np.zeros(size + 1, np.int64)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
             ids, n = encoder.encode(batch.column(1))
             stops = np.cumsum(n)
             total = n + 1

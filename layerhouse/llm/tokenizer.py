@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from layerhouse.llm.common import slices, string_bytes
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 STOPS = ".,!?;:"
 _LOADED: dict[tuple[str, int], Encoder] = {}
 
@@ -29,7 +29,7 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def load(path: str, most_pieces: int = 1_500_000) -> Encoder:
+def load(path: str, most_pieces: int = 1_000_000) -> Encoder:
     """The worker's own encoder, kept between tasks."""
     key = (path, most_pieces)
     if key not in _LOADED:
@@ -50,9 +50,12 @@ def _splits_at_spaces(tokenizer) -> bool:
 
 
 class Encoder:
-    """``most_pieces`` bounds the cache (some 100 bytes each); a full one keeps what is in use just now."""
+    """``most_pieces`` bounds the cache (some 100 bytes each); a full one keeps what is in use just now.
 
-    def __init__(self, path: str, most_pieces: int = 1_500_000):
+    New pieces are looked up in a small index of their own, which is merged into the large one now and then.
+    """
+
+    def __init__(self, path: str, most_pieces: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -82,7 +85,7 @@ class Encoder:
         return np.multiply.accumulate(steps)
 
     def _forget(self) -> None:
-        self.known = pd.Index(np.zeros(0, np.uint64))
+        self.known = self.fresh = pd.Index(np.zeros(0, np.uint64))
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
@@ -109,23 +112,35 @@ class Encoder:
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(held) - held])
         self.flat = np.concatenate([self.flat, flat])
         self.count = np.concatenate([self.count, count])
-        self.known = pd.Index(np.concatenate([self.known.to_numpy(), hashes]))
+        self.fresh = pd.Index(np.concatenate([self.fresh.to_numpy(), hashes]))
+        if len(self.fresh) > 50_000 + len(self.known) // 4:
+            self.known = pd.Index(np.concatenate([self.known.to_numpy(), self.fresh.to_numpy()]))
+            self.fresh = pd.Index(np.zeros(0, np.uint64))
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Cache entry of each hash, -1 for those that are not there."""
+        found = self.known.get_indexer(hashes)
+        other = np.flatnonzero(found < 0)
+        if len(other) and len(self.fresh):
+            late = self.fresh.get_indexer(hashes[other])
+            found[other] = np.where(late < 0, -1, late + len(self.known))
+        return found
 
     def _entries(self, hashes: np.ndarray, piece_of) -> np.ndarray:
         """Cache entry of each hash; ``piece_of(i)`` is the text of the i-th."""
-        found = self.known.get_indexer(hashes)
-        if not (found < 0).any():
+        found = self._find(hashes)
+        new = np.flatnonzero(found < 0)
+        if not len(new):
             return found
-        if len(self.known) + int((found < 0).sum()) > self.most_pieces:
+        if len(self.count) + len(new) > self.most_pieces:
             kept = found[found >= 0]
             held = np.maximum(self.count[kept], 0)
             first = np.cumsum(held) - held
             self.flat = self.flat[np.repeat(self.first[kept] - first, held) + np.arange(held.sum())]
             self.first, self.count = first, self.count[kept]
-            self.known = pd.Index(self.known.to_numpy()[kept])
-        new = np.flatnonzero(found < 0)
+            self.known, self.fresh = pd.Index(hashes[found >= 0]), pd.Index(np.zeros(0, np.uint64))
         self._learn(hashes[new], [piece_of(i) for i in new.tolist()])
-        return self.known.get_indexer(hashes)
+        return self._find(hashes)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
