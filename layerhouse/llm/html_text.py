@@ -15,6 +15,7 @@ import html
 import re
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,11 @@ def lines(page: str) -> list[tuple[str, str]]:
                 pieces.append(token.group())
             continue
         tag = tag.lower()
+        if tag in RAW_TAGS:  # not shown, so it does not break the line it stands in
+            if not token.group(1):
+                close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                at = close.end() if close else end
+            continue
         if tag not in INLINE_TAGS:
             flush()
         elif tag == "br":
@@ -111,10 +117,6 @@ def lines(page: str) -> list[tuple[str, str]]:
                     break
             continue
         attributes = token.group(3)
-        if tag in RAW_TAGS:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
-            continue
         if tag in VOID_TAGS or attributes.endswith("/") and tag in INLINE_TAGS:
             continue
         what = "article" if tag in ("article", "main") else _outside(tag, attributes)
@@ -217,26 +219,30 @@ def main_text(own: list[tuple[str, str]], other: list[tuple[str, str]] | None) -
     return "\n".join(kept)
 
 
-def _packed(found: list[tuple[str, str]]) -> str:
-    return "\n".join(kind + text for kind, text in found)
+def _packed(found: list[tuple[str, str]]) -> bytes:
+    """The lines as they are shuffled: one text, compressed."""
+    return zstandard.compress("\n".join(kind + text for kind, text in found).encode())
 
 
-def _unpacked(packed: str | None) -> list[tuple[str, str]] | None:
-    return None if packed is None else [(x[0], x[1:]) for x in packed.split("\n")] if packed else []
+def _unpacked(packed: bytes | None) -> list[tuple[str, str]] | None:
+    if packed is None:
+        return None
+    text = zstandard.decompress(packed).decode()
+    return [(x[0], x[1:]) for x in text.split("\n")] if text else []
 
 
-_LINED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.string())])
+_LINED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.binary())])
 _DONE = "page_id long, url string, text string"
 _EDGE = pa.schema([
     ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("part", pa.int32()), ("edge", pa.int32()),
-    ("host", pa.string()), ("path", pa.string()), ("lines", pa.string()), ("near_path", pa.string()), ("near_lines", pa.string())])
+    ("host", pa.string()), ("path", pa.string()), ("lines", pa.binary()), ("near_path", pa.string()), ("near_lines", pa.binary())])
 ROWS = 512
 
 
 def _split(batches):
     for batch in batches:
         packed = [_packed(lines(x or "")) for x in batch.column(4).to_pylist()]
-        yield pa.record_batch([*batch.columns[:4], pa.array(packed, pa.string())], schema=_LINED)
+        yield pa.record_batch([*batch.columns[:4], pa.array(packed, pa.binary())], schema=_LINED)
 
 
 def _batched(rows, schema):
@@ -301,8 +307,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     source = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
         path_of(F.col(url)).alias("path"), F.col(page).alias("html"))
-    lined = source.mapInArrow(_split, "page_id long, url string, host string, path string, lines string")
-    extra = ", part int, edge int, host string, path string, lines string, near_path string, near_lines string"
+    lined = source.mapInArrow(_split, "page_id long, url string, host string, path string, lines binary")
+    extra = ", part int, edge int, host string, path string, lines binary, near_path string, near_lines binary"
     done = saved(ordered(lined, "host", "path", "page_id", "url", "lines").mapInArrow(_partition, _DONE + extra), "pages")
     edges = done.filter("edge > 0")
     links = beside(edges.select("part"))
