@@ -1,14 +1,13 @@
 """License scan: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line of a text. Its words and word pairs that are typical of license notices (the anchors: words
-of the templates that hardly occur in the corpus, and pairs that hold one) are the features of a multinomial
-logistic regression with an elastic net, so most weights are zero. It is trained on the templates with words left
+A paragraph is a line of a text. The anchors are the words of the templates that hardly occur in the corpus; a
+paragraph without one is unknown and never leaves the scan. Of the others, the anchors and the word pairs of the
+templates are the features of a multinomial logistic regression with an elastic net, so most weights are zero. It is trained on the templates with words left
 out, on scraps of them, and on a bounded sample of the corpus; the last two are the class ``unknown``. A
 temperature fitted on held-out variants makes the scores probabilities. A prediction counts if the template of
 its family is found in the paragraph, by the share of the template's word triples.
 
-Only DataFrame functions and Spark's own estimators. A paragraph without an anchor has no feature at all and is
-unknown whatever the weights; such documents never leave the scan.
+Only DataFrame functions and Spark's own estimators.
 """
 
 from __future__ import annotations
@@ -165,10 +164,10 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, rare: float =
         frequent = {r["word"] for r in common.collect() if r["count"] > rare * n_lines}  # words of the templates only
         anchors = sorted({r["word"] for r in held.collect()} - frequent - {"0"})
         terms = templates.select(F.explode(_terms(F.col("own"))).alias("term")).distinct().collect()
-        vocabulary = sorted(r["term"] for r in terms if not {*r["term"].split(" ")}.isdisjoint(anchors))
-        # Variants of the templates: whole, and with every fifth word left out by a hash.
+        vocabulary = sorted(r["term"] for r in terms if " " in r["term"] or r["term"] in {*anchors})
+        # Variants of the templates: two in three whole, the others with about every sixth word left out by a hash.
         copies = templates.select("family", "own", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("copy"))
-        thinned = F.filter("own", lambda w, i: (F.col("copy") == 0) | (F.pmod(F.xxhash64(w, i, "copy"), F.lit(5)) != 0))
+        thinned = F.filter("own", lambda w, i: (F.col("copy") % 3 != 1) | (F.pmod(F.xxhash64(w, i, "copy"), F.lit(6)) != 0))
         known = copies.select("family", thinned.alias("own"), "copy")
         # Scraps: a third of the words, or one word, say nothing.
         scrap = F.filter("own", lambda w, i: F.when(F.col("copy") % 2 == 0, F.pmod(F.xxhash64(w, i, "copy"), F.lit(4)) == 0).otherwise(
