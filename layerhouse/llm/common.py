@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+import layerhouse
 from layerhouse.session import work_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once per application.
+
+    Their Python workers import it, and need not share the driver's folders. Where the package comes from an
+    archive (``--py-files``) Spark has sent it already.
+    """
+    context, root = spark.sparkContext, Path(layerhouse.__file__).parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="layerhouse-")) / "layerhouse.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """Writes ``df`` below the shared folder and returns the table read back: cuts the lineage.
@@ -22,10 +44,6 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(name: str):
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all strings of a column and the offsets between them; null counts as empty."""
     if column.null_count:
@@ -55,4 +73,5 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
