@@ -5,6 +5,9 @@ The plan takes the longest length that is left and looks up what fills its gap e
 two, or three, by the sums they have; a combination is used as often as its lengths are available.
 What no combination completes goes best-fit, the longest that fits first. The plan is a short list of
 slots; each piece finds its own by its length and its number among the pieces of that length.
+
+Pairs and triples use up short pieces that best-fit may need to fill other gaps, so the plan is made with
+combinations of up to three, two and one lengths, and the one with the fewest sequences is taken.
 """
 
 from __future__ import annotations
@@ -34,13 +37,13 @@ def _pair(left: np.ndarray, gap: int) -> tuple[int, int] | None:
     return (gap - int(low[found[0]]), int(low[found[0]])) if len(found) else None
 
 
-def _complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that fill ``gap`` exactly."""
+def _complement(left: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
+    """One to ``most`` (three) available lengths that fill ``gap`` exactly."""
     if left[gap]:
         return (gap,)
-    if pair := _pair(left, gap):
+    if most > 1 and (pair := _pair(left, gap)):
         return pair
-    for a in range(gap - 2, gap // 3 - 1, -1):
+    for a in () if most < 3 else range(gap - 2, gap // 3 - 1, -1):
         if a > 0 and left[a]:
             left[a] -= 1
             pair = _pair(left, gap - a)
@@ -52,6 +55,10 @@ def _complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
 
 def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, how often) such that every piece is placed once and none exceeds ``size``."""
+    return min((_plan(counts, size, most) for most in (3, 2, 1)), key=lambda made: sum(times for _, times in made))
+
+
+def _plan(counts: dict[int, int], size: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     left = np.zeros(size + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -69,7 +76,7 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]
     for length in range(size - 1, 0, -1):
         while left[length]:
             left[length] -= 1
-            found = _complement(left, size - length)
+            found = _complement(left, size - length, most)
             left[length] += 1
             if found is None:
                 break
