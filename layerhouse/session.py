@@ -14,6 +14,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tasks that list the folders of a partitioned table; the default is one for each folder up to 10,000.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 # UTC keeps timestamps comparable between runs.
