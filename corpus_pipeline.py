@@ -9,24 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from layerhouse.llm import decontaminate, language, packing, quality, simhash
-from layerhouse.llm.common import saved, ship, table
+from layerhouse.llm.common import ready, saved, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what the weak-label classifier, fitted on these documents, does not reject."""
-    ship(spark)
+    ready(spark)
     return quality.keep(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what has a language that can be told, by a model learned from these documents."""
-    ship(spark)
+    ready(spark)
     return language.keep(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: that of the smallest doc_id."""
-    ship(spark)
+    ready(spark)
     return simhash.deduplicate(docs, shingle=3, distance=3)
 
 
@@ -37,7 +37,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 1024 tokens."""
-    ship(spark)
+    ready(spark)
     return packing.pack(docs, size=1024, end=2)
 
 

@@ -17,12 +17,16 @@ from layerhouse.session import work_dir
 _SHIPPED: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package's sources to the executors, once per application.
+BATCH_BYTES = "8m"
 
-    Their Python workers import it, and need not share the driver's folders. Where the package comes from an
-    archive (``--py-files``) Spark has sent it already.
+
+def ready(spark: SparkSession) -> None:
+    """Bounds what a Python worker gets at once, and sends it this package's sources, once per application.
+
+    The bound is a setting of the caller's session, and stays: batches of 8 MB instead of 64. The workers need
+    not share the driver's folders; where the package comes from an archive (``--py-files``) Spark has sent it already.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context, root = spark.sparkContext, Path(layerhouse.__file__).parent
     if context.applicationId in _SHIPPED or not root.is_dir():
         return
@@ -60,6 +64,11 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[ends[0]:ends[-1]], ends - ends[0]
 
 
+def text_column(batch: pa.RecordBatch) -> pa.Array:
+    """The column ``text``, or the field of that name of whole rows that travel in the first column."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column(0).field("text")
+
+
 def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Cuts a row of items into runs of at most ``most`` bytes (one larger item is a run of its own)."""
     start, held = 0, 0
@@ -73,5 +82,5 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

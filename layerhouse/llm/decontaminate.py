@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerhouse.llm.common import saved, string_bytes
+from layerhouse.llm.common import saved, string_bytes, text_column
 
 #: Bytes that separate words; A-Z becomes a-z. Every byte of a character beyond ASCII belongs to a word.
 FOLD = bytes(
     (c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isascii() and chr(c).isalnum() else 32 for c in range(256))
 STATE = "hits array<struct<start:long,stop:long>>, items array<string>"
+RESULT = "n_words long, n_hit long, items array<string>, contaminated boolean"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -122,29 +123,30 @@ def blocks(benchmark: DataFrame, block_bytes: int, item_id: str = "item_id", tex
         yield [(r[0], r[1].encode()) for r in mine.collect()]
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = 13, doc_id: str = "doc_id", text: str = "text",
+def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = 13, doc_id: str = "doc_id", text: str | None = "text",
                 block_bytes: int = 16 << 20) -> DataFrame:
     """Rows (doc_id, n_words, n_hit, items, contaminated), one for each row of ``docs``.
 
     A word is hit if it lies inside an occurrence of a window. ``items`` holds the names of the items that
     occur, sorted as strings. contaminated: at least one word in twenty is hit. A null text has no
     words; items without words have no window; an empty benchmark hits nothing. The rows keep
-    their repetitions, and doc_id may be null.
+    their repetitions, and doc_id may be null and of any type. Without ``text`` the text is a field of doc_id,
+    which then holds the whole row.
     """
-    state = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    state = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
+    carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema.fields)
     kind = state.schema["doc_id"].dataType.simpleString()
-    pending = list_first(blocks(benchmark, block_bytes))
+    pending = list_first(blocks(benchmark, block_bytes)) or ([], iter(()))
     state = state.withColumns({
         "hits": F.lit(None).cast("array<struct<start:long,stop:long>>"), "items": F.lit(None).cast("array<string>")})
     while pending:
         block, following = pending
-        state = state.mapInArrow(
-            _pass(docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block)), size),
-            f"doc_id {kind}, text string, {STATE}")
         pending = list_first(following)
-        if pending:  # one block in a worker's memory at a time
-            state = saved(state, "decontamination")
-    return state.mapInArrow(_digest, f"doc_id {kind}, n_words long, n_hit long, items array<string>, contaminated boolean")
+        search_block = _pass(docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block)), size, last=not pending)
+        if not pending:
+            return state.mapInArrow(search_block, f"doc_id {kind}, {RESULT}")
+        # One block in a worker's memory at a time.
+        state = saved(state.mapInArrow(search_block, f"{carried}, {STATE}"), "decontamination")
 
 
 def list_first(iterator):
@@ -157,44 +159,44 @@ def list_first(iterator):
 _TABLES: dict = {}
 
 
-def _pass(block, size: int):
+def _pass(block, size: int, last: bool):
+    """Adds the hits of one block to the rows; the last block also counts."""
+
     def run(batches):
         name, items_of_block = block.value
         if _TABLES.get("name") != name:
             _TABLES.update(name=name, made=searchers(items_of_block, size))
         tables, names = _TABLES["made"]
         for batch in batches:
-            data, ends = string_bytes(batch.column(1))
-            raw, hits, items = data.tobytes(), [], []
-            for a, b, old, had in zip(ends[:-1], ends[1:], batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                spans, found = search(words_of(raw[a:b]), tables)
-                spans = merged([*spans, *((x["start"], x["stop"]) for x in old or ())])
-                hits.append([{"start": s, "stop": e} for s, e in spans])
+            data, ends = string_bytes(text_column(batch))
+            raw, hits, items, n_words = data.tobytes(), [], [], []
+            before = zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist())
+            for a, b, (old, had) in zip(ends[:-1], ends[1:], before):
+                words = words_of(raw[a:b])
+                spans, found = search(words, tables)
+                hits.append(merged([*spans, *((x["start"], x["stop"]) for x in old or ())]))
                 items.append(sorted({*(names[i] for i in found if names[i] is not None), *(had or ())}))
-            schema = batch.schema
-            yield pa.record_batch([
-                batch.column(0), batch.column(1), pa.array(hits, schema.field(2).type), pa.array(items, schema.field(3).type)],
-                names=schema.names)
+                n_words.append(len(words))
+            if last:
+                yield _digest(batch.column(0), n_words, hits, items)
+            else:
+                hits = [[{"start": s, "stop": e} for s, e in spans] for spans in hits]
+                yield pa.record_batch([
+                    *batch.columns[:-2], pa.array(hits, batch.column("hits").type), pa.array(items, batch.column("items").type)],
+                    names=batch.schema.names)
 
     return run
 
 
-def _digest(batches):
-    for batch in batches:
-        data, ends = string_bytes(batch.column(1))
-        raw = data.tobytes()
-        n_words = [len(words_of(raw[a:b])) for a, b in zip(ends[:-1], ends[1:])]
-        n_hit = [sum(x["stop"] - x["start"] for x in spans or ()) for spans in batch.column(2).to_pylist()]
-        items = [x or [] for x in batch.column(3).to_pylist()]
-        yield pa.record_batch([
-            batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
-            pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words)], pa.bool_())],
-            names=["doc_id", "n_words", "n_hit", "items", "contaminated"])
-
+def _digest(doc_id: pa.Array, n_words: list[int], hits: list, items: list) -> pa.RecordBatch:
+    n_hit = [sum(stop - start for start, stop in spans) for spans in hits]
+    return pa.record_batch([
+        doc_id, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
+        pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words)], pa.bool_())],
+        names=["doc_id", "n_words", "n_hit", "items", "contaminated"])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    row = F.struct(*docs.columns)
-    judged = occurrences(docs.select(row.alias("_row"), "text"), benchmark, size, doc_id="_row")
+    judged = occurrences(docs.select(F.struct(*docs.columns).alias("_row")), benchmark, size, doc_id="_row", text=None)
     return judged.filter(~F.col("contaminated")).select("doc_id.*")

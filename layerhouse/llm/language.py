@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerhouse.llm.common import text_column
+
 
 DIMENSIONS = 1 << 15
 SAMPLE = 4000
@@ -169,21 +171,23 @@ def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample:
     return Model(classes, idf, weights, temperature(logits, np.array([t for _, _, t in tuning], np.int64)))
 
 
-def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str | None = "text") -> DataFrame:
     """Rows (doc_id, lang_pred, score), one for each row; doc_id may be of any type.
 
+    Without ``text`` the text is a field of doc_id, which then holds the whole row.
+
     ``und`` with score 0 if the text is null or has no letter. Repeated rows stay, an empty table gives none.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            found = [sent.value.predict(t.as_py()) for t in batch.column(1)]
+            found = [sent.value.predict(t.as_py()) for t in text_column(batch)]
             yield pa.record_batch([
                 batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
 
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
@@ -198,6 +202,6 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def keep(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """The rows whose language is told with a score of at least ``least``, with all their columns."""
     model = fit(docs, ~held_out(F.col("doc_id")), sample=sample)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    found = predict(rows, model, doc_id="_row").filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    found = predict(rows, model, doc_id="_row", text=None).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return found.select("doc_id.*")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerhouse.llm.common import string_bytes
+from layerhouse.llm.common import string_bytes, text_column
 
 HEURISTICS = ("symbols", "capitals", "shouts", "stutter", "phrases", "lines", "plain", "sentences", "tidy")
 DIMENSIONS = 1 << 12
@@ -150,7 +150,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 12, ra
 
 
 def _texts(batch):
-    data, ends = string_bytes(batch.column("text"))
+    data, ends = string_bytes(text_column(batch))
     raw = data.tobytes()
     return (raw[a:b] for a, b in zip(ends[:-1], ends[1:]))
 
@@ -207,9 +207,11 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
     return Model(posterior, chance, share, weights)
 
 
-def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least: float = 0.4) -> DataFrame:
+def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str | None = "text", least: float = 0.4) -> DataFrame:
     """Rows (doc_id, votes, posterior, score, keep), one for each row; doc_id may be of any type.
 
+    Without ``text`` the text is a field of doc_id, which then holds the whole row.
+
     A text without words, or null, scores 0 and is rejected. Repeated rows stay, an empty table gives none.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -222,12 +224,12 @@ def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 batch.column(0), pa.array(pattern, pa.string()), pa.array(posterior, pa.float64()), pa.array(score, pa.float64()),
                 pa.array([s >= least for s in score], pa.bool_())], names=["doc_id", "votes", "posterior", "score", "keep"])
 
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {kind}, votes string, posterior double, score double, keep boolean")
 
 
 def keep(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that the classifier fitted on them does not reject, with all their columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return judge(rows, fit(docs, sample=sample), doc_id="_row").filter("keep").select("doc_id.*")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    return judge(rows, fit(docs, sample=sample), doc_id="_row", text=None).filter("keep").select("doc_id.*")

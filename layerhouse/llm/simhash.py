@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerhouse.llm.common import saved, string_bytes
+from layerhouse.llm.common import saved, string_bytes, text_column
 from layerhouse.llm.components import components
 
 BITS = 64
@@ -161,22 +161,22 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     ids = docs.withColumns({
         "_row": F.struct(*columns), "_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
     kept = best.select(F.col("none").alias("_none"), F.col("id").alias("_id"), F.col("fp").alias("_fp"))
-    near = ids.select("_row", "_none", "_id", "text").join(kept, ["_none", "_id"])
+    near = ids.select("_row", "_none", "_id").join(kept, ["_none", "_id"])
     return _of_fingerprint(near, shingle, columns)
 
 
 def _of_fingerprint(near: DataFrame, shingle: int, columns: list[str]) -> DataFrame:
-    """Of rows (_row, _none, _id, text, _fp): those whose text has that fingerprint, the smallest text once."""
+    """Of rows (_row, _none, _id, _fp): those whose text has that fingerprint, the smallest text once."""
     kind = near.schema["_row"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            data, ends = string_bytes(batch.column("text"))
+            data, ends = string_bytes(text_column(batch))
             raw, wanted = data.tobytes(), batch.column("_fp").to_numpy().view(np.uint64).tolist()
             same = [fingerprint(raw[a:b], shingle) == w for a, b, w in zip(ends[:-1], ends[1:], wanted)]
-            yield batch.select(["_row", "_none", "_id", "_fp"]).filter(pa.array(same, pa.bool_()))
+            yield batch.filter(pa.array(same, pa.bool_()))
 
-    found = near.select("_row", "_none", "_id", "text", "_fp").mapInArrow(
+    found = near.select("_row", "_none", "_id", "_fp").mapInArrow(
         run, f"_row {kind}, _none boolean, _id long, _fp long")
     once = Window.partitionBy("_none", "_id", "_fp").orderBy(F.col("_row.text"))
     return found.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row.*")
