@@ -309,7 +309,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         path_of(F.col(url)).alias("path"), F.col(page).alias("html"))
     lined = source.mapInArrow(_split, "page_id long, url string, host string, path string, lines binary")
     extra = ", part int, edge int, host string, path string, lines binary, near_path string, near_lines binary"
-    done = saved(ordered(lined, "host", "path", "page_id", "url", "lines").mapInArrow(_partition, _DONE + extra), "pages")
+    done = saved(ordered(lined, "host", "path", "page_id", "url", ties="lines").mapInArrow(_partition, _DONE + extra), "pages")
     edges = done.filter("edge > 0")
     links = beside(edges.select("part"))
     last = edges.filter("edge >= 2").select("part", *(F.col(c).alias(f"{c}_before") for c in ("host", "path", "lines")))

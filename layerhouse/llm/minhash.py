@@ -156,11 +156,11 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Each text is compared with itself after an edit, whose last third comes from the start of the next
     document in descending doc_id, and with that document. The last document is followed by the first, a
     single one by itself. Null texts count as empty; null doc_ids come last; rows of one id are
-    ordered by text. Texts without words have an empty fingerprint: equal to each other, unlike all else.
+    ordered by a hash of the text. Texts without words have an empty fingerprint: equal to each other, unlike all else.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     extra = ", part int, edge int, text string"
-    done = saved(ordered(docs, F.col("doc_id").desc_nulls_last(), F.col("text")).mapInArrow(_partition, FIELDS + extra), "minhash")
+    done = saved(ordered(docs, F.col("doc_id").desc_nulls_last(), ties="text").mapInArrow(_partition, FIELDS + extra), "minhash")
     first = done.filter("edge = 1").select(
         F.col("part").alias("after"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
     links = beside(done.filter("edge = 1").select("part"))

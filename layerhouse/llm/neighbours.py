@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ordered(df: DataFrame, *order) -> DataFrame:
-    """Range partitions in the order given, sorted inside; the adaptive planner may merge neighbouring ones."""
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+def ordered(df: DataFrame, *order, ties: str) -> DataFrame:
+    """Range partitions in the order given, sorted inside; the adaptive planner may merge neighbouring ones.
+
+    Rows equal in ``order`` follow the hash of the column ``ties`` and then the column itself. The bounds of the
+    partitions are made of the order and that hash, so no long value goes to the driver, and many rows of one
+    key can be cut.
+    """
+    mark = F.xxhash64(ties)
+    return df.repartitionByRange(*order, mark).sortWithinPartitions(*order, mark, ties)
 
 
 def beside(parts: DataFrame, part: str = "part") -> DataFrame:

@@ -114,7 +114,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int =
     spark = docs.sparkSession
     vocabulary = vocabulary or tokenizer.vocabulary_path()
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    raw = saved(ordered(source, F.col("doc_id").asc_nulls_first(), F.col("text")).mapInArrow(
+    raw = saved(ordered(source, F.col("doc_id").asc_nulls_first(), ties="text").mapInArrow(
         _tokenized(vocabulary, end),
         "part int, seq long, doc_ids array<long>, n_tokens array<long>, inside long, n long, ids binary, counts binary"), "ids")
     seen = raw.filter("seq < 0").select("counts").mapInArrow(_counted, "id long, n long").groupBy("id").agg(
@@ -170,7 +170,7 @@ def stored(docs: DataFrame, vocabulary: str | None = None, end: int = 0) -> Data
     """Writes the store below the shared folder and reads a digest of each document back.
 
     Null and empty texts have the end id alone. Null doc_ids come first, rows of one id in the order of
-    their text. An empty table gives an empty store and no rows.
+    their text's hash. An empty table gives an empty store and no rows.
     """
     path = work_dir(docs.sparkSession, "tokens")
     write(docs, path, vocabulary, end)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from layerhouse.llm import html_text, minhash
 from layerhouse.llm.queries import QUERIES
 from tests.llm.conftest import SF
+from tests.llm.test_tokens import tie
 
 
 # --- fingerprints ---
@@ -25,7 +26,7 @@ def jaccard(a: str, b: str) -> float:
 
 def edits(rows: list) -> list:
     """(doc_id, text, edited, next) of every row by the plain rule."""
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), tie(r[1])))
     texts = [t or "" for _, t in order]
     out = []
     for i, text in enumerate(texts):
