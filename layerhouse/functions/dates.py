@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Italian public holidays on a fixed date, as month * 100 + day.
 FIXED_HOLIDAYS = (101, 106, 425, 501, 602, 815, 1101, 1208, 1225, 1226)
 
+# Fixed value.
 FISCAL_YEAR_FIRST_MONTH = 7
 
 

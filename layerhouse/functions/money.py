@@ -16,6 +16,7 @@ TAX_RATE_BY_CATEGORY = {
 }
 TAX_RATE_DEFAULT = 4
 
+# Fixed value: the divisor that takes the flat rate out of a gross amount.
 FLAT_NET_RATE = Decimal("1.10")
 
 

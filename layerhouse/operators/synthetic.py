@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,13 +11,21 @@ from layerhouse.functions import random_values as rv
 from layerhouse.functions.money import line_amount
 from layerhouse.operators.keys import dense_position
 
+
+class Cluster(NamedTuple):
+    name: str
+    share: float
+    stores: int
+    regions: tuple[str, ...]
+
+
 # Share of orders, number of stores and region codes of each cluster.
 CLUSTERS = (
-    ("Nord-Ovest", 0.35, 15, ("MI", "TO", "GE")),
-    ("Nord-Est", 0.22, 10, ("VE", "UD", "TN")),
-    ("Centro", 0.23, 12, ("FI", "RM", "PG")),
-    ("Sud", 0.15, 9, ("NA", "BA", "CZ")),
-    ("Isole", 0.05, 4, ("PA", "CA")),
+    Cluster("Nord-Ovest", 0.35, 15, ("MI", "TO", "GE")),
+    Cluster("Nord-Est", 0.22, 10, ("VE", "UD", "TN")),
+    Cluster("Centro", 0.23, 12, ("FI", "RM", "PG")),
+    Cluster("Sud", 0.15, 9, ("NA", "BA", "CZ")),
+    Cluster("Isole", 0.05, 4, ("PA", "CA")),
 )
 
 # Cities of customers and their province codes.
@@ -62,7 +71,7 @@ def quantity(seed: int, row_id: Column, stream: str = "quantity") -> Column:
 
 def cluster_choice(seed: int, row_id: Column, stream: str = "store") -> Column:
     return rv.weighted_choice(
-        rv.uniform(seed, stream, row_id), [c[0] for c in CLUSTERS], [c[1] for c in CLUSTERS]
+        rv.uniform(seed, stream, row_id), [c.name for c in CLUSTERS], [c.share for c in CLUSTERS]
     )
 
 

@@ -9,6 +9,7 @@ from layerhouse.functions import formats, money, random_values as rv
 from layerhouse.operators import synthetic as syn
 from layerhouse.sources.landing import write_csv
 
+# The days that orders are drawn from.
 FIRST_DAY, LAST_DAY = "2023-01-01", "2024-12-31"
 
 
@@ -17,7 +18,7 @@ def stores(spark: SparkSession, seed: int = 42) -> DataFrame:
     number = F.col("id") + 1
     last, bounds = 0, []
     for cluster in syn.CLUSTERS:
-        last += cluster[2]
+        last += cluster.stores
         bounds.append((cluster, last))
     u = rv.uniform(seed, "region", number)
     cluster, region = F.lit(None).cast("string"), F.lit(None).cast("string")
