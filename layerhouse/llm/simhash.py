@@ -157,26 +157,25 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     marked, members = _rooted(docs, "doc_id", "text", shingle, distance)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("fp"))
     best = marked.distinct().join(members, "fp").groupBy("root").agg(F.min(rank).alias("best")).select("best.*")
-    # The text is fingerprinted again rather than carried through the joins: it is shuffled only once.
-    ids = docs.withColumns({
-        "_row": F.struct(*columns), "_none": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
     kept = best.select(F.col("none").alias("_none"), F.col("id").alias("_id"), F.col("fp").alias("_fp"))
-    near = ids.select("_row", "_none", "_id").join(kept, ["_none", "_id"])
-    return _of_fingerprint(near, shingle, columns)
+    # The rows are fingerprinted again rather than carried through all of the above. They meet the chosen ones on
+    # id and fingerprint, which keeps apart the texts of one id; the same exchange serves the choice of one row.
+    rows = _with_fingerprint(docs.select(F.struct(*columns).alias("_row")), shingle).withColumns({
+        "_none": F.col("_row.doc_id").isNull(), "_id": F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(0))})
+    found = rows.join(kept, ["_none", "_id", "_fp"], "left_semi")
+    once = Window.partitionBy("_none", "_id", "_fp").orderBy(F.col("_row.text"))
+    return found.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row.*")
 
 
-def _of_fingerprint(near: DataFrame, shingle: int, columns: list[str]) -> DataFrame:
-    """Of rows (_row, _none, _id, _fp): those whose text has that fingerprint, the smallest text once."""
-    kind = near.schema["_row"].dataType.simpleString()
+def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
+    """Adds the fingerprint of the text in ``_row`` as ``_fp``."""
+    kind = rows.schema["_row"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             data, ends = string_bytes(text_column(batch))
-            raw, wanted = data.tobytes(), batch.column("_fp").to_numpy().view(np.uint64).tolist()
-            same = [fingerprint(raw[a:b], shingle) == w for a, b, w in zip(ends[:-1], ends[1:], wanted)]
-            yield batch.filter(pa.array(same, pa.bool_()))
+            raw = data.tobytes()
+            found = [fingerprint(raw[a:b], shingle) for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.record_batch([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["_row", "_fp"])
 
-    found = near.select("_row", "_none", "_id", "_fp").mapInArrow(
-        run, f"_row {kind}, _none boolean, _id long, _fp long")
-    once = Window.partitionBy("_none", "_id", "_fp").orderBy(F.col("_row.text"))
-    return found.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row.*")
+    return rows.mapInArrow(run, f"_row {kind}, _fp long")

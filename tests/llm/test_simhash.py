@@ -103,3 +103,15 @@ def test_plan_has_no_product(spark, documents):
     plan = simhash.links(fps)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert documents.select(F.count("*")).first()[0] == 200
+
+
+def test_deduplicate_of_one_id_with_many_texts_makes_no_pairs(spark):
+    """A third of the rows has no id, another third one id: each joins its own text only."""
+    docs = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.concat_ws(" ", *[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(i)))) for i in range(9)]).alias("text"))
+    docs = docs.unionByName(docs)
+    kept = simhash.deduplicate(docs)
+    assert kept.count() == 900 and kept.distinct().count() == 900
+    plan = kept._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
