@@ -155,9 +155,11 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     """
     columns = docs.columns
     marked, members = _rooted(docs, "doc_id", "text", shingle, distance)
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("fp"))
-    best = marked.distinct().join(members, "fp").groupBy("root").agg(F.min(rank).alias("best")).select("best.*")
-    kept = best.select(F.col("none").alias("_none"), F.col("id").alias("_id"), F.col("fp").alias("_fp"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"))
+    by_fp = marked.groupBy("fp").agg(F.min(first).alias("first"))  # a large group of copies is one row from here on
+    best = by_fp.join(members, "fp").groupBy("root").agg(F.min(F.struct("first", "fp")).alias("best"))
+    kept = best.select(
+        F.col("best.first.none").alias("_none"), F.col("best.first.id").alias("_id"), F.col("best.fp").alias("_fp"))
     # The rows are fingerprinted again rather than carried through all of the above. They meet the chosen ones on
     # id and fingerprint, which keeps apart the texts of one id; the same exchange serves the choice of one row.
     rows = _with_fingerprint(docs.select(F.struct(*columns).alias("_row")), shingle).withColumns({
