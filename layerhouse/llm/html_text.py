@@ -5,8 +5,8 @@ shares the longer start. The lines of both are aligned by their longest common s
 deleted: what a site repeats from page to page is not the page's text.
 
 A line (the text of one block, white space made single) carries what the markup says of it. Lines in the page's
-own article are confirmed, so that two copies of one article do not delete each other; menus, forms, adverts and
-the like are deleted also where no neighbour repeats them. The differencing decides on all other lines.
+own article are confirmed: they stay also where the nearest page has them. Menus, forms, adverts and the like are
+deleted also where no neighbour repeats them. The differencing decides on all other lines, beside an article too.
 """
 
 from __future__ import annotations
@@ -207,16 +207,12 @@ def main_text(own: list[tuple[str, str]], other: list[tuple[str, str]] | None) -
     """The lines that are left, each after a line feed; ``other`` are the lines of the nearest page, if any.
 
     The lines shared with it are deleted. Then the markup has the last word on single lines: those of the
-    page's article come back, those beside it go even if no other page has them.
+    page's article come back, those beside it go even if no other page has them. Open lines stay if they are not
+    shared; without a page to compare with, they stay only if the markup shows no article.
     """
     gone = shared([x for _, x in own], [x for _, x in other]) if other else set()
-    article = any(kind == ARTICLE for kind, _ in own)
-    kept = []
-    for i, (kind, text) in enumerate(own):
-        left = i not in gone
-        if kind == ARTICLE or left and kind == OPEN and not article:
-            kept.append(text)
-    return "\n".join(kept)
+    asked = bool(other) or all(kind != ARTICLE for kind, _ in own)
+    return "\n".join(text for i, (kind, text) in enumerate(own) if kind == ARTICLE or kind == OPEN and asked and i not in gone)
 
 
 def _packed(found: list[tuple[str, str]]) -> bytes:

@@ -195,3 +195,10 @@ def test_differencing_does_not_depend_on_partitions(spark, partitions):
 
 def test_no_pages(spark):
     assert html_text.extract(frame(spark, PAGES).limit(0)).count() == 0
+
+
+def test_differencing_decides_beside_articles():
+    page = "<h2>Headline {0}</h2><div>Shop</div><article><p>Body {0}</p><p>More</p></article><p>Coda {0}</p>"
+    one, two = (html_text.lines(page.format(i)) for i in (1, 2))
+    assert html_text.main_text(one, two) == "Headline 1\nBody 1\nMore\nCoda 1"
+    assert html_text.main_text(one, one) == html_text.main_text(one, None) == "Body 1\nMore"
