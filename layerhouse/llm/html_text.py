@@ -1,7 +1,8 @@
 """Main text of web pages by differencing each page with its nearest neighbour by URL.
 
-Pages are ordered by host and URL path. The nearest of a page is the one beside it, on the same host, whose path
-shares the longer start. The lines of both are aligned by their longest common subsequence, and shared lines are
+Pages are ordered by host, URL path and query. Pages of equal lines that follow each other are a run, and count as one:
+the nearest of a page is the one before or after its run, on the same host, whose path and query share the longer
+start. The lines of both are aligned by their longest common subsequence, and shared lines are
 deleted: what a site repeats from page to page is not the page's text.
 
 A line (the text of one block, white space made single) carries what the markup says of it. Lines in the page's
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerhouse.llm.common import saved
-from layerhouse.llm.neighbours import beside, ordered
+from layerhouse.llm.neighbours import ordered
 from layerhouse.llm.url_filter import host_of, path_of
 
 ARTICLE, OPEN, OUT = "A", "O", "X"
@@ -197,7 +198,11 @@ def _common(a: str, b: str) -> int:
 
 
 def nearest(path: str, before: tuple | None, after: tuple | None) -> tuple | None:
-    """The neighbour whose path shares the longer start with ``path``; on a tie the one before."""
+    """The neighbour whose path shares the longer start with ``path``; on a tie the one before.
+
+    A neighbour of the same path is the page itself once more, and none.
+    """
+    before, after = (None if x is None or x[0] == path else x for x in (before, after))
     if before is None or after is None:
         return before or after
     return after if _common(path, after[0]) > _common(path, before[0]) else before
@@ -227,18 +232,21 @@ def _unpacked(packed: bytes | None) -> list[tuple[str, str]] | None:
     return [(x[0], x[1:]) for x in text.split("\n")] if text else []
 
 
-_LINED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.binary())])
+_LINED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()),
+                    ("query", pa.string()), ("lines", pa.binary())])
 _DONE = "page_id long, url string, text string"
 _EDGE = pa.schema([
     ("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("part", pa.int32()), ("edge", pa.int32()),
-    ("host", pa.string()), ("path", pa.string()), ("lines", pa.binary()), ("near_path", pa.string()), ("near_lines", pa.binary())])
+    ("host", pa.string()), ("path", pa.string()), ("last_path", pa.string()), ("lines", pa.binary()), ("near_path", pa.string()),
+    ("near_lines", pa.binary())])
+FIRST, LAST, ONLY = 1, 2, 3  #: runs at the ends of a partition
 ROWS = 512
 
 
 def _split(batches):
     for batch in batches:
-        packed = [_packed(lines(x or "")) for x in batch.column(4).to_pylist()]
-        yield pa.record_batch([*batch.columns[:4], pa.array(packed, pa.binary())], schema=_LINED)
+        packed = [_packed(lines(x or "")) for x in batch.column(5).to_pylist()]
+        yield pa.record_batch([*batch.columns[:5], pa.array(packed, pa.binary())], schema=_LINED)
 
 
 def _batched(rows, schema):
@@ -252,67 +260,119 @@ def _batched(rows, schema):
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def _difference(row: tuple, before: tuple | None, after: tuple | None) -> str:
-    page_id, url, host, path, own = row
-    sides = [None if x is None or x[2] != host else (x[3], x[4]) for x in (before, after)]
-    near = nearest(path, *sides)
-    return main_text(_unpacked(own), _unpacked(near[1]) if near else None)
+def _texts(own: bytes, before: tuple | None, after: tuple | None):
+    """The text of a run's page by its path, which tells the nearer of the run's neighbours (path, lines)."""
+    known: dict[bytes | None, str] = {}
+
+    def text(path: str) -> str:
+        near = nearest(path, before, after)
+        other = near[1] if near else None
+        if other not in known:
+            known[other] = main_text(_unpacked(own), _unpacked(other))
+        return known[other]
+
+    return text
 
 
-#: Edge: 1 first row of a partition, 2 last row, 3 the only row.
 def _partition(batches):
+    """Finished rows; of the runs at the ends of the partition, the rows without text (lines null) and one row for the run."""
+
     def rows():
         part = TaskContext.get().partitionId()
-        before = row = None
+        before = host = own = None
+        run: list[tuple] = []  # (page_id, url, path and query)
+        first = True
+
+        def edge(kind: int, near: tuple | None):
+            for page_id, url, path in run:
+                yield (page_id, url, None, part, kind, host, path, None, None, None, None)
+            yield (None, None, None, part, kind, host, run[0][2], run[-1][2], own, *(near or (None, None)))
+
         for batch in batches:
-            for after in zip(*(c.to_pylist() for c in batch.columns)):
-                if row is not None:
-                    if before is None:
-                        near = after if after[2] == row[2] else (None,) * 5
-                        yield (row[0], row[1], None, part, 1, row[2], row[3], row[4], near[3], near[4])
+            for page_id, url, its_host, path, query, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if not its_host:
+                    yield (page_id, url, main_text(_unpacked(packed), None), part, 0, *[None] * 6)
+                    continue
+                path += query
+                if run and (its_host, packed) != (host, own):
+                    after = (path, packed) if its_host == host else None
+                    if first:
+                        yield from edge(FIRST, after)
                     else:
-                        yield (row[0], row[1], _difference(row, before, after), part, 0, None, None, None, None, None)
-                before, row = row, after
-        if row is not None:
-            near = before if before is not None and before[2] == row[2] else (None,) * 5
-            yield (row[0], row[1], None, part, 3 if before is None else 2, row[2], row[3], row[4], near[3], near[4])
+                        text = _texts(own, before, after)
+                        for r in run:
+                            yield (r[0], r[1], text(r[2]), part, 0, *[None] * 6)
+                    before, first = (run[-1][2], own) if its_host == host else None, False
+                    run = []
+                host, own = its_host, packed
+                run.append((page_id, url, path))
+        if run:
+            yield from edge(ONLY if first else LAST, before)
 
     return _batched(rows(), _EDGE)
 
 
+def _links(runs: list[tuple[int, int, str, str]]) -> list[tuple]:
+    """Where the neighbours of the runs at partition ends stand, from all such runs (part, edge, host, mark of the lines).
+
+    Rows (part, edge, then for before and after: part, edge, inner); ``inner`` is the near page of that run, not the run.
+    A run that goes on in the next partitions is followed to its end.
+    """
+    runs = sorted(runs)
+    found = []
+    for step, ends in ((1, (LAST, ONLY)), (-1, (FIRST, ONLY))):
+        side: list[tuple] = [(None, None, None)] * len(runs)
+        for i in range(len(runs))[::-step]:
+            part, edge, host, mark = runs[i]
+            if edge not in ends:
+                side[i] = (part, edge, True)
+            elif 0 <= i + step < len(runs) and runs[i + step][2] == host:
+                beyond = runs[i + step]
+                side[i] = side[i + step] if beyond[3] == mark else (beyond[0], beyond[1], False)
+        found.append(side)
+    return [(*run[:2], *before, *after) for run, after, before in zip(runs, *found)]
+
+
 def _ends(batches):
     schema = pa.schema([_EDGE.field(i) for i in range(3)])
+    held, text = None, None
     for batch in batches:
         rows = []
-        for r in batch.to_pylist():
-            own = (r["page_id"], r["url"], r["host"], r["path"], r["lines"])
-            inner = None if r["near_path"] is None else (None, None, r["host"], r["near_path"], r["near_lines"])
-            before = (None, None, r["host_before"], r["path_before"], r["lines_before"]) if r["edge"] != 2 else inner
-            after = (None, None, r["host_after"], r["path_after"], r["lines_after"]) if r["edge"] != 1 else inner
-            rows.append((own[0], own[1], _difference(own, before, after)))
+        for page_id, url, path, part, edge, own, *sides in zip(*(c.to_pylist() for c in batch.columns)):
+            if held != (part, edge):
+                held, text = (part, edge), _texts(own, *(None if x[0] is None else x for x in (tuple(sides[:2]), tuple(sides[2:]))))
+            rows.append((page_id, url, text(path)))
         yield from _batched(rows, schema)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Rows (page_id, url, text, n_chars), one for each row of ``pages``.
 
-    A null page is empty; a null url, or one without ``://``, has an empty host and path and is compared among
-    its like. Equal urls are ordered by page_id; repeated rows stay. A page alone on its host is compared with
-    none. An empty table gives no rows.
+    A null page is empty; a page without a host (a null url, or one without ``://``) is compared with none. Equal
+    urls are ordered by page_id; repeated rows stay, and have the text of the single row. A page alone on its host
+    is compared with none. An empty table gives no rows. The driver holds two numbers for each partition.
     """
+    address = F.col(url)
+    query = F.coalesce(F.regexp_extract(address, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1), F.lit(""))
     source = pages.select(
-        F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), host_of(F.col(url)).alias("host"),
-        path_of(F.col(url)).alias("path"), F.col(page).alias("html"))
-    lined = source.mapInArrow(_split, "page_id long, url string, host string, path string, lines binary")
-    extra = ", part int, edge int, host string, path string, lines binary, near_path string, near_lines binary"
-    done = saved(ordered(lined, "host", "path", "page_id", "url", ties="lines").mapInArrow(_partition, _DONE + extra), "pages")
-    edges = done.filter("edge > 0")
-    links = beside(edges.select("part"))
-    last = edges.filter("edge >= 2").select("part", *(F.col(c).alias(f"{c}_before") for c in ("host", "path", "lines")))
-    first = edges.filter("edge <> 2").select("part", *(F.col(c).alias(f"{c}_after") for c in ("host", "path", "lines")))
-    near = edges.join(links, "part").join(
-        last.withColumnRenamed("part", "before"), "before", "left").join(first.withColumnRenamed("part", "after"), "after", "left")
-    ends = near.select("page_id", "url", "edge", "host", "path", "lines", "near_path", "near_lines", "host_before", "path_before",
-                       "lines_before", "host_after", "path_after", "lines_after").mapInArrow(_ends, _DONE)
+        F.col(page_id).cast("long").alias("page_id"), address.alias("url"), host_of(address).alias("host"),
+        path_of(address).alias("path"), query.alias("query"), F.col(page).alias("html"))
+    lined = source.mapInArrow(_split, "page_id long, url string, host string, path string, query string, lines binary")
+    extra = ", part int, edge int, host string, path string, last_path string, lines binary, near_path string, near_lines binary"
+    done = saved(ordered(lined, "host", "path", "query", "page_id", "url", ties="lines").mapInArrow(_partition, _DONE + extra), "pages")
+    runs = done.filter("edge > 0 and lines is not null")
+    marks = runs.select("part", "edge", "host", F.sha2("lines", 256)).collect()
+    links = pages.sparkSession.createDataFrame(_links([tuple(r) for r in marks]), "part int, edge int, " + ", ".join(
+        f"part_{x} int, edge_{x} int, inner_{x} boolean" for x in ("before", "after")))
+    near = runs.select("part", "edge", "lines").join(links, ["part", "edge"])
+    for x, end in (("before", "last_path"), ("after", "path")):
+        other = runs.select(*(F.col(c).alias(f"{c}_{x}") for c in ("part", "edge")), F.col(end).alias("_path"), F.col("lines").alias("_lines"),
+                            "near_path", "near_lines")
+        pick = {f"path_{x}": F.when(F.col(f"inner_{x}"), F.col("near_path")).otherwise(F.col("_path")),
+                f"lines_{x}": F.when(F.col(f"inner_{x}"), F.col("near_lines")).otherwise(F.col("_lines"))}
+        near = near.join(other, [f"part_{x}", f"edge_{x}"], "left").withColumns(pick).drop("_path", "_lines", "near_path", "near_lines")
+    rows = done.filter("edge > 0 and lines is null").select("page_id", "url", "path", "part", "edge")
+    ends = rows.join(near, ["part", "edge"]).select(
+        "page_id", "url", "path", "part", "edge", "lines", "path_before", "lines_before", "path_after", "lines_after").mapInArrow(_ends, _DONE)
     found = done.filter("edge = 0").select("page_id", "url", "text").unionByName(ends)
     return found.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -202,3 +202,22 @@ def test_differencing_decides_beside_articles():
     one, two = (html_text.lines(page.format(i)) for i in (1, 2))
     assert html_text.main_text(one, two) == "Headline 1\nBody 1\nMore\nCoda 1"
     assert html_text.main_text(one, one) == html_text.main_text(one, None) == "Body 1\nMore"
+
+
+@pytest.mark.parametrize("partitions", [1, 60])
+def test_repeated_and_copied_pages_have_the_text_of_the_single_row(spark, partitions):
+    single = [(i, f"http://h.org/p?id={i}", open_page(i)) for i in range(10, 20)]
+    copies = [*single, *single, *((30 + i, "http://h.org/p?id=15&copy=%d" % i, open_page(15)) for i in range(40))]
+    lone = [(100, None, "<p>no url</p>"), (101, None, "<p>no url</p>"), (102, "broken", "<p>no url</p>"), (103, "http://x.org/1", "<p>x</p>")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = html_text.extract(frame(spark, [*copies, *lone])).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == len(copies) + len(lone)
+    for r in found:
+        i = 15 if 30 <= r.page_id < 70 else r.page_id
+        assert r.text == (f"Welcome {i}\nText {i} of the page" if i < 100 else "x" if i == 103 else "no url")
