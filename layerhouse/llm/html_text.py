@@ -25,24 +25,27 @@ from layerhouse.llm.common import saved
 from layerhouse.llm.neighbours import ordered
 from layerhouse.llm.url_filter import host_of, path_of
 
-ARTICLE, OPEN, OUT = "A", "O", "X"
+ARTICLE, OPEN, OUT, DOUBT = "A", "O", "X", "?"
 RAW_TAGS = frozenset(("script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"))
-OUT_TAGS = frozenset(("nav", "footer", "aside", "form", "head", "button", "select", "menu", "dialog", "svg", "math", "canvas", "object",
+OUT_TAGS = frozenset(("nav", "footer", "aside", "head", "button", "select", "menu", "dialog", "svg", "math", "canvas", "object",
                       "audio", "video", "fieldset"))
-OUT_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu",
+OUT_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu",
                        "menubar", "toolbar"))
 VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 INLINE_TAGS = frozenset(("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i",
                          "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
                          "sub", "sup", "time", "tt", "u", "var", "wbr", "picture", "source"))
-#: Words in a class or id that mark parts of a page beside its article.
+#: A class or id made of these words alone marks a part of a page beside its article.
 OUT_WORDS = frozenset((
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promoted",
     "nav", "navbar", "navigation", "menu", "menus", "breadcrumb", "breadcrumbs", "sidebar", "sidebars", "aside", "footer", "masthead",
     "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription",
     "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "toolbar", "pagination", "pager",
-    "comment", "comments", "commentlist", "replies", "disqus", "discussion", "respond", "skip", "copyright", "form", "search"))
-HEADER_WORDS = frozenset(("header", "topbar", "site-header"))
+    "comment", "comments", "commentlist", "replies", "disqus", "respond", "skip", "copyright", "form", "search"))
+HEADER_WORDS = frozenset(("header", "topbar"))
+#: Words that say nothing beside a listed one; with any other word (has-sidebar, social-policy) the block is in doubt.
+PLAIN_WORDS = frozenset(("site", "page", "top", "bottom", "list", "links", "item", "items", "bar", "box", "block", "slot", "button", "buttons",
+                         "posts", "articles", "section"))
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -50,35 +53,41 @@ _WORD = re.compile(r"[a-z]+")
 
 
 def _outside(tag: str, attributes: str) -> str | None:
-    """'out' for an element beside the article, 'header' for a header (part of an article if inside one)."""
+    """'out' for an element beside the article, 'soft' for one that its class or id says so of, 'header' for a header (part
+    of an article if inside one), 'form'. Only a class or id whose words are all listed counts; the differencing decides on others."""
     if tag in OUT_TAGS:
         return "out"
-    if tag == "header":
-        return "header"
+    if tag in ("header", "form"):
+        return tag
     if not attributes or tag in ("html", "body", "article", "main"):
         return None
+    found = None
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return "out"
         if name == "role" and value in OUT_ROLES:
             return "out"
+        if name == "role" and value == "form":
+            found = "form"
         if name in ("class", "id"):
             for token in re.split(r"\s+", value):
-                words = _WORD.findall(token)
-                if not OUT_WORDS.isdisjoint(words):
-                    return "out"
-                if not HEADER_WORDS.isdisjoint(words):
-                    return "header"
-    return None
+                words = set(_WORD.findall(token)) - PLAIN_WORDS
+                if words and words <= OUT_WORDS | HEADER_WORDS:
+                    found = "header" if words <= HEADER_WORDS and not found else "soft"
+    return found
 
 
 def lines(page: str) -> list[tuple[str, str]]:
-    """(kind, text) of every block that has text, in page order: in the article, outside it, or open."""
+    """(kind, text) of every block that has text, in page order: in the article, outside it, or open.
+
+    An article in a block that only its class or id puts beside the article, and a form in an article, are the article
+    if the page has no other.
+    """
     found: list[tuple[str, str]] = []
     pieces: list[str] = []
     stack: list[tuple[str, str]] = []  # (tag, what it is) of open elements
-    article = out = 0
+    held = dict.fromkeys(("", "article", "nested", "out", "soft", "form"), 0)  # how many are open
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -86,7 +95,13 @@ def lines(page: str) -> list[tuple[str, str]]:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                found.append((OUT if out else ARTICLE if article else OPEN, text))
+                if held["out"] or held["soft"] and not held["nested"]:
+                    kind = OUT
+                elif held["soft"] or held["form"]:
+                    kind = DOUBT
+                else:
+                    kind = ARTICLE if held["article"] else OPEN
+                found.append((kind, text))
 
     while at < end:
         token = _TOKEN.match(page, at)
@@ -112,8 +127,7 @@ def lines(page: str) -> list[tuple[str, str]]:
                     if any(what for _, what in stack[depth:]):
                         flush()
                     for _, what in stack[depth:]:
-                        article -= what == "article"
-                        out -= what == "out"
+                        held[what] -= 1
                     del stack[depth:]
                     break
             continue
@@ -121,8 +135,15 @@ def lines(page: str) -> list[tuple[str, str]]:
         if tag in VOID_TAGS or attributes.endswith("/") and tag in INLINE_TAGS:
             continue
         what = "article" if tag in ("article", "main") else _outside(tag, attributes)
+        inside = held["article"] or held["nested"]
         if what == "header":
-            what = None if article else "out"
+            what = None if inside else "out" if tag == "header" else "soft"
+        if what == "article" and held["soft"]:
+            what = "nested"
+        elif what == "soft" and held["nested"]:
+            what = "out"
+        elif what == "form" and not inside:
+            what = None
         if what and tag in INLINE_TAGS:
             flush()
         if tag == "p":  # a paragraph ends where the next one starts
@@ -133,11 +154,11 @@ def lines(page: str) -> list[tuple[str, str]]:
                     break
                 if stack[depth][0] not in INLINE_TAGS:
                     break
-        article += what == "article"
-        out += what == "out"
+        held[what or ""] += 1
         stack.append((tag, what or ""))
     flush()
-    return found
+    doubt = OUT if any(kind == ARTICLE for kind, _ in found) else ARTICLE
+    return [(doubt if kind == DOUBT else kind, text) for kind, text in found]
 
 
 def _lengths(a: list[int], b: list[int]) -> list[int]:

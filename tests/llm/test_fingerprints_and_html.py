@@ -221,3 +221,21 @@ def test_repeated_and_copied_pages_have_the_text_of_the_single_row(spark, partit
     for r in found:
         i = 15 if 30 <= r.page_id < 70 else r.page_id
         assert r.text == (f"Welcome {i}\nText {i} of the page" if i < 100 else "x" if i == 103 else "no url")
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content-sidebar-wrap'>", "<div class='has-sidebar'>", "<div class='layout no-sidebar'>", "<form action='/' id='aspnetForm'>",
+    "<div id='search'>", "<div class='widget menu'>"])
+def test_wrappers_do_not_hide_articles(wrapper):
+    end = "</form>" if "form" in wrapper else "</div>"
+    assert html_text.lines(f"{wrapper}<main><p>Text<div class=ad>Buy</div></main>{end}") == [("A", "Text"), ("X", "Buy")]
+    if "has-" in wrapper or "no-" in wrapper or "form" in wrapper:
+        assert html_text.lines(f"{wrapper}<p>Text</p>{end}") == [("O", "Text")]
+
+
+def test_doubtful_blocks_stay_for_the_differencing():
+    page = "<article><h1>Title</h1><section id='{}'><p>Part</p></section></article><div class='related'><article>Card</article></div>"
+    for name in ("discussion", "social-policy", "search-engine"):
+        assert html_text.lines(page.format(name)) == [("A", "Title"), ("A", "Part"), ("X", "Card")]
+    assert html_text.lines("<main><form><p>All</form></main>") == [("A", "All")]
+    assert html_text.lines("<div class='site-footer'>End</div><p>x</p>") == [("X", "End"), ("O", "x")]
