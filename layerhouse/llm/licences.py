@@ -1,9 +1,9 @@
 """License scan: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line of a text. The anchors are the words of the templates that hardly occur in the corpus; a
-paragraph without one is unknown and never leaves the scan. Of the others, the anchors and the word pairs of the
-templates are the features of a multinomial logistic regression with an elastic net, so most weights are zero. It is trained on the templates with words left
-out, on scraps of them, and on a bounded sample of the corpus; the last two are the class ``unknown``. A
+A paragraph is a line of a text. It leaves the scan only if it holds a word triple without which no template can
+confirm it, whatever the corpus. The words of the templates that hardly occur in a sample, and all their word pairs,
+are the features of a multinomial logistic regression with an elastic net, so most weights are zero. It is trained on the
+templates with words left out, on scraps of them, and on a bounded sample of the corpus; the last two are the class ``unknown``. A
 temperature fitted on held-out variants makes the scores probabilities. A prediction counts if the template of
 its family is found in the paragraph, by the share of the template's word triples.
 
@@ -131,13 +131,19 @@ class Model:
         return scored.select(*paragraphs.columns, best.alias("_best")).select(*paragraphs.columns, "_best.family", "_best.probability")
 
 
-def _pattern(anchors: list[str]) -> str:
-    """A regular expression for any of the words, branching on the first letter."""
-    by_letter: dict[str, list[str]] = {}
-    for word in anchors:
-        by_letter.setdefault(word[0], []).append(word[1:].replace("0", "[0-9]"))
-    branches = (f"{'[0-9]' if k == '0' else k}(?:{'|'.join(sorted(set(v), reverse=True))})" for k, v in sorted(by_letter.items()))
-    return rf"(?i)(?<![a-z0-9])(?:{'|'.join(branches)})(?![a-z0-9])"
+def _pattern(similar: float) -> str:
+    """A regular expression, for lower-case text, that every text holds which a template can confirm.
+
+    Of n triples such a text lacks (1 - similar) n at most, so it holds one of any larger set of them: the longest. What is
+    between words, a line's end or a comment mark, does not matter.
+    """
+    branches: dict[str, set[str]] = {}
+    for text in (t for texts in TEMPLATES.values() for t in texts):
+        runs = sorted(_triple_list(text), key=lambda x: (-len(x), x))
+        for run in runs[:min(len(runs), int((1 - similar) * len(runs) + 1e-9) + 1)]:
+            branches.setdefault(run[0], set()).add("[^a-z0-9]+".join(run.split(" ")).replace("0-9", "#").replace("0", "[0-9]").replace("#", "0-9")[1:])
+    joined = "|".join(f"{'[0-9]' if k == '0' else k}(?:{'|'.join(sorted(v, reverse=True))})" for k, v in sorted(branches.items()))
+    return rf"(?<![a-z0-9])(?:{joined})(?![a-z0-9])"
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -215,9 +221,13 @@ def _heat(rows: list[tuple[list[float], int]]) -> float:
     return min((2 ** (k / 4) for k in range(-8, 13)), key=loss)
 
 
-def _triples(text: str) -> Column:
+def _triple_list(text: str) -> list[str]:
     own = "".join("0" if c.isdigit() else c if c.isascii() and c.isalpha() else " " for c in text.lower()).split()
-    return F.array(*(F.lit(x) for x in sorted({" ".join(own[i:i + 3]) for i in range(max(1, len(own) - 2))})))
+    return sorted({" ".join(own[i:i + 3]) for i in range(max(1, len(own) - 2))})
+
+
+def _triples(text: str) -> Column:
+    return F.array(*map(F.lit, _triple_list(text)))
 
 
 def _confirm(own: Column, family: Column | None = None) -> Column:
@@ -238,9 +248,9 @@ def paragraphs(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
 
     ``line`` counts from 0. Null and empty texts have none.
     """
-    pattern = _pattern(model.anchors)
-    near = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").rlike(pattern))
-    near = _lines(near, "doc_id", "text").filter(F.col("paragraph").rlike(pattern))
+    pattern = _pattern(similar)
+    near = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.lower("text").rlike(pattern))
+    near = _lines(near, "doc_id", "text").filter(F.lower("paragraph").rlike(pattern))
     scored = model.predict(near.withColumn("own", words(F.col("paragraph")))).filter(
         (F.col("family") != UNKNOWN) & (F.col("probability") >= least))
     return scored.withColumn("similarity", _confirm(F.col("own"), F.col("family"))).filter(F.col("similarity") >= similar).drop("own")

@@ -213,6 +213,13 @@ def test_license_of_odd_rows(spark, odd_documents, no_documents, scanner):
     assert licences.fit(no_documents).families[0] == licences.UNKNOWN
 
 
+def test_common_licenses_are_found(spark):
+    rows = [(i, f"Some words of document {i}\nand more of them\n" + ("Licensed under CC BY 4.0.", "All rights reserved.", "No notice.")[i % 3]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.license for r in licences.scan(docs).collect()}
+    assert all(found[i] == ("cc-by", "all-rights-reserved", None)[i % 3] for i in range(600))
+
+
 def test_license_scan_runs_no_python(spark, documents, scanner):
     plan = licences.scan(documents, scanner)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
