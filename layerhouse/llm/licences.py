@@ -1,9 +1,10 @@
 """License scan: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line of a text. It leaves the scan only if it holds a word triple without which no template can
-confirm it, whatever the corpus. The words of the templates that hardly occur in a sample, and all their word pairs,
-are the features of a multinomial logistic regression with an elastic net, so most weights are zero. It is trained on the
-templates with words left out, on scraps of them, and on a bounded sample of the corpus; the last two are the class ``unknown``. A
+A paragraph is a line of a text, or neighbouring lines over which a notice is wrapped. A text leaves the scan only if
+it holds a word triple without which no template can confirm it, whatever the corpus. The words of the templates that hardly
+occur in a sample, and all their word pairs, are the features of a multinomial logistic regression with an elastic net, so
+most weights are zero. It is trained on the templates with words left out, on scraps of them, and on a bounded
+sample of the corpus; the last two are the class ``unknown``. A
 temperature fitted on held-out variants makes the scores probabilities. A prediction counts if the template of
 its family is found in the paragraph, by the share of the template's word triples.
 
@@ -17,7 +18,7 @@ import math
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "unknown"
@@ -79,6 +80,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 SAMPLE = 4000
+#: Words on either side of a line's end that a notice across it can hold; more than any template has.
+REACH = 40
 VARIANTS = 24
 
 
@@ -147,7 +150,20 @@ def _pattern(similar: float) -> str:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "paragraph"))
+    """Rows (doc_id, row, line, paragraph, following): each line with those after it that a notice could go on in.
+
+    These are cut where they hold ``REACH`` words, and at a line without words. ``row`` tells rows of one doc_id apart.
+    """
+    step = lambda held, n: F.when(held["open"] & (n > 0) & (held["n"] < REACH), F.struct(
+        (held["n"] + n).alias("n"), (held["k"] + 1).alias("k"), F.lit(True).alias("open"))).otherwise(
+        F.struct(held["n"].alias("n"), held["k"].alias("k"), F.lit(False).alias("open")))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"), F.lit(True).alias("open"))
+    split = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.split(F.col(text), "\n").alias("_lines"))
+    sized = split.withColumn("_sizes", F.transform("_lines", lambda x: F.size(words(x))))
+    cut = _bound(F.struct("_lines", "_sizes"), lambda own: F.transform(own["_lines"], lambda x, i: F.struct(
+        x.alias("paragraph"), F.slice(own["_lines"], i + 2, F.aggregate(
+            F.slice(own["_sizes"], i + 2, REACH), start, step, lambda held: held["k"])).alias("following"))))
+    return sized.select("doc_id", "row", F.posexplode(cut).alias("line", "_at")).select("doc_id", "row", "line", "_at.paragraph", "_at.following")
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, rare: float = 0.02) -> Model:
@@ -246,14 +262,31 @@ def paragraphs(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
                similar: float = 0.8) -> DataFrame:
     """Rows (doc_id, line, paragraph, family, probability, similarity): the confirmed license paragraphs.
 
-    ``line`` counts from 0. Null and empty texts have none.
+    A paragraph is a line, or some lines that hold a notice of which no part of them is confirmed for the same family.
+    Runs of lines of one family that overlap are one paragraph. ``line`` is the first, from 0. Null and empty texts have none.
     """
     pattern = _pattern(similar)
     near = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.lower("text").rlike(pattern))
-    near = _lines(near, "doc_id", "text").filter(F.lower("paragraph").rlike(pattern))
-    scored = model.predict(near.withColumn("own", words(F.col("paragraph")))).filter(
+    whole = F.array_join(F.concat(F.array("paragraph"), "following"), "\n")
+    near = _lines(near, "doc_id", "text").filter(F.lower(whole).rlike(pattern))
+    # The line alone, and with one, two ... of those after it; of these, the words that a notice across the line's end can hold.
+    ends = near.select("doc_id", "row", "line", "paragraph", "following", F.explode(F.sequence(F.lit(0), F.size("following"))).alias("more"))
+    after = F.slice("following", 1, F.col("more"))
+    across = _bound(words(F.col("paragraph")), lambda own: F.concat(
+        F.slice(own, F.greatest(F.size(own) - REACH, F.lit(0)) + 1, REACH), F.slice(words(F.array_join(after, "\n")), 1, REACH)))
+    cut = ends.select(
+        "doc_id", "row", "line", "more", F.array_join(F.concat(F.array("paragraph"), after), "\n").alias("paragraph"),
+        F.when(F.col("more") == 0, words(F.col("paragraph"))).otherwise(across).alias("own")).filter(F.lower("paragraph").rlike(pattern))
+    scored = model.predict(cut.filter(_confirm(F.col("own")) >= similar)).filter(
         (F.col("family") != UNKNOWN) & (F.col("probability") >= least))
-    return scored.withColumn("similarity", _confirm(F.col("own"), F.col("family"))).filter(F.col("similarity") >= similar).drop("own")
+    found = scored.withColumn("similarity", _confirm(F.col("own"), F.col("family"))).filter(F.col("similarity") >= similar)
+    end = F.col("line") + F.col("more")
+    inner = Window.partitionBy("row", "family").orderBy(F.col("line").desc(), "more").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("_inner", F.min(end).over(inner)).filter(F.col("_inner").isNull() | (F.col("_inner") > end))
+    # Of runs of lines that overlap, all of one notice, the first.
+    found = found.withColumn("_last", F.lag(end).over(Window.partitionBy("row", "family").orderBy("line", "more")))
+    return found.filter(F.col("_last").isNull() | (F.col("_last") < F.col("line"))).select(
+        "doc_id", "line", "paragraph", "family", "probability", "similarity")
 
 
 def scan(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

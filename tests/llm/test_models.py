@@ -220,6 +220,21 @@ def test_common_licenses_are_found(spark):
     assert all(found[i] == ("cc-by", "all-rights-reserved", None)[i % 3] for i in range(600))
 
 
+def test_wrapped_notices_are_found(spark, scanner):
+    texts = [
+        ("mit", 2, "MIT\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
+        ("bsd", 1, "Some code\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"),
+        ("gpl", 0, "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free"),
+        ("mpl", 0, "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed"),
+        ("mit", 0, "Permission\n" + "\n".join("is hereby granted, free of charge, to any person obtaining a copy of this software".split())),
+        (None, None, "Permission is hereby granted, free of charge,\n\nto any person obtaining a copy\nof this software"),
+        ("mit", 1, "x\nReleased under the MIT License.\ny")]
+    docs = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id long, text string")
+    rows = licences.paragraphs(docs, scanner).collect()
+    assert sorted((r.doc_id, r.family) for r in rows) == [(i, f) for i, (f, _, _) in enumerate(texts) if f]
+    assert all(r.line == texts[r.doc_id][1] for r in rows if r.doc_id != 4)
+
+
 def test_license_scan_runs_no_python(spark, documents, scanner):
     plan = licences.scan(documents, scanner)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
