@@ -8,9 +8,11 @@ that the weights have not seen makes the scores probabilities.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerhouse.llm.common import text_column
@@ -18,6 +20,7 @@ from layerhouse.llm.common import text_column
 
 DIMENSIONS = 1 << 15
 SAMPLE = 4000
+LEAST = 50  #: sampled texts of a language, if it has as many (fixed value)
 UNKNOWN = "und"
 CHUNK = 1 << 20
 _MULTIPLIERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -141,27 +144,43 @@ def held_out(doc_id) -> object:
 def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample: int = SAMPLE, rounds: int = 3) -> Model:
     """Learns from the rows where the condition ``learn`` holds and text and language are not null.
 
-    Document frequencies come from all of these, the weights from about ``sample`` (twice that at most), chosen
-    by a hash of the text. Without such rows every prediction is ``und``.
+    Document frequencies come from all of these, the weights from about ``sample`` distinct texts (twice that at most, but
+    one of each language): in each language those of the smallest hashes, as many as its share, ``LEAST`` at least. Every
+    language with a text that has a letter is a class. Without such rows every prediction is ``und``.
     """
     own = docs.filter(learn).select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         "text is not null and lang is not null")
-    total = own.count()
+    mark = F.xxhash64(F.lit("sample"), "text", "lang")
+    held = own.groupBy("lang").agg(F.count("*").alias("n"), F.count_distinct(F.when(F.col("text").rlike(r"\p{L}"), mark)).alias("texts")).collect()
+    total = sum(r["n"] for r in held)
     seen = own.select("text").mapInArrow(_frequencies, "index long, n long").groupBy("index").agg(F.sum("n").alias("n")).collect()
     frequency = np.zeros(DIMENSIONS)
     frequency[[r["index"] for r in seen]] = [r["n"] for r in seen]
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    chosen = own.select("text", "lang", F.xxhash64(F.lit("sample"), "text", "lang").alias("mark"))
-    if total > sample:
-        chosen = chosen.filter(F.pmod("mark", F.lit(1 << 32)) < int((1 << 32) * sample / total))
-    rows = chosen.mapInArrow(_sampled, "mark long, lang string, index binary, count binary").limit(2 * sample).collect()
+    held = [(r["lang"], r["texts"]) for r in held if r["texts"]]
+    if not held:
+        return Model([], idf, np.zeros((DIMENSIONS, 0)), 1.0)
+    least, texts = max(1, min(LEAST, sample // len(held))), sum(n for _, n in held)
+    wanted = [(x, n, max(least, math.ceil(sample * n / texts))) for x, n in held]
+    # Marks are spread evenly: below the bound lie about twice as many as wanted, of which the smallest are taken.
+    bounds = docs.sparkSession.createDataFrame(
+        [(x, k, min((1 << 63) - 1, (1 << 64) * (2 * k + 20) // n - (1 << 63))) for x, n, k in wanted], "lang string, wanted int, bound long")
+    chosen = own.select("text", "lang", mark.alias("mark")).join(F.broadcast(bounds), "lang").filter("mark <= bound").filter(
+        F.col("text").rlike(r"\p{L}")).groupBy("lang", "wanted", "mark").agg(F.min("text").alias("text"))
+    chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter("rank <= wanted")
+    rows = chosen.select("text", "lang", "mark").mapInArrow(_sampled, "mark long, lang string, index binary, count binary").collect()
     rows = [(r["lang"], np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["count"], "<u2"))
             for r in sorted(rows, key=lambda r: (r["mark"], r["lang"], r["index"])) if r["index"]]
     classes = sorted({x for x, _, _ in rows})
     if not classes:
         return Model([], idf, np.zeros((DIMENSIONS, 0)), 1.0)
     examples = [(index, weigh(index, count, idf), classes.index(x)) for x, index, count in rows]
-    tuning, training = examples[::5], [e for i, e in enumerate(examples) if i % 5] or examples
+    place = [0] * len(classes)  # every fifth text of a language is for the temperature; a language with fewer is learned whole
+    tuning, training = [], []
+    for example in examples:
+        place[example[2]] += 1
+        (training if place[example[2]] % 5 else tuning).append(example)
+    tuning = tuning or training
     leader, draw = Leader(len(classes)), np.random.default_rng(11)
     for _ in range(rounds):
         for i in draw.permutation(len(training)).tolist():

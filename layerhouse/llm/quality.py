@@ -190,18 +190,16 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
-    """The votes of all documents are counted; about ``sample`` of them (twice that at most), by a hash of the
-    text, train the scorer. Null and wordless texts have no vote and are left out."""
+    """The votes of all documents are counted; the ``sample`` distinct texts of the smallest hashes train the
+    scorer. Null and wordless texts have no vote and are left out."""
     texts = docs.select(F.col(text).alias("text")).filter("text is not null and trim(text) <> ''")
     patterns = {r["votes"]: r["count"] for r in texts.mapInArrow(_vote, "votes string").groupBy("votes").count().collect()}
     patterns.pop("0" * len(HEURISTICS), None)
     posterior, chance, share = expectation_maximisation(patterns)
-    total = sum(patterns.values())
-    mark = F.xxhash64(F.lit("sample"), "text")
-    chosen = texts.select("text", mark.alias("mark"))
-    if total > sample:
-        chosen = chosen.filter(F.pmod("mark", F.lit(1 << 32)) < int((1 << 32) * sample / total))
-    rows = chosen.mapInArrow(_featured, "mark long, votes string, index array<long>, weight array<double>").limit(2 * sample).collect()
+    marked = texts.select("text", F.xxhash64(F.lit("sample"), "text").alias("mark"))
+    bound = marked.select("mark").distinct().orderBy("mark").limit(sample).agg(F.max("mark")).first()[0]
+    chosen = marked.filter(F.col("mark") <= F.lit(bound).cast("long")).groupBy("mark").agg(F.min("text").alias("text")).select("text", "mark")
+    rows = chosen.mapInArrow(_featured, "mark long, votes string, index array<long>, weight array<double>").collect()
     rows = sorted(rows)
     weights = train([(np.array(r["index"]), np.array(r["weight"]), posterior.get(r["votes"], share)) for r in rows])
     return Model(posterior, chance, share, weights)

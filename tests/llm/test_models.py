@@ -152,6 +152,26 @@ def test_language_of_odd_rows(odd_documents, no_documents, spark):
     assert language.keep(odd_documents).columns == odd_documents.columns
 
 
+def test_rare_languages_are_classes_beside_copies(spark):
+    common = [(i, f"the man and dog number{chr(97 + i % 26)} {chr(97 + i // 26)} went to town", "en") for i in range(300)]
+    copies = [(1000 + i, "le chien et le chat sont dans la maison", "fr") for i in range(300)]
+    rare = [(2000 + i, f"der hund {x} und die katze sind nicht im haus", "de") for i, x in enumerate(("alt", "jung"))]
+    docs = spark.createDataFrame([*common, *copies, *rare], "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True), sample=20)
+    assert model.classes == ["de", "en", "fr"]
+    assert [model.predict(t)[0] for t in (rare[0][1], common[0][1], copies[0][1])] == ["de", "en", "fr"]
+
+
+def test_quality_sample_is_of_distinct_texts(spark, monkeypatch):
+    texts = [*["the same text of many copies in here"] * 300, *(f"other text number {i} of the few" for i in range(30)), "!!!"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    sizes, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda rows: sizes.append(len(rows)) or train(rows))
+    for sample in (20, 400):
+        quality.fit(docs, sample=sample)
+    assert sizes == [20, 32]
+
+
 def test_leader_is_sparse_and_learns():
     draw = np.random.default_rng(1)
     leader = language.Leader(2, l1=0.5)
