@@ -2,8 +2,8 @@
 
 Each word shingle is hashed once. The high bits of the hash choose a bin, the smallest hash of a bin is its
 value. An empty bin takes the value of the first full bin in a random order of its own, the same
-for every document. The low byte of each value is stored; two different values share it by
-chance once in 256, which the likeness is corrected for.
+for every document, mixed with the empty bin's number, so that copies of one value do not all share its low byte. The low
+byte of each value is stored; two different values share it by chance once in 256, which the likeness is corrected for.
 """
 
 from __future__ import annotations
@@ -83,7 +83,8 @@ def fingerprint(text: bytes) -> bytes:
         empty = np.ones(BINS, bool)
         empty[full] = False
         empty = np.flatnonzero(empty)
-        values[empty] = low[_probe_rank()[np.ix_(empty, full)].argmin(axis=1)]
+        lent = least[_probe_rank()[np.ix_(empty, full)].argmin(axis=1)]
+        values[empty] = (_mixed(lent + empty.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(255)).astype(np.uint8)
     return values.tobytes()
 
 

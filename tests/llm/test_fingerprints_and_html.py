@@ -89,6 +89,13 @@ def test_likeness_is_unbiased_and_equal_texts_are_equal():
     assert minhash.fingerprint(b"A b  C") == minhash.fingerprint(b"a b c ") != minhash.fingerprint(b"a b")
 
 
+def test_short_unequal_texts_have_unequal_fingerprints():
+    prints = [minhash.fingerprint(f"short text {i}".encode()) for i in range(2000)]
+    assert len(set(prints)) == 2000
+    near = [minhash.likeness(a, b) for a, b in zip(prints, prints[1:])]
+    assert max(near) < 0.05 and sum(near) / len(near) < 0.01
+
+
 def test_long_text_in_parts(monkeypatch):
     text = " ".join(f"w{i}" for i in range(4000)).encode()
     whole = minhash.fingerprint(text)
