@@ -1,4 +1,6 @@
-"""Token ids of documents in Huffman-coded files, in ascending doc_id.
+"""Token ids of documents in Huffman-coded files, numbered in ascending doc_id.
+
+The field ``first`` of a block, the place of its first id, carries that order; the order of files and rows does not.
 
 A file holds rows, one for each block of whole documents: their ids and lengths, the coded token ids and the
 checkpoints. Blocks are independent; with the code's lengths, which lie beside them, each can be read alone.
