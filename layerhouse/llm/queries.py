@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerhouse.llm import (
-    decontaminate, html_text, language, licences, minhash, packing, quality, simhash, token_store, url_filter,
+    decontaminate, html_text, language, licences, minhash, packing, prefix_trie, quality, simhash, token_store, url_filter,
 )
 from layerhouse.llm.common import table
 
@@ -89,3 +89,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), block=20, most=4)
