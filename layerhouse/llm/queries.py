@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerhouse.llm import (
-    decontaminate, html_text, language, licences, minhash, packing, prefix_trie, quality, simhash, token_store, url_filter,
+    byte_bpe, decontaminate, html_text, language, licences, minhash, packing, prefix_trie, quality, simhash, token_store, url_filter,
 )
 from layerhouse.llm.common import table
 
@@ -91,6 +91,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), *ranks), *ranks)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query()
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"), block=20, most=4)
