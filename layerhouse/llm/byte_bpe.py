@@ -29,7 +29,7 @@ CACHED_CHARS = 64
 BLOCK = 1 << 16
 PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 #: The white space of Unicode outside ASCII, and the separators that count as such in some libraries.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _LOADED: dict[tuple[str, str], Codec] = {}
 
 

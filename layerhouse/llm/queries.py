@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerhouse.llm import (
-    byte_bpe, decontaminate, html_text, language, licences, minhash, packing, prefix_trie, quality, simhash, token_store, url_filter,
+    byte_bpe, decontaminate, html_text, language, licences, minhash, packing, prefix_trie, quality, simhash, token_store, url_filter, whitening,
 )
 from layerhouse.llm.common import table
 
@@ -91,6 +91,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=8)
+
+
 @query()
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
