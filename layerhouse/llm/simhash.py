@@ -2,11 +2,11 @@
 
 A 64-bit fingerprint is cut into ``segments`` parts, few enough that of two fingerprints within the
 distance one part differs by at most one bit. A part is indexed once for each of its bits with that
-bit left out; equal variants meet in an equality join, and the whole distance is verified.
+bit left out; equal variants meet by equality, and the whole distance is verified.
 
 Two parts of 32 bits serve the usual distance of 3: 64 index rows for each different
 fingerprint. A variant shared by more than ``hot`` fingerprints is refined by the same rule on the other
-bits, so that a dense family of copies is never compared pair by pair.
+bits. Of a group that meets, only as many verified links are handed on as connect it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerhouse.llm.common import saved, string_bytes, text_column
-from layerhouse.llm.components import components
+from layerhouse.llm.components import Joined, components
 
 BITS = 64
 BLOCK = 1 << 14
@@ -90,45 +90,104 @@ def _index(fps: DataFrame, segments: int, within: int = BITS, start: int = 0):
     return F.array(*chain.from_iterable(keys))
 
 
-def links(fps: DataFrame, distance: int = 3, segments: int | None = None, hot: int = 256) -> DataFrame:
-    """Pairs (u, v), u > v, of different fingerprints at most ``distance`` bits apart, from rows (fp).
+def _met(fps: DataFrame, distance: int, segments: int | None, hot: int) -> DataFrame:
+    """Rows (key, finer, fp): the fingerprints that share a variant, those of a crowded one cut further by the rest of the bits.
 
-    ``fps`` must hold each fingerprint once. Every pair is found: if two fingerprints differ in at most
-    ``distance`` bits, one of floor(distance / 2) + 1 parts differs in one bit at most.
+    Two fingerprints within the distance meet in one of these groups at least: of floor(distance / 2) + 1 parts one
+    differs in one bit at most, in the whole fingerprint and again in what is left of it. Variants are counted by an aggregate that
+    is joined back, so a crowded one is not gathered in one task. A cut group leaves few bits open, which bounds its size.
     """
     segments = segments or distance // 2 + 1
     if distance > 2 * segments - 1 or BITS // segments > 32:
         raise ValueError("a part could differ in more than one bit, or is too long to be packed")
     indexed = fps.select("fp", F.explode(_index(fps, segments)).alias("key"))
-    met = indexed.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met = saved(met, "variants")
-
-    def pairs(rows: DataFrame, on: list[str]) -> DataFrame:
-        a, b = rows.alias("a"), rows.alias("b")
-        same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on]
-        near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
-        joined = a.join(b, [*same, F.col("a.fp") > F.col("b.fp"), near])
-        return joined.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
-
-    found = pairs(met.filter(F.col("n") <= hot).select("key", "fp"), ["key"])
+    shared = indexed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    met = saved(indexed.join(shared, "key"), "variants")
+    found = met.filter(F.col("n") <= hot).select("key", F.lit(0).cast("long").alias("finer"), "fp")
     crowded = met.filter(F.col("n") > hot)
-    # The part of the key differs by a bit at most; the others hold the rest, cut by the same rule.
     for i in range(segments):
         first, last = BITS * i // segments, BITS * (i + 1) // segments
         mine = crowded.filter((F.shiftright("key", 32) >= first) & (F.shiftright("key", 32) < last))
         others = [(BITS * j // segments, BITS * (j + 1) // segments) for j in range(segments) if j != i]
         cuts = [_index(mine, distance // 2 + 1, b - a, a) for a, b in others]
         if cuts:
-            finer = mine.select("key", "fp", F.explode(F.concat(*cuts)).alias("finer"))
-            found = found.unionByName(pairs(finer, ["key", "finer"]))
-    return found.distinct()
+            found = found.unionByName(mine.select("key", F.explode(F.concat(*cuts)).alias("finer"), "fp"))
+    return found
+
+
+def links(fps: DataFrame, distance: int = 3, segments: int | None = None, hot: int = 256) -> DataFrame:
+    """All pairs (u, v), u > v, of different fingerprints at most ``distance`` bits apart, from rows (fp).
+
+    ``fps`` must hold each fingerprint once. Their number grows with the square of a dense family; :func:`forest` gives
+    enough of them for the groups.
+    """
+    met = _met(fps, distance, segments, hot)
+    a, b = met.alias("a"), met.alias("b")
+    near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
+    same = [F.col("a.key") == F.col("b.key"), F.col("a.finer") == F.col("b.finer"), F.col("a.fp") > F.col("b.fp")]
+    return a.join(b, [*same, near]).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct()
+
+
+def _tree(group: np.ndarray, distance: int):
+    """Pairs within the distance that connect all of a group that such pairs connect, fewer than its members."""
+    while len(group) > 1:
+        open_, group = [group[:1]], group[1:]
+        while open_ and len(group):
+            at = open_.pop()
+            near = np.bitwise_count(group ^ at) <= distance
+            if near.any():
+                yield np.repeat(at, near.sum()), group[near]
+                open_.extend(np.split(group[near], int(near.sum())))
+                group = group[~near]
+
+
+def forest(fps: DataFrame, distance: int = 3, segments: int | None = None, hot: int = 256) -> DataFrame:
+    """Some of the pairs of :func:`links`, with the same connected components.
+
+    A task gives fewer of them than it meets fingerprints (in blocks of some 16,000), so a dense
+    family of copies gives a number of links in proportion to its size.
+    """
+
+    def run(batches):
+        joined, held, last = Joined(), [], None
+
+        def kept(pairs):
+            """Those pairs that connect something in this task, as far as it remembers."""
+            nonlocal joined
+            pairs = [(u, v) for us, vs in pairs for u, v in zip(us.view(np.int64).tolist(), vs.view(np.int64).tolist()) if joined.join(u, v)]
+            if len(joined.root) > BLOCK:
+                joined = Joined()
+            if pairs:
+                yield pa.record_batch([pa.array(side, pa.int64()) for side in zip(*pairs)], names=["u", "v"])
+
+        for batch in batches:
+            key, finer = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            fp = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+            if not len(fp):
+                continue
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (finer[1:] != finer[:-1])) + 1
+            groups = np.split(fp, cuts)
+            if held and last != (key[0], finer[0]):
+                yield from kept(_tree(np.concatenate(held), distance))
+                held = []
+            held.append(groups[0])
+            if len(groups) > 1:  # the last one may go on in the next batch
+                yield from kept(_tree(np.concatenate(held), distance))
+                yield from kept(pair for group in groups[1:-1] for pair in _tree(group, distance))
+                held = [groups[-1]]
+            last = (key[-1], finer[-1])
+        if held:
+            yield from kept(_tree(np.concatenate(held), distance))
+
+    met = _met(fps, distance, segments, hot)
+    return met.repartition("key", "finer").sortWithinPartitions("key", "finer", "fp").mapInArrow(run, "u long, v long")
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of every row, and (fp, root, least) of every fingerprint: its group and its smallest id."""
     marked = saved(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     fps = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(fps.select("fp"), distance))
+    roots = components(forest(fps.select("fp"), distance))
     members = fps.join(roots, fps["fp"] == roots["node"], "left")
     return marked, members.select("fp", F.coalesce("root", "fp").alias("root"), "least")
 

@@ -77,6 +77,47 @@ def test_links_are_complete_in_a_crowded_neighbourhood(spark, hot):
     assert found == {(a, b) for a in signed for b in signed if a > b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+@pytest.mark.parametrize("hot", [1, 3, 256])
+def test_forest_connects_what_the_links_connect(spark, hot):
+    base, rows = 0x0123456789ABCDEF, set()
+    for k in range(40):  # chains of two bits a step beside dense families
+        step = base ^ (k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFF0000)
+        rows |= {step, step ^ 3, step ^ 15, step ^ 63, step ^ 255, step ^ (1 << 40), step ^ (7 << 50)}
+    rows |= {base ^ (1 << i) ^ (1 << j) for i in range(0, 64, 3) for j in range(i + 1, 64, 5)}
+    signed = sorted(x - (1 << 64) if x >> 63 else x for x in rows)
+    fps = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = [(r.u, r.v) for r in simhash.forest(fps, hot=hot).collect()]
+    mask = (1 << 64) - 1
+    assert all(1 <= ((a ^ b) & mask).bit_count() <= 3 for a, b in found)
+    assert _roots(signed, found) == _roots(signed, [(a, b) for a in signed for b in signed if a > b and ((a ^ b) & mask).bit_count() <= 3])
+
+
+def _roots(nodes: list, edges: list) -> dict:
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in nodes}
+
+
+def test_links_of_a_dense_family_grow_in_proportion(spark):
+    """Near copies of one text: twice the family, about twice the links."""
+    def links(n):
+        base = 0x0F0F12345678FFFF
+        rows = sorted({base ^ (1 << (i % 64)) ^ (1 << (i * 7 % 61)) ^ (1 << (i * 13 % 59)) for i in range(n)})
+        fps = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in rows], "fp long")
+        return simhash.forest(fps).distinct().count() / len(rows)
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert links(6000) < tasks and links(1500) < tasks
+
+
 def test_deduplicate_keeps_the_smallest_id_of_each_group(odd_documents):
     kept = simhash.deduplicate(odd_documents)
     assert kept.columns == odd_documents.columns
