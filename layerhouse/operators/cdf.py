@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 CHANGE_TYPE = "_change_type"
+KEY = "_key"
 INSERT, DELETE = "insert", "delete"
 BEFORE, AFTER = "update_preimage", "update_postimage"
 
@@ -16,15 +17,26 @@ def _with_columns(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> Da
     return df.withColumns(missing).select(*columns)
 
 
+def _one_each(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """Key and row as structs. A struct is never NULL and equal where all its fields are, NULLs among them.
+
+    The check for repeated keys is an aggregate by key, so it shares the shuffle of the join on it.
+    """
+    again = F.concat(F.lit("a key occurs twice in one version: "), F.to_json(KEY))
+    rows = df.select(F.struct(*key).alias(KEY), F.struct(*df.columns).alias(name))
+    counted = rows.groupBy(KEY).agg(F.first(name).alias(name), F.count(F.lit(1)).alias("_n"))
+    return counted.select(KEY, F.when(F.col("_n") == 1, F.col(name)).otherwise(F.raise_error(again)).alias(name))
+
+
 def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """insert, delete, and both images of each update; one join on the primary key.
 
     A column that only one version has is NULL in the other, so a row that gains a value is an update.
+    NULL is a key like others; the job fails when a key occurs twice in a version.
     """
     columns = [*old.columns, *(c for c in new.columns if c not in old.columns)]
     old, new = _with_columns(old, new, columns), _with_columns(new, old, columns)
-    left = old.select(*key, F.struct(*[F.col(c) for c in columns]).alias("_old"))
-    right = new.select(*key, F.struct(*[F.col(c) for c in columns]).alias("_new"))
+    left, right = _one_each(old, key, "_old"), _one_each(new, key, "_new")
     a, b = F.col("_old"), F.col("_new")
 
     def image(row, kind):
@@ -35,14 +47,18 @@ def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame
         .when(b.isNull(), F.array(image(a, DELETE)))
         .otherwise(F.array(image(a, BEFORE), image(b, AFTER)))
     )
-    changed = left.join(right, list(key), "full_outer").filter(~a.eqNullSafe(b))
+    changed = left.join(right, KEY, "full_outer").filter(~a.eqNullSafe(b))
     return changed.select(F.explode_outer(changes).alias("_c")).select("_c.*")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The new version of the table from the old one and its change feed, with all columns of the feed."""
+    """The new version of the table from the old one and its change feed, with all columns of the feed.
+
+    NULL is a key like others.
+    """
     columns = [c for c in changes.columns if c != CHANGE_TYPE]
-    kept = old.join(changes.select(*key).distinct(), list(key), "left_anti")
+    touched = changes.select(F.struct(*key).alias(KEY)).distinct()
+    kept = old.withColumn(KEY, F.struct(*key)).join(touched, KEY, "left_anti").drop(KEY)
     kept = _with_columns(kept, changes, columns)
     arrived = changes.filter(F.col(CHANGE_TYPE).isin(INSERT, AFTER)).select(*columns)
     return kept.unionByName(arrived)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from layerhouse.functions.dates import date_key
 from layerhouse.functions.money import FLAT_NET_RATE, net_amount
+from layerhouse.operators.as_of import by_month, with_version
+from layerhouse.operators.cdf import change_feed
 from layerhouse.operators.scd import current_versions
 
 
@@ -42,7 +44,14 @@ def daily_sales_fact(lines: DataFrame, orders: DataFrame, product_dim: DataFrame
     n = names
     if days:
         orders = orders_between(orders, days, n.day)
-    sums = (
+    sums = _sums(lines, orders, n)
+    return _measures(
+        sums.join(current_versions(product_dim), n.product)
+        .join(current_versions(store_dim).select(n.store, n.store_sk), n.store), n, divisor)
+
+
+def _sums(lines: DataFrame, orders: DataFrame, n: SalesColumns) -> DataFrame:
+    return (
         lines.join(orders, n.order)
         .groupBy(n.day, n.product, n.store)
         .agg(
@@ -51,24 +60,108 @@ def daily_sales_fact(lines: DataFrame, orders: DataFrame, product_dim: DataFrame
             F.sum(n.amount).alias("_amount"),
         )
     )
+
+
+def _measures(sums: DataFrame, n: SalesColumns, divisor: Decimal | Column) -> DataFrame:
     gross = F.col("_amount").cast("decimal(12,2)")
-    return (
-        sums.join(current_versions(product_dim), n.product)
-        .join(current_versions(store_dim).select(n.store, n.store_sk), n.store)
-        .select(
-            date_key(F.col(n.day)).alias("sk_data"),
-            n.product_sk,
-            n.store_sk,
-            F.lit(None).cast("bigint").alias("sk_cliente"),
-            F.col("_orders").cast("int").alias("n_transazioni"),
-            F.col("_quantity").cast("int").alias("quantita_totale"),
-            gross.alias("importo_lordo"),
-            net_amount(gross, divisor).alias("importo_netto"),
-            F.lit(0).cast("decimal(12,2)").alias("sconto_totale"),
-        )
+    return sums.select(
+        date_key(F.col(n.day)).alias("sk_data"),
+        n.product_sk,
+        n.store_sk,
+        F.lit(None).cast("bigint").alias("sk_cliente"),
+        F.col("_orders").cast("int").alias("n_transazioni"),
+        F.col("_quantity").cast("int").alias("quantita_totale"),
+        gross.alias("importo_lordo"),
+        net_amount(gross, divisor).alias("importo_netto"),
+        F.lit(0).cast("decimal(12,2)").alias("sconto_totale"),
     )
 
 
+def _placed(sums: DataFrame, product_dim: DataFrame, store_dim: DataFrame, n: SalesColumns, attributes: Sequence[str],
+            chunk: Callable[[Column], Column]) -> DataFrame:
+    """The sums with the versions of their day in ``_product`` and ``_store``."""
+    placed = with_version(sums, product_dim, [n.product], n.day, [n.product_sk, *attributes], chunk, "_product")
+    return with_version(placed, store_dim, [n.store], n.day, [n.store_sk], chunk, "_store")
+
+
+def daily_sales_fact_as_of(lines: DataFrame, orders: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
+                           names: SalesColumns = SalesColumns(), divisor: Decimal | Column = FLAT_NET_RATE,
+                           attributes: Sequence[str] = (), chunk: Callable[[Column], Column] = by_month) -> DataFrame:
+    """The daily fact with the product and store versions that were valid at the start of each day.
+
+    A rebuild keeps the surrogate keys of old days, whatever versions came later. Sums without a version of
+    their day drop out; ``dropped_as_of`` lists them. ``attributes`` of the product version may be used by
+    ``divisor``. The lines are summed first, so the merge with the versions sees rows at fact grain.
+    """
+    n = names
+    placed = _placed(_sums(lines, orders, n), product_dim, store_dim, n, attributes, chunk)
+    found = placed.filter("_product IS NOT NULL AND _store IS NOT NULL")
+    keys = [F.col("_product")[c].alias(c) for c in (n.product_sk, *attributes)]
+    return _measures(found.select(*[c for c in found.columns if c not in ("_product", "_store")], *keys,
+                                  F.col("_store")[n.store_sk].alias(n.store_sk)), n, divisor)
+
+
+def dropped_as_of(lines: DataFrame, orders: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
+                  names: SalesColumns = SalesColumns(), chunk: Callable[[Column], Column] = by_month) -> DataFrame:
+    """What ``daily_sales_fact_as_of`` leaves out, once for each reason in ``missing``: sums by day, product and store.
+
+    day: the order has none; product, store: no version valid on that day, or no value at all. Lines
+    without an order head are listed by ``dropped_lines``.
+    """
+    n = names
+    placed = _placed(_sums(lines, orders, n), product_dim, store_dim, n, (), chunk)
+    day = F.col(n.day).isNull()
+    reasons = F.array_compact(F.array(
+        F.when(day, F.lit("day")), F.when(~day & F.col("_product").isNull(), F.lit("product")),
+        F.when(~day & F.col("_store").isNull(), F.lit("store"))))
+    lost = placed.filter(day | F.col("_product").isNull() | F.col("_store").isNull())
+    return lost.select(n.day, n.product, n.store, F.col("_orders").alias("n_transazioni"), F.col("_quantity").alias("quantita_totale"),
+                       F.col("_amount").alias("importo_lordo"), F.explode(reasons).alias("missing"))
+
+
+def touched_days(orders_before: DataFrame, orders: DataFrame, lines_before: DataFrame, lines: DataFrame,
+                 order_key: Sequence[str], line_key: Sequence[str], names: SalesColumns = SalesColumns()) -> DataFrame:
+    """The days whose sales differ between two versions of orders and lines, from the change feeds of both.
+
+    An order that moves to another day touches both days; a changed line touches the days that its order had
+    and has. Only the columns that the fact is made of are compared.
+    """
+    n = names
+    heads = lambda df: df.select(*dict.fromkeys([*order_key, n.order, n.day, *[c for c in (n.store,) if c in df.columns]]))
+    parts = lambda df: df.select(*dict.fromkeys(
+        [*line_key, n.order, n.product, n.quantity, n.amount, *[c for c in (n.store,) if c in df.columns]]))
+    moved = change_feed(heads(orders_before), heads(orders), order_key).select(n.day)
+    changed = change_feed(parts(lines_before), parts(lines), line_key).select(n.order).distinct()
+    of_lines = [changed.join(df.select(n.order, n.day), n.order).select(n.day) for df in (orders_before, orders)]
+    return moved.unionByName(of_lines[0]).unionByName(of_lines[1]).filter(F.col(n.day).isNotNull()).distinct()
+
+
+def rekeyed_days(fact: DataFrame, lines: DataFrame, orders: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
+                 names: SalesColumns = SalesColumns(), day_key: str = "sk_data") -> DataFrame:
+    """Days (as ``day_key``) whose rows a new version of a dimension changes, for the fact by current versions.
+
+    They hold a surrogate key that is current no more, or lines of a product or store whose current key the
+    fact does not have at all.
+    """
+    n = names
+    days = None
+    for dim, key, sk in ((product_dim, n.product, n.product_sk), (store_dim, n.store, n.store_sk)):
+        now = current_versions(dim).select(key, sk)
+        left = fact.select(day_key, sk).distinct().join(now.select(sk), sk, "left_anti").select(day_key)
+        gained = now.join(fact.select(sk).distinct(), sk, "left_anti").select(key)
+        sold = lines.join(orders, n.order).select(n.day, key).join(gained, key, "left_semi").select(
+            date_key(F.col(n.day)).alias(day_key))
+        found = left.unionByName(sold)
+        days = found if days is None else days.unionByName(found)
+    return days.filter(F.col(day_key).isNotNull()).distinct()
+
+
+def of_days(orders: DataFrame, day_keys: Sequence[int], names: SalesColumns = SalesColumns()) -> DataFrame:
+    """The order heads of the given days, as a condition on the day itself: it reaches the scan."""
+    days = [f"{k // 10000:04d}-{k // 100 % 100:02d}-{k % 100:02d}" for k in day_keys]
+    return orders.filter(F.col(names.day).isin([F.lit(d).cast("date") for d in days]))
+
+
 def orders_between(orders: DataFrame, days: tuple[str, str], day: str = SalesColumns.day) -> DataFrame:
     return orders.filter(F.col(day).between(F.lit(days[0]).cast("date"), F.lit(days[1]).cast("date")))
 

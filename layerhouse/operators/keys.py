@@ -86,8 +86,14 @@ def number_missing(df: DataFrame, key: Sequence[str], name: str, after: Column |
 
 def keep_keys(df: DataFrame, before: DataFrame, key: Sequence[str], name: str, after: Column | int,
               digits: int = 3) -> DataFrame:
-    """Rows known ``before`` keep their surrogate key, new ones are numbered above ``after``."""
-    known = df.join(before.select(*key, name), list(key), "left")
+    """Rows known ``before`` keep their surrogate key, new ones are numbered above ``after``.
+
+    NULL is a key like others; the job fails when a key occurs twice in ``before``.
+    """
+    twice = F.concat(F.lit("a key has two surrogate keys: "), F.to_json("_key"))
+    held = before.groupBy(F.struct(*key).alias("_key")).agg(F.first(name).alias(name), F.count(F.lit(1)).alias("_n"))
+    held = held.select("_key", F.when(F.col("_n") == 1, F.col(name)).otherwise(F.raise_error(twice)).alias(name))
+    known = df.withColumn("_key", F.struct(*key)).join(held, "_key", "left").drop("_key")
     return number_missing(known, key, name, after, digits)
 
 

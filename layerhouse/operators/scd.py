@@ -20,10 +20,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layerhouse.functions.hashing import hash_diff
+from layerhouse.operators.as_of import VALID_FROM, VALID_TO, with_version
 from layerhouse.operators.keys import number_missing, strided_keys
 from layerhouse.operators.neighbours import with_next, with_previous
 
-VALID_FROM, VALID_TO, IS_CURRENT, HASH = "valid_from", "valid_to", "is_current", "_hash_diff"
+IS_CURRENT, HASH = "is_current", "_hash_diff"
 TECHNICAL = (VALID_FROM, VALID_TO, IS_CURRENT, HASH)
 
 
@@ -56,7 +57,7 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col(IS_CURRENT))
 
 
-def require_unique(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+def require_unique(df: DataFrame, key: tuple[str, ...], where: str = "in the incoming batch") -> DataFrame:
     """The same rows; the job fails when a key is NULL or occurs twice.
 
     The check is an aggregate by key, so it shares the shuffle of a following join on that key.
@@ -65,9 +66,9 @@ def require_unique(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
     any_null = F.lit(False)
     for c in key:
         any_null = any_null | F.col(c).isNull()
-    problem = F.when(any_null, F.lit("NULL business key in the incoming batch")).when(
+    problem = F.when(any_null, F.lit(f"NULL business key {where}")).when(
         F.col("_n") > 1,
-        F.concat(F.lit("duplicate business key in the incoming batch: "),
+        F.concat(F.lit(f"duplicate business key {where}: "),
                  F.concat_ws("|", *[F.col(c).cast("string") for c in key])),
     )
     checked = F.when(problem.isNull(), F.col("_row")).otherwise(F.raise_error(problem))
@@ -111,6 +112,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts: st
     current = current_versions(dim).select(
         *spec.key, F.struct(*[F.col(c) for c in dim.columns]).alias("_cur")
     )
+    current = require_unique(current, spec.key, "among the current versions")
     arriving = _incoming(incoming, spec)
     arriving = arriving.select(*spec.key, F.struct(*[F.col(c) for c in arriving.columns]).alias("_new"))
     pairs = current.join(arriving, list(spec.key), "full_outer")
@@ -216,6 +218,58 @@ def scd2_history(log: DataFrame, spec: Scd2Spec, batch: str | tuple[str, ...],
     )
 
 
+def scd2_merge(dim: DataFrame, seen: DataFrame, arrivals: DataFrame, spec: Scd2Spec, moment: str,
+               after: Column | int | None = None, chunk: str | None = None, digits: int = 3) -> DataFrame:
+    """The dimension after ``arrivals`` that may be late: in any order of deliveries, what ``scd2_history`` makes of all rows.
+
+    ``seen`` holds all rows delivered before (key, attributes, ``moment``), ``arrivals`` the new ones, of any number
+    of moments. A key that has been seen at or after an arrival is late: its versions are chained anew
+    from its rows, so an arrival between two of them opens a version there, cuts the one it lies in, moves a start forward
+    to itself, or only brings newer overwrite values. For all other keys only the current version meets
+    the arrivals. Of ``seen`` the rows since the earliest arrival are read, and for late keys all of theirs; store it by
+    moment, so that an ordinary batch reads nothing.
+
+    A version keeps its surrogate key as long as it holds the moment at which it once began; new ones are numbered
+    above ``after``. The job fails on a NULL key and on two rows of one key and moment, in one delivery or in two.
+    """
+    key = list(spec.key)
+    columns = [*key, *spec.attributes, moment]
+    stamped = lambda df: df.select(*columns).withColumn(moment, F.col(moment).cast("timestamp"))
+    dim, seen, arrivals = dim.select(*spec.columns), stamped(seen), stamped(arrivals)
+    nameless = F.lit("NULL business key or moment in the arrivals")
+    whole = F.lit(True)
+    for c in (*key, moment):
+        whole = whole & F.col(c).isNotNull()
+    arrivals = arrivals.filter(F.when(whole, F.lit(True)).otherwise(F.raise_error(nameless).cast("boolean")))
+
+    first = arrivals.groupBy(*key).agg(F.min(moment).alias("_first"))
+    recent = seen.filter(F.col(moment) >= arrivals.agg(F.min(moment).alias("m")).scalar()).select(*key, moment)
+    late = recent.join(first, key).filter(F.col(moment) >= F.col("_first")).select(*key).distinct()
+    marked = first.join(late.withColumn("_late", F.lit(True)), key, "left").select(*key, F.coalesce("_late", F.lit(False)).alias("_late"))
+
+    held = dim.join(marked, key, "left")
+    # Keys that do not arrive, and the closed versions of those in time, stay as they are.
+    kept = held.filter(F.col("_late").isNull() | (~F.col("_late") & ~F.coalesce(F.col(IS_CURRENT), F.lit(False))))
+    replaced = held.filter(F.col("_late") | (~F.col("_late") & F.col(IS_CURRENT)))
+    seeds = replaced.filter(~F.col("_late")).withColumn(moment, F.col(VALID_FROM).cast("timestamp")).select(*columns)
+    again = seen.join(late, key, "left_semi")
+    log = seeds.unionByName(again).unionByName(arrivals)
+    if chunk is not None:
+        log = log.withColumn("_chunk", F.date_trunc(chunk, moment))
+    versions = scd2_history(log, spec, moment, chunk and "_chunk")
+    if not spec.surrogate:
+        return kept.select(*spec.columns).unionByName(versions.select(*spec.columns))
+    # Each old start lies in one new version; of several, the first keeps its surrogate key.
+    starts = replaced.select(*key, spec.surrogate, F.col(VALID_FROM).alias("_began"))
+    placed = with_version(starts, versions, key, "_began", [VALID_FROM], name="_in")
+    owners = placed.groupBy(*key, F.col("_in")[VALID_FROM].alias(VALID_FROM)).agg(
+        F.min_by(spec.surrogate, "_began").alias(spec.surrogate))
+    versions = versions.join(owners, [*key, VALID_FROM], "left").select(*spec.columns)
+    if after is not None:
+        versions = number_missing(versions, [*key, VALID_FROM], spec.surrogate, after, digits)
+    return kept.select(*spec.columns).unionByName(versions.select(*spec.columns))
+
+
 def publish_current(dim: DataFrame) -> DataFrame:
     """Copy of a dimension for the star schema: current versions without technical columns."""
     return current_versions(dim).drop(*TECHNICAL)

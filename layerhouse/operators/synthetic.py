@@ -85,14 +85,20 @@ def pick_parent(df: DataFrame, u: Column, parent: DataFrame, key: Sequence[str],
     """A uniformly chosen parent row for every row of ``df`` (inside its ``within`` group).
 
     Parents get dense positions; each row turns its uniform into one position, so the pick is an
-    equi-join and never a product of both tables. Rows whose group has no parent drop out.
+    equi-join and never a product of both tables. A NULL group is a group like others. The job fails on a row
+    whose group has no parent.
     """
     wanted = list(dict.fromkeys([*within, *key, *columns]))
-    numbered = dense_position(parent.select(*wanted), key, "_position", within)
-    sizes = parent.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
-    sized = df.join(sizes, list(within)) if within else df.withColumn("_n", F.coalesce(sizes.scalar(), F.lit(0)))
-    placed = sized.withColumn("_position", rv.uniform_index(u, F.col("_n"))).drop("_n")
-    return placed.join(numbered, [*within, "_position"]).drop("_position")
+    group = F.struct(*within) if within else F.lit(0)
+    numbered = dense_position(parent.select(*wanted), key, "_position", within).withColumn("_group", group)
+    numbered = numbered.drop(*within)
+    sizes = parent.groupBy(group.alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+    sized = df.withColumn("_group", group).join(sizes, "_group", "left")
+    childless = F.concat(F.lit("no parent in the group "), F.to_json("_group") if within else F.lit("of all rows"))
+    n = F.when(F.col("_n").isNull(), F.raise_error(childless).cast("bigint")).otherwise(F.col("_n"))
+    placed = sized.withColumn("_position", rv.uniform_index(u, n)).drop("_n")
+    return placed.join(numbered, ["_group", "_position"]).drop("_group", "_position").select(
+        *within, *[c for c in df.columns if c not in within], *[c for c in wanted if c not in within])
 
 
 def order_lines(orders: DataFrame, order: str, products: DataFrame, product: str, price: str,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerhouse.contracts import text_schema
+from layerhouse.contracts import Contract, text_schema
 from layerhouse.functions.dates import time_slot
 from layerhouse.functions.hashing import hash_diff
 from layerhouse.operators import calendar_dim, cdf, gold, keys, scd, silver
-from layerhouse.plans.catalogue.registry import query, table
+from layerhouse.plans.catalogue.registry import query, scratch_schema, table
+from layerhouse.session import work_dir
+from layerhouse.sources import patched
 
 SPEC = scd.Scd2Spec(key=("cod_prodotto",), tracked=("nome", "categoria", "iva_perc"),
                     overwrite=("prezzo_unitario",), surrogate="sk_prodotto")
@@ -152,6 +154,29 @@ def gold_dim_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.publish_current(_applied(spark, sf_dir))
 
 
+PRODUCT_TABLE = ("sk_prodotto BIGINT NOT NULL, cod_prodotto BIGINT NOT NULL, nome STRING, categoria STRING, iva_perc INT, "
+                 "prezzo_unitario DECIMAL(10,2), valid_from TIMESTAMP NOT NULL, valid_to TIMESTAMP, is_current BOOLEAN, _hash_diff STRING")
+
+
+@query(f"""WITH {APPLIED}, {INCOMING.replace('src AS', 'again AS')}
+SELECT cod_prodotto, nome, categoria, iva_perc, prezzo_unitario, valid_from, valid_to, is_current, _hash_diff FROM (
+  SELECT d.* REPLACE (CASE WHEN d.is_current AND s.cod_prodotto IS NOT NULL THEN s.prezzo_unitario + 1 ELSE d.prezzo_unitario END AS prezzo_unitario)
+  FROM (SELECT * FROM applied WHERE valid_from >= DATE '2024-01-01') d
+  LEFT JOIN (SELECT * FROM again WHERE cod_prodotto % 97 = 0) s USING (cod_prodotto)) u""")
+def scd2_patched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches on a dimension kept by hash bucket: the last touches a few keys, so it writes their buckets alone.
+
+    The first loads the current versions only; surrogate keys follow the buckets and are left out."""
+    contract = Contract(f"{scratch_schema(spark)}.dim", PRODUCT_TABLE, key=("sk_prodotto",), surrogate="sk_prodotto")
+    known = dimension(spark, sf_dir).filter("is_current").select("cod_prodotto", *SPEC.attributes)
+    second = delivery(spark, sf_dir)
+    third = second.filter("cod_prodotto % 97 = 0").withColumn(
+        "prezzo_unitario", (F.col("prezzo_unitario") + 1).cast("decimal(10,2)"))
+    for version, rows, moment in (("first", known, "2024-01-01 00:00:00"), ("second", second, BATCH_TS), ("third", third, "2024-07-01 00:00:00")):
+        patched.apply_to_dimension(spark, contract, rows, SPEC, moment, version)
+    return _with_dates(spark.table(contract.name).drop("sk_prodotto"))
+
+
 STORE_SPEC = scd.Scd2Spec(key=("pos_id",), tracked=("cluster", "regione"), overwrite=("saldo",),
                           carried=("nome",), null_safe_hash=True)
 
@@ -259,6 +284,25 @@ def scd2_history_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"WITH {HISTORY} SELECT * FROM history")
+def scd2_late_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third day is delivered first, those before them next, those between last: the history is that of the log in order."""
+    log = snapshots(spark, sf_dir).withColumn("turn", F.pmod(F.unix_date("day"), F.lit(3)))
+    turns = [_stored(log.filter(F.col("turn") == n).drop("turn"), "delivery") for n in (0, 2, 1)]
+    dim, seen = scd.scd2_history(turns[0].withColumn("day", F.col("day").cast("timestamp")), EVENT_SPEC, "day"), turns[0]
+    for arrivals in turns[1:]:
+        dim = _stored(scd.scd2_merge(dim, seen, arrivals, EVENT_SPEC, "day"), "history")
+        seen = seen.unionByName(arrivals)
+    return _with_dates(dim)
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """A delivery or a version of a table as it lies in the shared folder."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 CUSTOMER_SCHEMA = text_schema(("codice", "nome", "mercato", "segmento"))
 
 
@@ -361,6 +405,34 @@ def change_feed_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdf.change_feed(old, new, ["p_partkey"])
 
 
+def _with_null_key(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The row of one key loses it in both versions; that of another in the new one only, which makes it a change of the NULL row."""
+    blank = lambda df, k: df.withColumn("p_partkey", F.nullif("p_partkey", F.lit(k).cast("bigint")))
+    return blank(old, 11), blank(new.filter("p_partkey <> 11"), 12)
+
+
+WITH_NULLS = f"""{OLD_PART}, {NEW_PART},
+a AS (SELECT nullif(p_partkey, 11) AS p_partkey, p_name, p_brand, p_size, price FROM old),
+b AS (SELECT nullif(p_partkey, 12) AS p_partkey, p_name, p_brand, p_size, CAST(price AS DECIMAL(10,2)) AS price FROM new WHERE p_partkey <> 11)"""
+
+
+@query(f"""WITH {WITH_NULLS}
+SELECT b.*, 'insert' AS _change_type FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.p_partkey IS NOT DISTINCT FROM b.p_partkey)
+UNION ALL SELECT a.*, 'delete' FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.p_partkey IS NOT DISTINCT FROM b.p_partkey)
+UNION ALL SELECT a.*, 'update_preimage' FROM a JOIN b ON a.p_partkey IS NOT DISTINCT FROM b.p_partkey
+  WHERE (a.p_name, a.p_brand, a.p_size, a.price) IS DISTINCT FROM (b.p_name, b.p_brand, b.p_size, b.price)
+UNION ALL SELECT b.*, 'update_postimage' FROM a JOIN b ON a.p_partkey IS NOT DISTINCT FROM b.p_partkey
+  WHERE (a.p_name, a.p_brand, a.p_size, a.price) IS DISTINCT FROM (b.p_name, b.p_brand, b.p_size, b.price)""")
+def change_feed_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdf.change_feed(*_with_null_key(*_part_versions(spark, sf_dir)), ["p_partkey"])
+
+
+@query(f"""WITH {WITH_NULLS} SELECT * FROM b""")
+def change_feed_null_keys_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _with_null_key(*_part_versions(spark, sf_dir))
+    return cdf.apply_changes(old, cdf.change_feed(old, new, ["p_partkey"]), ["p_partkey"])
+
+
 NULL_KEYS = """log AS (
   SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, ts, event_id, event_type,
     CAST(value AS DECIMAL(12,2)) AS value, props FROM events),

@@ -5,27 +5,20 @@ Each query works in a schema of its own, which it leaves with the rows it return
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse.contracts import Contract
-from layerhouse.plans.catalogue.registry import query, table
+from layerhouse.operators import silver
+from layerhouse.plans.catalogue.registry import query, scratch_schema, table
 from layerhouse.sources import tables
 
 
-def _schema(spark: SparkSession) -> str:
-    name = f"query_{uuid.uuid4().hex[:12]}"
-    tables.create_schemas(spark, [name])
-    return name
-
-
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS stato, 'b1' AS _batch_id FROM orders
 WHERE o_orderstatus <> 'P'
 UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderstatus, 'b2' FROM orders WHERE o_orderstatus = 'P'""")
 def sink_append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches, and the first once more: it replaces itself."""
-    contract = Contract(f"{_schema(spark)}.ordini_raw", "order_id STRING, stato STRING, _batch_id STRING",
+    contract = Contract(f"{scratch_schema(spark)}.ordini_raw", "order_id STRING, stato STRING, _batch_id STRING",
                         partition_by=("_batch_id",), appended=True)
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderstatus").alias("stato"))
@@ -37,7 +30,7 @@ def sink_append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_partkey AS sk, upper(p_name) AS nome FROM part WHERE p_size > 10""")
 def sink_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Created empty, filled, replaced; a version without a required value is not shown."""
-    contract = Contract(f"{_schema(spark)}.prodotti", "sk BIGINT NOT NULL, nome STRING NOT NULL", key=("sk",), surrogate="sk")
+    contract = Contract(f"{scratch_schema(spark)}.prodotti", "sk BIGINT NOT NULL, nome STRING NOT NULL", key=("sk",), surrogate="sk")
     tables.create_table(spark, contract)
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sk"), F.col("p_name").alias("nome"), "p_size")
     tables.publish(part.select("sk", "nome"), contract, "v1")
@@ -55,7 +48,7 @@ def sink_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 (SELECT count(*) AS n_orders FROM orders) AS o""")
 def sink_schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schema with one table of either kind, and how many orders the first holds."""
-    schema = _schema(spark)
+    schema = scratch_schema(spark)
     raw = Contract(f"{schema}.ordini_raw", "order_id STRING, _batch_id STRING", partition_by=("_batch_id",), appended=True)
     replaced = Contract(f"{schema}.prodotti", "sk BIGINT NOT NULL")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"), F.lit("b").alias("_batch_id"))
@@ -65,3 +58,22 @@ def sink_schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.table(raw.name).agg(F.count(F.lit(1)).alias("n_orders"))
     listed = rows.select(F.explode(F.array(*map(F.lit, names))).alias("nome"), "n_orders")
     return listed.select("nome", (F.col("nome") == "prodotti").alias("replaced"), "n_orders")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderdate AS DATE) AS data_ordine, 'shown' AS dove FROM orders
+WHERE o_orderkey % 97 <> 0 OR o_orderkey % 2 = 0
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, 'data_ordine' FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey % 2 = 1""")
+def sink_quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days of the first delivery cannot be read; the second repairs half of them. The rest waits, the table goes on."""
+    contract = Contract(f"{scratch_schema(spark)}.ordini", "order_id STRING NOT NULL, data_ordine DATE NOT NULL", key=("order_id",))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_orderdate").cast("date").cast("string").alias("data_ordine"))
+    broken = orders.filter("k % 97 = 0").withColumn("data_ordine", F.concat(F.lit("?"), "data_ordine"))
+    raw = orders.filter("k % 97 <> 0").unionByName(broken).withColumn("_batch_id", F.lit("b1"))
+    order = [F.col("_batch_id").desc()]
+    for version, rows in (("b1", raw), ("b2", raw.unionByName(orders.filter("k % 97 = 0 AND k % 2 = 0").withColumn("_batch_id", F.lit("b2"))))):
+        typed = silver.dedup_and_type(rows, ["order_id"], {"data_ordine": "date"}, order, drop=("k",))
+        tables.publish(typed, contract, version, quarantine=True)
+    shown = spark.table(contract.name).withColumn("dove", F.lit("shown"))
+    return shown.unionByName(tables.quarantined(spark, contract).select("order_id", "data_ordine", F.concat_ws(",", "missing").alias("dove")))

@@ -22,10 +22,14 @@ INFORMATION = ("raw_total", "silver_total", "days")
 FINDINGS = "qa"
 
 
-def _publish(df: DataFrame, contract: c.Contract, batch_id: str) -> int:
-    """Rows written; minus the number of kinds of NULLs if the old version stays because of them."""
+def _publish(df: DataFrame, contract: c.Contract, batch_id: str, quarantine: bool = False) -> int:
+    """Rows written; minus the number of kinds of NULLs if the old version stays because of them.
+
+    Where there is no old version yet, broken rows are set apart and the others shown, as in a run with ``quarantine``.
+    """
+    apart = quarantine or not df.sparkSession.catalog.tableExists(contract.name)
     try:
-        return tables.publish(df, contract, batch_id)
+        return tables.publish(df, contract, batch_id, apart)
     except tables.Rejected as rejected:
         print(rejected)
         return -len(rejected.nulls)
@@ -51,14 +55,16 @@ def newest_first(contract: c.Contract) -> list:
     return [F.col("_ingestion_ts").desc(), F.col("_batch_id").desc(), *[F.col(x).desc() for x in rest]]
 
 
-def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str) -> dict[str, int]:
+def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str, quarantine: bool = False) -> dict[str, int]:
+    """Typed tables from all raw rows. With ``quarantine`` a broken row is set apart until its key is delivered
+    soundly, and the table goes on without it; else the whole table keeps its old version."""
     written = {}
     for source, target, types in (
         (c.BRONZE_ORDERS, c.SILVER_ORDERS, c.ORDER_TYPES),
         (c.BRONZE_LINES, c.SILVER_LINES, c.LINE_TYPES),
     ):
         typed = silver.dedup_and_type(spark.table(source.name), target.key, types, newest_first(source))
-        written[target.name] = _publish(typed, target, batch_id)
+        written[target.name] = _publish(typed, target, batch_id, quarantine)
     customers = _landing(spark, landing, "clienti")
     one_each = silver.latest_per_key(
         customers, c.SILVER_CUSTOMERS.key, [F.col(x).desc() for x in customers.columns]
@@ -66,7 +72,7 @@ def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str
     typed = silver.apply_types(one_each, c.CUSTOMER_TYPES).withColumn(
         "_ingestion_ts", F.lit(batch_ts).cast("timestamp")
     )
-    written[c.SILVER_CUSTOMERS.name] = _publish(typed, c.SILVER_CUSTOMERS, batch_id)
+    written[c.SILVER_CUSTOMERS.name] = _publish(typed, c.SILVER_CUSTOMERS, batch_id, quarantine)
     return written
 
 
@@ -143,6 +149,11 @@ def rejects(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
+def quarantined(spark: SparkSession) -> dict[str, DataFrame]:
+    """Rows that the typed tables set apart, by table."""
+    return {t.name: tables.quarantined(spark, t) for t in (c.SILVER_ORDERS, c.SILVER_LINES, c.SILVER_CUSTOMERS)}
+
+
 def contract_checks(spark: SparkSession) -> dict[str, DataFrame]:
     """Primary keys and required columns of every published table."""
     found = {}
@@ -160,7 +171,8 @@ def report(spark: SparkSession) -> dict[str, int]:
     """
     tables.create_schemas(spark, [FINDINGS])
     found = {}
-    for name, df in {**checks(spark), **contract_checks(spark), **rejects(spark)}.items():
+    apart = {f"{name} quarantined": df for name, df in quarantined(spark).items()}
+    for name, df in {**checks(spark), **contract_checks(spark), **rejects(spark), **apart}.items():
         target = f"{FINDINGS}.{name.replace('.', '_').replace(' ', '_')}"
         df.write.format("parquet").mode("overwrite").saveAsTable(target)
         found[name] = spark.table(target).count()
@@ -185,11 +197,13 @@ def clean(spark: SparkSession) -> list[str]:
 
 
 def run(spark: SparkSession, landing: str, batch_id: str, batch_ts: str, first_year: int = 2020,
-        last_year: int = 2030, keep_versions: bool = True) -> dict[str, int]:
-    """One daily run over all layers; rows written per table. Without ``keep_versions`` old ones go at the end."""
+        last_year: int = 2030, keep_versions: bool = True, quarantine: bool = False) -> dict[str, int]:
+    """One daily run over all layers; rows written per table. Without ``keep_versions`` old ones go at the end.
+
+    ``quarantine``: see ``build_silver``."""
     written = {
         **ingest_bronze(spark, landing, batch_id, batch_ts),
-        **build_silver(spark, landing, batch_id, batch_ts),
+        **build_silver(spark, landing, batch_id, batch_ts, quarantine),
         **update_dimensions(spark, landing, batch_id, batch_ts),
         **build_gold(spark, batch_id, first_year, last_year),
     }
