@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,3 +59,26 @@ def missing_days(expected: DataFrame, expected_day: str, found: DataFrame, found
     """Expected days that do not occur."""
     have = found.select(F.col(found_day).alias("_day")).distinct()
     return expected.select(expected_day).join(have, F.col(expected_day) == F.col("_day"), "left_anti")
+
+
+def constraints(df: DataFrame, key: Sequence[str], required: Sequence[str] = (), totals: Mapping[str, Column] | None = None,
+                conditions: Mapping[str, Column] | None = None) -> DataFrame:
+    """All counts and sums that the checks of one table need, from one scan and one aggregate by key.
+
+    Rows (check_name, value): rows; "key" (keys with more than one row); "null <column>"; "not <condition>" (rows for which a
+    condition does not hold, NULL included); "sum <total>". Violations of the first kinds are listed by
+    ``duplicate_groups`` and the like, where their number is not zero.
+    """
+    totals, conditions = totals or {}, conditions or {}
+    found = {f"null {c}": F.count_if(F.col(c).isNull()) for c in required}
+    found |= {f"not {name}": F.count_if(~F.coalesce(holds, F.lit(False))) for name, holds in conditions.items()}
+    found |= {f"sum {name}": F.sum(value) for name, value in totals.items()}
+    names = list(found)
+    by_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[found[name].alias(f"_v{i}") for i, name in enumerate(names)])
+    whole = by_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.count_if(F.col("_n") > 1).alias("_twice"),
+        *[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_v{i}") for i in range(len(names))])
+    number = lambda c: F.col(c).cast("decimal(38,2)")
+    pairs = [("rows", "_rows"), ("key", "_twice"), *[(name, f"_v{i}") for i, name in enumerate(names)]]
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), number(c).alias("value")) for name, c in pairs])
+    return whole.select(F.explode(rows).alias("_p")).select("_p.*")

@@ -14,6 +14,23 @@ from layerhouse.plans.catalogue.sales import (
 GRAIN = ("sk_data", "sk_prodotto", "sk_punto_vendita")
 
 
+@query("""WITH keyed AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2),
+lines AS (SELECT *, CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS product FROM lineitem),
+v AS (SELECT count(*) AS a, (SELECT count(*) FROM keyed WHERE n > 1) AS b, count(*) FILTER (WHERE product IS NULL) AS c,
+  count(*) FILTER (WHERE l_suppkey IS NULL) AS d, count(*) FILTER (WHERE NOT coalesce(l_quantity < 40, false)) AS e,
+  count(*) FILTER (WHERE NOT coalesce(product > 50, false)) AS f, sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS g FROM lines)
+SELECT check_name, CAST(value AS DECIMAL(38,2)) AS value FROM (
+  SELECT 'rows' AS check_name, CAST(a AS DECIMAL(38,2)) AS value FROM v UNION ALL SELECT 'key', b FROM v UNION ALL SELECT 'null product', c FROM v
+  UNION ALL SELECT 'null l_suppkey', d FROM v UNION ALL SELECT 'not quantity', e FROM v UNION ALL SELECT 'not known', f FROM v
+  UNION ALL SELECT 'sum amount', g FROM v) u""")
+def constraint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key, required columns, conditions and a total of the raw lines in one pass."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("product", F.when(F.col("l_partkey") % 10 != 3, F.col("l_partkey")))
+    return quality.constraints(
+        lines, ["l_orderkey", "l_linenumber"], ["product", "l_suppkey"], {"amount": F.col("l_extendedprice").cast("decimal(10,2)")},
+        {"quantity": F.col("l_quantity") < 40, "known": F.col("product") > 50})
+
+
 @query(f"""WITH {FACT} SELECT sk_data, sk_prodotto, sk_punto_vendita, count(*) AS n FROM fact
 GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def grain_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerhouse.contracts import Contract, text_schema
@@ -11,6 +13,7 @@ from layerhouse.operators import calendar_dim, cdf, gold, keys, scd, silver
 from layerhouse.plans.catalogue.registry import query, scratch_schema, table
 from layerhouse.session import work_dir
 from layerhouse.sources import patched
+from layerhouse.streaming.incremental import follow_history
 
 SPEC = scd.Scd2Spec(key=("cod_prodotto",), tracked=("nome", "categoria", "iva_perc"),
                     overwrite=("prezzo_unitario",), surrogate="sk_prodotto")
@@ -405,6 +408,43 @@ def change_feed_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdf.change_feed(old, new, ["p_partkey"])
 
 
+@query(f"WITH {FEED} SELECT p_partkey, p_name, p_brand, p_size, CAST(price AS DECIMAL(10,2)) AS price, _change_type FROM feed")
+def change_feed_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions lie by bucket with their digests; buckets without a change are not read again."""
+    stored, sums = [], []
+    for df in _part_versions(spark, sf_dir):
+        path = work_dir(spark, "version")
+        of_key = cdf.bucket_of(["p_partkey"], 64)
+        df.withColumn(cdf.BUCKET, of_key).repartition(cdf.BUCKET).write.partitionBy(cdf.BUCKET).parquet(path)
+        stored.append(spark.read.schema(df.withColumn(cdf.BUCKET, of_key).schema).parquet(path))
+        sums.append(cdf.digests(df, ["p_partkey"], 64))
+    return cdf.change_feed_of_buckets(*stored, ["p_partkey"], cdf.changed_buckets(*sums))
+
+
+STREAMED = text_schema(("user_id", "event_type", "value", "props", "day"))
+STREAM_DIM = ("sk BIGINT NOT NULL, user_id BIGINT NOT NULL, event_type STRING, value DECIMAL(12,2), props STRING, "
+              "valid_from TIMESTAMP NOT NULL, valid_to TIMESTAMP, is_current BOOLEAN, _hash_diff STRING")
+
+
+@query(f"WITH {HISTORY} SELECT * FROM history")
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots of the users come as files, the newest third of the days first; the stream runs after each."""
+    schema, base = scratch_schema(spark), work_dir(spark, "stream")
+    log = snapshots(spark, sf_dir).select(
+        "user_id", "event_type", "value", "props", "day", F.pmod(F.unix_date("day"), F.lit(3)).alias("turn"))
+    seen = Contract(f"{schema}.seen", "user_id BIGINT NOT NULL, event_type STRING, value DECIMAL(12,2), props STRING, day TIMESTAMP, "
+                    "_batch_id STRING", partition_by=("_batch_id",), appended=True)
+    dim = Contract(f"{schema}.dim", STREAM_DIM, key=("sk",), surrogate="sk")
+    spec = replace(EVENT_SPEC, surrogate="sk")
+    types = {"user_id": "bigint", "value": "decimal(12,2)", "day": "timestamp"}
+    for n in (2, 0, 1):
+        rows = log.filter(F.col("turn") == n).drop("turn")
+        rows.select(*[F.col(x).cast("string") for x in STREAMED.names]).coalesce(4).write.options(header=True, quote='"', escape='"').csv(
+            f"{base}/landing/drop{n}")
+        follow_history(spark, f"{base}/landing/*", STREAMED, types, seen, dim, spec, "day", f"{base}/checkpoint", "run")
+    return _with_dates(spark.table(dim.name).drop("sk"))
+
+
 def _with_null_key(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The row of one key loses it in both versions; that of another in the new one only, which makes it a change of the NULL row."""
     blank = lambda df, k: df.withColumn("p_partkey", F.nullif("p_partkey", F.lit(k).cast("bigint")))

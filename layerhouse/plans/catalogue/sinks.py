@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerhouse.contracts import Contract
+from layerhouse.contracts import Contract, text_schema
 from layerhouse.operators import silver
 from layerhouse.plans.catalogue.registry import query, scratch_schema, table
-from layerhouse.sources import tables
+from layerhouse.plans.catalogue.sales import FACT, fact_daily_sales
+from layerhouse.session import work_dir
+from layerhouse.sources import layout, tables
+from layerhouse.streaming.incremental import follow_latest, typed_view
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS stato, 'b1' AS _batch_id FROM orders
@@ -77,3 +80,42 @@ def sink_quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.publish(typed, contract, version, quarantine=True)
     shown = spark.table(contract.name).withColumn("dove", F.lit("shown"))
     return shown.unionByName(tables.quarantined(spark, contract).select("order_id", "data_ordine", F.concat_ws(",", "missing").alias("dove")))
+
+
+ORDER_TEXT = text_schema(("order_id", "stato", "totale", "letto"))
+
+
+@query("""SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 = 0 THEN 'R' ELSE o_orderstatus END AS stato,
+  CAST(o_totalprice AS DECIMAL(12,2)) AS totale, CASE WHEN o_orderkey % 7 = 0 THEN 3 ELSE 1 END AS letto FROM orders
+WHERE o_orderkey % 11 <> 0 OR o_orderkey % 7 = 0""")
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops of order files: one row in seven is read anew, an older reading of some comes last and changes nothing,
+    one file comes again under another name. Totals that are no number wait outside the typed table."""
+    schema, base = scratch_schema(spark), work_dir(spark, "stream")
+    latest = Contract(f"{schema}.raw", "order_id STRING, stato STRING, totale STRING, letto STRING, _ingestion_ts TIMESTAMP, "
+                      "_source_file STRING, _batch_id STRING")
+    target = Contract(f"{schema}.ordini", "order_id BIGINT NOT NULL, stato STRING, totale DECIMAL(12,2) NOT NULL, letto INT")
+    number = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderstatus").alias("stato"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("EUR "), number)).otherwise(number).alias("totale"))
+    again = orders.filter("k % 7 = 0").withColumns({"stato": F.lit("R"), "totale": F.regexp_replace("totale", "EUR ", "")})
+    drops = (orders.withColumn("letto", F.lit("1")), again.withColumn("letto", F.lit("3")),
+             again.filter("k % 2 = 0").withColumns({"stato": F.lit("OLD"), "letto": F.lit("2")}).unionByName(again.withColumn("letto", F.lit("3"))))
+    order = [F.col("letto").cast("int").desc(), F.col("stato").desc(), F.col("totale").desc()]
+    for n, rows in enumerate(drops):
+        rows.drop("k").coalesce(4).write.options(header=True).csv(f"{base}/landing/drop{n}")
+        follow_latest(spark, f"{base}/landing/*", ORDER_TEXT, latest, ["order_id"], order, "ordini", f"{base}/checkpoint", "run",
+                      "2024-06-01 06:00:00", buckets=16)
+    typed_view(spark, latest, target, {"order_id": "BIGINT", "totale": "DECIMAL(12,2)", "letto": "INT"})
+    return spark.table(target.name)
+
+
+@query(f"WITH {FACT} SELECT * FROM fact WHERE sk_prodotto IN (4, 40, 400) OR sk_punto_vendita = 12")
+def sink_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact in files along the interleaved bits of product and store: both filters skip files."""
+    path = work_dir(spark, "fact")
+    fact = fact_daily_sales(spark, sf_dir)
+    layout.laid_out(fact, ["sk_prodotto", "sk_punto_vendita"], 32, ties=["sk_data"]).write.parquet(path)
+    stored = spark.read.schema(fact.schema).parquet(path)
+    return stored.filter(F.col("sk_prodotto").isin(4, 40, 400) | (F.col("sk_punto_vendita") == 12))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from layerhouse import contracts as c
 from layerhouse.contracts import Contract
 from layerhouse.functions import random_values as rv
-from layerhouse.operators import as_of, cdf, distinct, gold, keys, scd, synthetic
+from layerhouse.operators import as_of, cdf, distinct, gold, keys, quality, scd, synthetic
 from layerhouse.plans import generate, warehouse
-from layerhouse.sources import landing, patched, tables
+from layerhouse.sources import landing, layout, patched, tables
+from layerhouse.streaming.incremental import follow_history
 from test_skew import low_thresholds
 
 DAY = dt.datetime(2024, 1, 1)
@@ -276,6 +277,79 @@ def test_two_current_versions_of_one_key_fail(spark):
         scd.scd2_apply(one.unionByName(one), spark.createDataFrame([(1, "b")], "k int, t string"), spec, "2024-02-01").collect()
 
 
+def test_digests_tell_the_buckets_that_changed(spark, tmp_path):
+    """One row in a hundred changes, all in few buckets: only their folders are read."""
+    old = spark.range(5000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, F.lit("x")).alias("v"), F.lit(None).cast("string").alias("w"))
+    few = cdf.bucket_of(["k"], 64).isin(3, 9)
+    new = old.withColumn("v", F.when(few, F.lit("new")).otherwise(F.col("v"))).withColumn(
+        "w", F.when(few & F.col("v").isNull(), F.lit("w")).otherwise(F.col("w"))).filter("k <> 77")
+    stored = []
+    for name, df in (("old", old), ("new", new.repartition(5))):
+        df.withColumn(cdf.BUCKET, cdf.bucket_of(["k"], 64)).write.partitionBy(cdf.BUCKET).parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)).select("k", "v", "w", cdf.BUCKET))
+    of_77 = spark.createDataFrame([(77,)], "k long").select(cdf.bucket_of(["k"], 64)).first()[0]
+    changed = cdf.changed_buckets(cdf.digests(old, ["k"], 64), cdf.digests(new.repartition(3), ["k"], 64))
+    assert changed == sorted({3, 9, of_77})
+    feed = cdf.change_feed_of_buckets(*stored, ["k"], changed)
+    assert sorted(map(tuple, feed.collect()), key=repr) == sorted(map(tuple, cdf.change_feed(old, new, ["k"]).collect()), key=repr)
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [_bucket") >= 2
+    swapped = spark.createDataFrame([(1, "a", None)], "k long, v string, w string")
+    other = spark.createDataFrame([(1, None, "a")], "k long, v string, w string")
+    assert cdf.changed_buckets(cdf.digests(swapped, ["k"]), cdf.digests(other, ["k"]))  # a value that moves over a NULL
+    assert cdf.changed_buckets(cdf.digests(old, ["k"]), cdf.digests(old.orderBy(F.desc("k")), ["k"])) == []
+
+
+def test_constraints_take_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 2), (1, None, 3), (2, "b", None), (None, "c", 9)], "k int, v string, n int").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = quality.constraints(df, ["k"], ["v", "n"], {"n": F.col("n")}, {"small": F.col("n") < 5})
+    assert {r.check_name: int(r.value) for r in found.collect()} == {
+        "rows": 4, "key": 1, "null v": 1, "null n": 1, "not small": 2, "sum n": 14}
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2  # once each in the initial and final plan
+    empty = quality.constraints(df.limit(0), ["k"], ["v"], {"n": F.col("n")})
+    assert {int(r.value) for r in empty.collect()} == {0}
+
+
+def test_layout_skips_files_for_either_key(spark, tmp_path):
+    """Of 64 files, a product or a store is in few; the hot product is cut over several."""
+    rows = spark.range(0, 64000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.crc32(F.col("id").cast("string").cast("binary")) % 1000).alias("p"),
+        (F.crc32(F.concat(F.lit("s"), F.col("id")).cast("binary")) % 1000).alias("s"), "id")
+    path = str(tmp_path / "z")
+    layout.laid_out(rows, ["p", "s"], 64, ties=["id"]).write.parquet(path)
+    bounds = spark.read.parquet(path).groupBy(F.input_file_name()).agg(
+        F.min("p").alias("p0"), F.max("p").alias("p1"), F.min("s").alias("s0"), F.max("s").alias("s1"), F.count("*").alias("n"))
+    held = bounds.collect()
+    assert len(held) > 50 and max(r.n for r in held) < 4000 and sum(r.n for r in held) == 64000
+    reads = lambda c, v: sum(r[f"{c}0"] <= v <= r[f"{c}1"] for r in held)
+    assert sum(reads("p", v) for v in range(500, 1000, 25)) / 20 <= 16 and sum(reads("s", v) for v in range(0, 1000, 50)) / 20 <= 28
+    assert reads("p", 50) >= 8
+    places = spark.createDataFrame([(a, b) for a in range(4) for b in range(4)], "a int, b int")
+    curve = {(r.a, r.b): r.z for r in places.select("a", "b", layout.interleaved([F.col("a"), F.col("b")], 2).alias("z")).collect()}
+    assert curve == {(a, b): ((a >> 1) << 3 | (b >> 1) << 2 | (a & 1) << 1 | b & 1) for a, b in curve}
+    nothing = spark.createDataFrame([], rows.schema)
+    assert layout.laid_out(nothing, ["p", "s"], 4).count() == 0
+    assert layout.laid_out(spark.createDataFrame([(None, 1, 1), (2, None, 2)], rows.schema), ["p", "s"], 4).count() == 2
+
+
+def test_a_streamed_batch_that_comes_again_is_merged_once(spark, tmp_path):
+    """The folder of a checkpoint is lost: all files are read again under the same numbers."""
+    tables.create_schemas(spark, ["stream_test"])
+    seen = Contract("stream_test.seen", "k STRING NOT NULL, t STRING, at TIMESTAMP, _batch_id STRING", partition_by=("_batch_id",), appended=True)
+    dim = Contract("stream_test.dim", "k STRING NOT NULL, t STRING, valid_from TIMESTAMP NOT NULL, valid_to TIMESTAMP, is_current BOOLEAN, _hash_diff STRING")
+    spec = scd.Scd2Spec(key=("k",), tracked=("t",))
+    schema = c.text_schema(("k", "t", "at"))
+    landing.write_csv(spark.createDataFrame([("a", "x", "2024-01-05 00:00:00"), ("a", "y", "2024-01-01 00:00:00")], schema), str(tmp_path / "in/one"))
+    run = lambda n: follow_history(spark, str(tmp_path / "in/*"), schema, {"at": "timestamp"}, seen, dim, spec, "at", str(tmp_path / f"cp{n}"), "r")
+    run(1)
+    first = sorted(map(tuple, spark.table(dim.name).collect()), key=repr)
+    assert [(r[1], r[4]) for r in first] == [("x", True), ("y", False)] and spark.table(seen.name).count() == 2
+    run(2)
+    assert sorted(map(tuple, spark.table(dim.name).collect()), key=repr) == first and spark.table(seen.name).count() == 2
+
+
 def test_a_broken_row_in_the_first_run_waits_in_quarantine(spark, tmp_path):
     """One bad day among the orders: the run goes through to the fact; the repaired order is in it the next day."""
     for name in c.SCHEMAS:
