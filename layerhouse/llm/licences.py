@@ -1,12 +1,13 @@
 """License scan: a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A paragraph is a line of a text, or neighbouring lines over which a notice is wrapped. A text leaves the scan only if
-it holds a word triple without which no template can confirm it, whatever the corpus. The words of the templates that hardly
-occur in a sample, and all their word pairs, are the features of a multinomial logistic regression with an elastic net, so
-most weights are zero. It is trained on the templates with words left out, on scraps of them, and on a bounded
-sample of the corpus; the last two are the class ``unknown``. A
-temperature fitted on held-out variants makes the scores probabilities. A prediction counts if the template of
-its family is found in the paragraph, by the share of the template's word triples.
+A paragraph is a line of a text, or neighbouring lines over which a notice is wrapped. Lines come to the classifier if they hold
+a word by which licenses are spoken of, or a word triple of a template; most of them are no notice. The words and word pairs
+of templates, of license names and of the phrases they stand in are the features of a multinomial logistic regression with
+an elastic net, so most weights are zero. It is trained on the templates with words left out, on the names in some phrases,
+on scraps of both, and on a bounded sample of the corpus; the last two are the class ``unknown``. A temperature fitted on
+phrases and variants that were held out makes the scores probabilities, and what is more likely ``unknown`` is rejected. A prediction
+counts if the paragraph is similar to a template or name of the predicted family: by the weight of their common words and pairs, in
+which those of few families weigh most.
 
 Only DataFrame functions and Spark's own estimators.
 """
@@ -77,8 +78,49 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work",
     ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
     "all-rights-reserved": ("All rights reserved.",),
 }
+#: Names by which sentences speak of a license (fixed values).
+NAMES: dict[str, tuple[str, ...]] = {
+    "apache-2.0": ("Apache License", "Apache 2.0", "Apache License, Version 2.0", "Apache 2.0 license"),
+    "mit": ("MIT License", "MIT licence"),
+    "gpl": ("GNU General Public License", "GPL v3", "GPLv3", "GNU GPL"),
+    "lgpl": ("GNU Lesser General Public License", "LGPL v3", "LGPLv3", "GNU LGPL"),
+    "agpl": ("GNU Affero General Public License", "AGPL v3", "AGPLv3", "GNU AGPL"),
+    "bsd": ("BSD License", "BSD 3-Clause License", "3-Clause BSD license", "BSD licence"),
+    "mpl": ("Mozilla Public License", "MPL 2.0", "Mozilla Public License 2.0"),
+    "cc-by": ("CC BY 4.0", "Creative Commons Attribution 4.0"),
+    "cc-by-sa": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"),
+    "cc-by-nc": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+    "cc-by-nd": ("CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0"),
+    "cc0": ("CC0 1.0", "CC0 1.0 Universal"),
+    "isc": ("ISC License", "ISC licence"),
+    "epl": ("Eclipse Public License", "EPL 2.0"),
+}
+#: Phrases that name a license, for training, and others that are held out for the temperature (fixed values).
+PHRASES = ("{}", "Distributed under the {}.", "Licensed under {}", "Released under the terms of the {}", "available under the {} license",
+           "This software is under {}", "See the {} for details", "license: {}", "published under {} terms", "code is {} licensed")
+HELD_PHRASES = ("This project is available under the {}", "Code released under {}.", "You may use it under the {}")
+#: Phrases with license words that name none (fixed values).
+NO_NOTICE = (
+    "driver's license", "the license plate of the car", "a licence to teach", "licensed taxi", "the licence fee", "license", "licensed",
+    "he studied at MIT", "the MIT campus", "the MIT", "an MIT professor", "apache helicopter", "the Apache people", "gnu and zebra", "copyright",
+    "copyright law", "rights of the public", "all rights", "human rights reserved for citizens", "public domain name", "the public library",
+    "general public", "free software for the public", "creative commons room", "creative people", "version 2.0", "attribution of the quote", "under the terms of the contract",
+    "the terms of the lease", "released under water", "available under the table", "source and binary", "permission to enter", "mozilla and opera",
+    "an eclipse of the sun", "the public eclipse party", "use of this file", "see the notes for details", "software license agreement required",
+    "public license office", "license office", "a list of licenses", "the bsd port", "cc by mail", "cc me on the mail", "isc meeting")
+#: Words by which licenses are spoken of (fixed values); a line without them, and without a template's triple, is not looked at.
+GATE = (r"licen[cs]|spdx|copyright|rights reserved|public domain|creative commons|\bcc0|\bcc by\b|\bcc-by\b|redistribut|hereby granted|\bgnu\b|\b[al]?gpl"
+        r"|\bmit\b|\bapache\b|\bbsd\b|\bmozilla\b|\bmpl\b|\bisc\b|\beclipse public\b|\bepl\b")
 SAMPLE = 4000
 #: Words on either side of a line's end that a notice across it can hold; more than any template has.
 REACH = 40
@@ -111,15 +153,19 @@ def _terms(own: Column) -> Column:
     return _bound(own, lambda own: F.array_union(own, _runs(own, 2)))
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{family}', '{text}')" for family, texts in TEMPLATES.items() for text in texts)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(family, text)").select("family", words(F.col("text")).alias("own"))
+def _values(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
+    """Rows (family, own words) of fixed texts."""
+    listed = ", ".join("('{}', '{}')".format(family, text.replace("'", "\\'")) for family, text in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t(family, text)").select("family", words(F.col("text")).alias("own"))
+
+
+def _phrased(phrases: tuple[str, ...]) -> list[tuple[str, str]]:
+    return [(family, phrase.format(name)) for family, names in NAMES.items() for name in names for phrase in phrases]
 
 
 class Model:
-    def __init__(self, anchors: list[str], vocabulary: list[str], families: list[str], regression: LogisticRegressionModel,
-                 heat: float):
-        self.anchors, self.vocabulary, self.families = anchors, vocabulary, families
+    def __init__(self, vocabulary: list[str], families: list[str], regression: LogisticRegressionModel, heat: float):
+        self.vocabulary, self.families = vocabulary, families
         self.regression, self.heat = regression, heat
 
     def predict(self, paragraphs: DataFrame) -> DataFrame:
@@ -166,62 +212,64 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return sized.select("doc_id", "row", F.posexplode(cut).alias("line", "_at")).select("doc_id", "row", "line", "_at.paragraph", "_at.following")
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, rare: float = 0.02) -> Model:
-    """Trains on the templates and on about ``sample`` documents' lines, chosen by a hash of the text.
+def _gate(text: Column) -> Column:
+    return F.lower(text).rlike(f"{GATE}|{_pattern(0.8)}")
+
+
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
+    """Trains on the templates and names, and on lines of about ``sample`` documents, chosen by a hash of the text.
 
-    An anchor is a word of the templates that at most a share ``rare`` of the sampled lines holds.
+    Of these documents' different lines the 1,000 with the smallest hashes that pass the gate and 200 others
+    are taken, so copies weigh once and the same rows give the same model, in whatever order tasks end.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text).alias("text")).filter("text is not null")
     total = texts.count()
     mark = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 32))
     chosen = texts.filter(mark < int((1 << 32) * min(1.0, sample / total))) if total else texts
-    lines = chosen.select(F.explode(F.split("text", "\n")).alias("line")).select(words(F.col("line")).alias("own")).filter(
-        "size(own) > 0").limit(20 * sample).cache()
-    templates = _templates(spark).cache()
+    lines = chosen.select(F.explode(F.split("text", "\n")).alias("line")).distinct().select(
+        words(F.col("line")).alias("own"), _gate(F.col("line")).alias("gated"), F.xxhash64(F.lit("line"), "line").alias("mark"), "line")
+    lines = lines.filter("size(own) > 0")
+    drawn = lines.filter("gated").orderBy("mark", "line").limit(1000).unionByName(
+        lines.filter("not gated").orderBy("mark", "line").limit(200)).select("own")
+    templates = _values(spark, [(f, t) for f, texts in TEMPLATES.items() for t in texts])
+    phrased = _values(spark, _phrased(PHRASES))
+    held = _values(spark, _phrased(HELD_PHRASES))
+    blank = _values(spark, [(UNKNOWN, t) for t in NO_NOTICE])
+    terms = templates.unionByName(phrased).unionByName(blank).select(F.explode(_terms(F.col("own"))).alias("term")).distinct().collect()
+    vocabulary = sorted(r["term"] for r in terms)
+    # Variants of the templates: two in three whole, the others with about every sixth word left out by a hash.
+    copies = templates.select("family", "own", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("copy"))
+    thinned = F.filter("own", lambda w, i: (F.col("copy") % 3 != 1) | (F.pmod(F.xxhash64(w, i, "copy"), F.lit(6)) != 0))
+    known = copies.select("family", thinned.alias("own"), "copy")
+    # Scraps: a quarter of the words, or one word, say nothing.
+    scrap = F.filter("own", lambda w, i: F.when(F.col("copy") % 2 == 0, F.pmod(F.xxhash64(w, i, "copy"), F.lit(4)) == 0).otherwise(
+        i == F.pmod(F.col("copy"), F.size("own"))))
+    scraps = copies.filter("size(own) > 3").select(F.lit(UNKNOWN).alias("family"), scrap.alias("own"), "copy")
+    # Notices of the corpus itself are not negatives: a line that a template or name covers is left out.
+    other = drawn.filter(_similarity(F.col("own")) < 0.5).select(F.lit(UNKNOWN).alias("family"), "own")
+    turn = F.pmod(F.xxhash64("own"), F.lit(6)).cast("int").alias("copy")
+    # Each name's phrases and each phrase without a notice several times: they are few beside the templates' variants.
+    times = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("time")
+    rows = known.unionByName(scraps).unionByName(other.select("family", "own", turn))
+    rows = rows.unionByName(phrased.select("family", "own", F.lit(0).alias("copy"), times).drop("time"))
+    rows = rows.unionByName(blank.select("family", "own", F.lit(0).alias("copy"), times).drop("time"))
+    rows = rows.unionByName(held.select("family", "own", F.lit(5).alias("copy")))
+    families = [UNKNOWN, *TEMPLATES]
+    number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
+    rows = rows.select(number.cast("double").alias("label"), _terms(F.col("own")).alias("_terms"), "copy")
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_vector").setBinary(True)
+    # One partition in a fixed order: sums of floating-point numbers do not depend on how tasks end.
+    rows = counter.transform(rows).repartition(1).sortWithinPartitions("label", "copy", F.hash("_terms")).cache()
     try:
-        held = templates.select(F.explode(F.array_distinct("own")).alias("word")).distinct()
-        common = lines.select(F.explode(F.array_distinct("own")).alias("word")).join(F.broadcast(held), "word").groupBy("word").count()
-        n_lines = max(1, lines.count())
-        frequent = {r["word"] for r in common.collect() if r["count"] > rare * n_lines}  # words of the templates only
-        anchors = sorted({r["word"] for r in held.collect()} - frequent - {"0"})
-        terms = templates.select(F.explode(_terms(F.col("own"))).alias("term")).distinct().collect()
-        vocabulary = sorted(r["term"] for r in terms if " " in r["term"] or r["term"] in {*anchors})
-        # Variants of the templates: two in three whole, the others with about every sixth word left out by a hash.
-        copies = templates.select("family", "own", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("copy"))
-        thinned = F.filter("own", lambda w, i: (F.col("copy") % 3 != 1) | (F.pmod(F.xxhash64(w, i, "copy"), F.lit(6)) != 0))
-        known = copies.select("family", thinned.alias("own"), "copy")
-        # Scraps: a third of the words, or one word, say nothing.
-        scrap = F.filter("own", lambda w, i: F.when(F.col("copy") % 2 == 0, F.pmod(F.xxhash64(w, i, "copy"), F.lit(4)) == 0).otherwise(
-            i == F.pmod(F.col("copy"), F.size("own"))))
-        scraps = copies.filter("size(own) > 3").select(F.lit(UNKNOWN).alias("family"), scrap.alias("own"), "copy")
-        near = known.select(F.array_join("own", " ").alias("_line")).distinct()
-        other = lines.filter(F.arrays_overlap("own", F.array(*map(F.lit, anchors)))).withColumn("_line", F.array_join("own", " ")).join(
-            F.broadcast(near), "_line", "left_anti").limit(1000)
-        blank = lines.limit(200)
-        # Notices of the corpus itself are not negatives: a line that a template covers is left out.
-        other = other.filter(_confirm(F.col("own")) < 0.5)
-        unknown = other.unionByName(blank, allowMissingColumns=True).select(
-            F.lit(UNKNOWN).alias("family"), "own", F.pmod(F.xxhash64("own"), F.lit(VARIANTS)).cast("int").alias("copy"))
-        unknown = unknown.filter(_confirm(F.col("own")) < 0.5)
-        families = [UNKNOWN, *TEMPLATES]
-        number = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-        rows = known.unionByName(scraps).unionByName(unknown).select(
-            number.cast("double").alias("label"), _terms(F.col("own")).alias("_terms"), "copy")
-        counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_vector").setBinary(True)
-        rows = counter.transform(rows).coalesce(1).cache()
-        try:
-            learner = LogisticRegression(
-                featuresCol="_vector", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability",
-                predictionCol="_prediction", family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=30, standardization=False)
-            regression = learner.fit(rows.filter("copy % 6 <> 5"))
-            tuning = regression.transform(rows.filter("copy % 6 = 5")).select("label", vector_to_array("_raw").alias("raw")).collect()
-        finally:
-            rows.unpersist()
+        learner = LogisticRegression(
+            featuresCol="_vector", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability",
+            predictionCol="_prediction", family="multinomial", regParam=0.001, elasticNetParam=0.5, maxIter=40, standardization=False)
+        regression = learner.fit(rows.filter("copy % 6 <> 5"))
+        tuning = regression.transform(rows.filter("copy % 6 = 5")).select("label", vector_to_array("_raw").alias("raw")).collect()
     finally:
-        lines.unpersist()
-        templates.unpersist()
-    return Model(anchors, vocabulary, families, regression, _heat([(r["raw"], int(r["label"])) for r in tuning]))
+        rows.unpersist()
+    return Model(vocabulary, families, regression, _heat([(r["raw"], int(r["label"])) for r in tuning]))
 
 
 def _heat(rows: list[tuple[list[float], int]]) -> float:
@@ -242,33 +290,53 @@ def _triple_list(text: str) -> list[str]:
     return sorted({" ".join(own[i:i + 3]) for i in range(max(1, len(own) - 2))})
 
 
-def _triples(text: str) -> Column:
-    return F.array(*map(F.lit, _triple_list(text)))
+def _plain_terms(text: str) -> set[str]:
+    own = "".join("0" if c.isdigit() else c if c.isascii() and c.isalpha() else " " for c in text.lower()).split()
+    return {*own, *(f"{a} {b}" for a, b in zip(own, own[1:]))}
+
 
+def _weighed() -> dict[str, list[dict[str, float]]]:
+    """The terms of every template and name with their weights, by family: a term of few families weighs more."""
+    texts = {family: [*ts, *NAMES.get(family, ())] for family, ts in TEMPLATES.items()}
+    held = {family: set().union(*map(_plain_terms, ts)) for family, ts in texts.items()}
+    weight = lambda term: math.log((1 + len(held)) / sum(term in own for own in held.values()))
+    return {family: [{t: round(weight(t), 6) for t in sorted(_plain_terms(text))} for text in ts] for family, ts in texts.items()}
 
-def _confirm(own: Column, family: Column | None = None) -> Column:
-    """The largest share of a template's word triples that the paragraph holds, over the family's templates or all."""
+
+def _compared(own: Column, family: Column | None = None) -> Column:
+    """Array of (share, weight): of each template's weight, how much the paragraph holds, and the weight itself."""
+    shown = lambda ts: F.array(*[F.struct(
+        F.array(*map(F.lit, t)).alias("terms"), F.array(*map(F.lit, t.values())).alias("weights"), F.lit(sum(t.values())).alias("total")) for t in ts])
+    weighed = _weighed()
     if family is None:
-        templates = F.array(*(_triples(t) for texts in TEMPLATES.values() for t in texts))
+        templates = shown([t for ts in weighed.values() for t in ts])
     else:
-        pairs = ((F.lit(name), F.array(*map(_triples, texts))) for name, texts in TEMPLATES.items())
-        templates = F.element_at(F.create_map(*(x for pair in pairs for x in pair)), family)
-    shares = _bound(_runs(own, 3), lambda mine: F.transform(
-        templates, lambda t: F.size(F.array_intersect(mine, t)) / F.size(t)))
-    return F.array_max(shares)
+        templates = F.element_at(F.create_map(*(x for name, ts in weighed.items() for x in (F.lit(name), shown(ts)))), family)
+
+    def compare(mine: Column) -> Column:
+        common = lambda t: F.aggregate(
+            F.zip_with(t["terms"], t["weights"], lambda term, w: F.when(F.array_contains(mine, term), w).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x)
+        return F.transform(templates, lambda t: _bound(common(t), lambda c: F.struct((c / t["total"]).alias("share"), c.alias("weight"))))
+
+    return _bound(_terms(own), compare)
+
+
+def _similarity(own: Column) -> Column:
+    return F.array_max(F.transform(_compared(own), lambda x: x["share"]))
 
 
 def paragraphs(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least: float = 0.5,
-               similar: float = 0.8) -> DataFrame:
-    """Rows (doc_id, line, paragraph, family, probability, similarity): the confirmed license paragraphs.
+               similar: float = 0.7) -> DataFrame:
+    """Rows (doc_id, line, paragraph, family, probability, similarity): the license paragraphs.
 
-    A paragraph is a line, or some lines that hold a notice of which no part of them is confirmed for the same family.
-    Runs of lines of one family that overlap are one paragraph. ``line`` is the first, from 0. Null and empty texts have none.
+    The classifier judges every line that passes the gate, alone and with lines after it that a notice could go on in; the
+    family it names counts if a template or name of that family is ``similar``. Of overlapping runs of lines of one family
+    that with the most of a template is kept, and of those the shortest. ``line`` is the first, from 0. Null and
+    empty texts have none.
     """
-    pattern = _pattern(similar)
-    near = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.lower("text").rlike(pattern))
+    near = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(_gate(F.col("text")))
     whole = F.array_join(F.concat(F.array("paragraph"), "following"), "\n")
-    near = _lines(near, "doc_id", "text").filter(F.lower(whole).rlike(pattern))
+    near = _lines(near, "doc_id", "text").filter(_gate(whole))
     # The line alone, and with one, two ... of those after it; of these, the words that a notice across the line's end can hold.
     ends = near.select("doc_id", "row", "line", "paragraph", "following", F.explode(F.sequence(F.lit(0), F.size("following"))).alias("more"))
     after = F.slice("following", 1, F.col("more"))
@@ -276,15 +344,23 @@ def paragraphs(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
         F.slice(own, F.greatest(F.size(own) - REACH, F.lit(0)) + 1, REACH), F.slice(words(F.array_join(after, "\n")), 1, REACH)))
     cut = ends.select(
         "doc_id", "row", "line", "more", F.array_join(F.concat(F.array("paragraph"), after), "\n").alias("paragraph"),
-        F.when(F.col("more") == 0, words(F.col("paragraph"))).otherwise(across).alias("own")).filter(F.lower("paragraph").rlike(pattern))
-    scored = model.predict(cut.filter(_confirm(F.col("own")) >= similar)).filter(
-        (F.col("family") != UNKNOWN) & (F.col("probability") >= least))
-    found = scored.withColumn("similarity", _confirm(F.col("own"), F.col("family"))).filter(F.col("similarity") >= similar)
-    end = F.col("line") + F.col("more")
-    inner = Window.partitionBy("row", "family").orderBy(F.col("line").desc(), "more").rowsBetween(Window.unboundedPreceding, -1)
-    found = found.withColumn("_inner", F.min(end).over(inner)).filter(F.col("_inner").isNull() | (F.col("_inner") > end))
+        F.when(F.col("more") == 0, words(F.col("paragraph"))).otherwise(across).alias("own")).filter(_gate(F.col("paragraph")))
+    scored = model.predict(cut).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= least))
+    # The template of which most is held, by weight, among those that are similar.
+    best = F.array_max(F.transform(F.filter(_compared(F.col("own"), F.col("family")), lambda x: x["share"] >= similar), lambda x: F.struct(
+        F.round(x["weight"], 6).alias("weight"), x["share"].alias("share"))))
+    found = scored.withColumn("_best", best).filter("_best is not null").select(
+        "doc_id", "row", "line", (F.col("line") + F.col("more")).alias("_end"), "paragraph", "family", "probability",
+        F.col("_best.share").alias("similarity"), F.col("_best.weight").alias("_weight"))
+    # Runs hold REACH words and so many lines at most; the ones beside a run are those that begin so near.
+    beside = F.collect_list(F.struct(F.col("line").alias("a"), F.col("_end").alias("b"), F.col("_weight").alias("w"))).over(
+        Window.partitionBy("row", "family").orderBy("line").rangeBetween(-REACH, REACH))
+    own = F.struct(F.col("line").alias("a"), F.col("_end").alias("b"), F.col("_weight").alias("w"))
+    worse = F.exists("_beside", lambda x: (x["a"] >= own["a"]) & (x["b"] <= own["b"]) & (x["b"] - x["a"] < own["b"] - own["a"]) & (x["w"] >= own["w"])
+                     | (x["a"] <= own["a"]) & (x["b"] >= own["b"]) & (x["w"] > own["w"]))
+    found = found.withColumn("_beside", beside).filter(~worse)
     # Of runs of lines that overlap, all of one notice, the first.
-    found = found.withColumn("_last", F.lag(end).over(Window.partitionBy("row", "family").orderBy("line", "more")))
+    found = found.withColumn("_last", F.lag("_end").over(Window.partitionBy("row", "family").orderBy("line", "_end")))
     return found.filter(F.col("_last").isNull() | (F.col("_last") < F.col("line"))).select(
         "doc_id", "line", "paragraph", "family", "probability", "similarity")
 

@@ -255,6 +255,33 @@ def test_wrapped_notices_are_found(spark, scanner):
     assert all(r.line == texts[r.doc_id][1] for r in rows if r.doc_id != 4)
 
 
+def test_held_out_paraphrases_are_found(spark, scanner):
+    """Sentences that neither the templates nor the phrases of the training hold, and as many without a notice."""
+    frames = ("The code in this repository may be used under the {}.", "We publish everything here under {} since 2019",
+              "Unless stated otherwise, {} applies to these files", "Sources: {}")
+    rows = [(f, frame.format(n)) for f, names in licences.NAMES.items() for n in names for frame in frames]
+    rows += [("mit", "Distributed under the MIT license."), ("mit", "MIT License"), ("mit", "This project is available under the MIT licence"),
+             ("apache-2.0", "Code released under Apache 2.0."), ("cc-by", "Licensed under Creative Commons Attribution 4.0"),
+             ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+             ("epl", "This program is made available under the terms of the Eclipse Public License")]
+    none = ("The taxi was licensed in the city", "Her licence was taken away", "a lecture at MIT about licensing", "copyright is a right", "The Apache tribe lived there",
+            "a general public of two thousand", "the commons room is creative", "the public domain of the king", "all rights and duties", "He saw the eclipse in public",
+            "a gnu in the zoo", "terms of the license dispute", "license plates are redistributed each year", "the mozilla monster film", "rights reserved seats only")
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)] + [(10_000 + i, t) for i, t in enumerate(none)], "doc_id long, text string")
+    found = {r.doc_id: r.license for r in licences.scan(docs, scanner).collect()}
+    hit = sum(found[i] == f for i, (f, _) in enumerate(rows))
+    false = [t for i, t in enumerate(none) if found[10_000 + i]]
+    print("recall", hit / len(rows), [(t, found[i]) for i, (f, t) in enumerate(rows) if found[i] != f][:12], "false alarms", false)
+    assert hit >= 0.9 * len(rows) and len(false) <= 1
+    assert all(found[i] == f for i, (f, _) in enumerate(rows) if i >= len(rows) - 7)
+
+
+def test_the_license_model_does_not_depend_on_the_order_of_rows(spark, documents):
+    one, two = (licences.fit(d) for d in (documents, documents.repartition(5).orderBy(F.rand(3))))
+    assert one.vocabulary == two.vocabulary and one.heat == two.heat
+    assert one.regression.coefficientMatrix.toArray().tolist() == two.regression.coefficientMatrix.toArray().tolist()
+
+
 def test_license_scan_runs_no_python(spark, documents, scanner):
     plan = licences.scan(documents, scanner)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
