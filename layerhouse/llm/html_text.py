@@ -48,7 +48,8 @@ PLAIN_WORDS = frozenset(("site", "page", "top", "bottom", "list", "links", "item
                          "posts", "articles", "section"))
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute after the other, its name whole and its value with it, so that words in other names and values are not read as names.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?|[\s\"'>/=]")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -64,6 +65,8 @@ def _outside(tag: str, attributes: str) -> str | None:
     found = None
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
+        if name not in ("class", "id", "role", "hidden", "aria-hidden", "style"):
+            continue
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return "out"
         if name == "role" and value in OUT_ROLES:

@@ -246,3 +246,16 @@ def test_doubtful_blocks_stay_for_the_differencing():
         assert html_text.lines(page.format(name)) == [("A", "Title"), ("A", "Part"), ("X", "Card")]
     assert html_text.lines("<main><form><p>All</form></main>") == [("A", "All")]
     assert html_text.lines("<div class='site-footer'>End</div><p>x</p>") == [("X", "End"), ("O", "x")]
+
+
+def test_words_in_values_and_other_names_are_no_attributes():
+    """Titles, alternative texts and data attributes may hold any word."""
+    for tag in ("<p title=\"The hidden valley\">", "<section data-hidden=\"false\">", "<div data-id=\"comments\">", "<p data-style=\"display:none\">",
+                "<p title='class=ad id=footer'>", "<p alt = \"role=navigation\" lang=en>", "<p data-class=ad x-hidden>", "<p title=hidden>",
+                "<p hidden-at=\"1\">", "<p title=\"a > b\" data-role=\"banner\">"):
+        close = f"</{tag[1:].split()[0]}>"
+        assert html_text.lines(f"<article><h1>Head</h1>{tag}Body text{close}</article>") == [("A", "Head"), ("A", "Body text")], tag
+    for wrapper in ("<div title=\"hidden gems\">", "<div data-hidden=\"false\">", "<div data-aria-hidden=true>"):
+        assert html_text.lines(f"{wrapper}<main><article><p>Text</p></article></main></div>") == [("A", "Text")], wrapper
+    for tag in ("<p hidden>", "<p data-x=1 hidden=\"\">", "<p class=ad>", "<p style=\"color:red; display: none\">", "<p aria-hidden='true'>", "<p/hidden>", "<p id=\"footer\" >"):
+        assert html_text.lines(f"<article><p>Text</p>{tag}Gone</p></article>") == [("A", "Text"), ("X", "Gone")], tag
