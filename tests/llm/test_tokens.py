@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from tokenizers import Tokenizer
 
@@ -177,3 +178,26 @@ def test_plan_of_exact_complements():
     assert sum(t for _, t in packing.plan({5: 4, 3: 4, 2: 4}, 10)) == 4
     assert sum(t for _, t in packing.plan({4: 3, 3: 3, 2: 3, 1: 3}, 10)) == 3
     assert packing.plan({}, 10) == []
+
+
+def test_files_follow_ascending_doc_id(spark, documents, tmp_path, monkeypatch):
+    """Read in the order of the file names, row by row, the blocks go on where the one before ends."""
+    import pyarrow.parquet as pq
+
+    from layerhouse.llm import token_store
+
+    monkeypatch.setattr(token_store, "BLOCK_IDS", 2000)
+    docs = documents.unionByName(documents.withColumn("doc_id", F.col("doc_id") + 1000)).repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_store.write(docs, str(tmp_path / "store"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ids, place = [], 0
+    files = sorted((tmp_path / "store" / "blocks").glob("part-*"))
+    for file in files:
+        for row in pq.read_table(file).to_pylist():
+            assert row["first"] == place
+            place += sum(row["n_tokens"])
+            ids += row["doc_ids"]
+    assert len(files) > 1 and ids == sorted(ids) and len(ids) == 400
