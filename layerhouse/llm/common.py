@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import layerhouse
 from layerhouse.session import work_dir
@@ -48,6 +49,16 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_rows(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """One column with the whole rows as structs; ``select(f"{name}.*")`` gives the columns back."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias(name))
+
+
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all strings of a column and the offsets between them; null counts as empty."""
     if column.null_count:

@@ -18,8 +18,9 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from layerhouse.llm.common import saved, string_bytes, text_column
+from layerhouse.llm.common import saved, string_bytes, text_column, whole_rows
 
 #: Bytes that separate words; A-Z becomes a-z. Every byte of a character beyond ASCII belongs to a word.
 FOLD = bytes(
@@ -134,8 +135,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = 13, doc_id: s
     which then holds the whole row.
     """
     state = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
-    carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in state.schema.fields)
-    kind = state.schema["doc_id"].dataType.simpleString()
+    carried = state.schema.fields
     pending = list_first(blocks(benchmark, block_bytes)) or ([], iter(()))
     state = state.withColumns({
         "hits": F.lit(None).cast("array<struct<start:long,stop:long>>"), "items": F.lit(None).cast("array<string>")})
@@ -144,9 +144,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = 13, doc_id: s
         pending = list_first(following)
         search_block = _pass(docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block)), size, last=not pending)
         if not pending:
-            return state.mapInArrow(search_block, f"doc_id {kind}, {RESULT}")
+            return state.mapInArrow(search_block, StructType([state.schema["doc_id"], *StructType.fromDDL(RESULT).fields]))
         # One block in a worker's memory at a time.
-        state = saved(state.mapInArrow(search_block, f"{carried}, {STATE}"), "decontamination")
+        state = saved(state.mapInArrow(search_block, StructType([*carried, *StructType.fromDDL(STATE).fields])), "decontamination")
 
 
 def list_first(iterator):
@@ -198,5 +198,5 @@ def _digest(doc_id: pa.Array, n_words: list[int], hits: list, items: list) -> pa
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    judged = occurrences(docs.select(F.struct(*docs.columns).alias("_row")), benchmark, size, doc_id="_row", text=None)
+    judged = occurrences(whole_rows(docs), benchmark, size, doc_id="_row", text=None)
     return judged.filter(~F.col("contaminated")).select("doc_id.*")

@@ -14,13 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from layerhouse.llm.common import text_column
+from layerhouse.llm.common import text_column, whole_rows
 
 
 DIMENSIONS = 1 << 15
 SAMPLE = 4000
 LEAST = 50  #: sampled texts of a language, if it has as many (fixed value)
+MOST_CLASSES = 500
 UNKNOWN = "und"
 CHUNK = 1 << 20
 _MULTIPLIERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -133,7 +135,7 @@ def _sampled(batches):
             rows.append((index, found[index] if found is not None else index))
         yield pa.record_batch([
             batch.column("mark"), batch.column("lang"), pa.array([i.astype("<u2").tobytes() for i, _ in rows], pa.binary()),
-            pa.array([np.minimum(c, 65535).astype("<u2").tobytes() for _, c in rows], pa.binary())], names=["mark", "lang", "index", "count"])
+            pa.array([c.astype("<u4").tobytes() for _, c in rows], pa.binary())], names=["mark", "lang", "index", "count"])
 
 
 def held_out(doc_id) -> object:
@@ -146,7 +148,8 @@ def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample:
 
     Document frequencies come from all of these, the weights from about ``sample`` distinct texts (twice that at most, but
     one of each language): in each language those of the smallest hashes, as many as its share, ``LEAST`` at least. Every
-    language with a text that has a letter is a class. Without such rows every prediction is ``und``.
+    language with a text that has a letter is a class; more than ``MOST_CLASSES`` are an error, as the weights of
+    all of them lie in the driver's memory. Without such rows every prediction is ``und``.
     """
     own = docs.filter(learn).select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         "text is not null and lang is not null")
@@ -158,6 +161,8 @@ def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample:
     frequency[[r["index"] for r in seen]] = [r["n"] for r in seen]
     idf = np.log((1 + total) / (1 + frequency)) + 1
     held = [(r["lang"], r["texts"]) for r in held if r["texts"]]
+    if len(held) > MOST_CLASSES:
+        raise ValueError(f"{len(held)} different values of {lang}; at most {MOST_CLASSES} languages can be learned")
     if not held:
         return Model([], idf, np.zeros((DIMENSIONS, 0)), 1.0)
     least, texts = max(1, min(LEAST, sample // len(held))), sum(n for _, n in held)
@@ -169,7 +174,7 @@ def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample:
         F.col("text").rlike(r"\p{L}")).groupBy("lang", "wanted", "mark").agg(F.min("text").alias("text"))
     chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter("rank <= wanted")
     rows = chosen.select("text", "lang", "mark").mapInArrow(_sampled, "mark long, lang string, index binary, count binary").collect()
-    rows = [(r["lang"], np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["count"], "<u2"))
+    rows = [(r["lang"], np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["count"], "<u4"))
             for r in sorted(rows, key=lambda r: (r["mark"], r["lang"], r["index"])) if r["index"]]
     classes = sorted({x for x, _, _ in rows})
     if not classes:
@@ -207,8 +212,8 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str | N
                 names=["doc_id", "lang_pred", "score"])
 
     source = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    fields = StructType([source.schema["doc_id"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return source.mapInArrow(run, fields)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -221,6 +226,6 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def keep(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
     """The rows whose language is told with a score of at least ``least``, with all their columns."""
     model = fit(docs, ~held_out(F.col("doc_id")), sample=sample)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    rows = whole_rows(docs)
     found = predict(rows, model, doc_id="_row", text=None).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return found.select("doc_id.*")

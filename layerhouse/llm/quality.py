@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from layerhouse.llm.common import string_bytes, text_column
+from layerhouse.llm.common import string_bytes, text_column, whole_rows
 
 HEURISTICS = ("symbols", "capitals", "shouts", "stutter", "phrases", "lines", "plain", "sentences", "tidy")
 DIMENSIONS = 1 << 12
@@ -223,11 +224,12 @@ def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str | Non
                 pa.array([s >= least for s in score], pa.bool_())], names=["doc_id", "votes", "posterior", "score", "keep"])
 
     source = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, votes string, posterior double, score double, keep boolean")
+    fields = StructType([source.schema["doc_id"], *(StructField(c, kind) for c, kind in (
+        ("votes", StringType()), ("posterior", DoubleType()), ("score", DoubleType()), ("keep", BooleanType())))])
+    return source.mapInArrow(run, fields)
 
 
 def keep(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that the classifier fitted on them does not reject, with all their columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    rows = whole_rows(docs)
     return judge(rows, fit(docs, sample=sample), doc_id="_row", text=None).filter("keep").select("doc_id.*")

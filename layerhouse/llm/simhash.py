@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from layerhouse.llm.common import saved, string_bytes, text_column
+from layerhouse.llm.common import saved, string_bytes, text_column, whole_rows
 from layerhouse.llm.components import Joined, components
 
 BITS = 64
@@ -212,7 +213,6 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     Rows without doc_id come last; ties (rows of one id, or a group without ids) are decided by the
     fingerprint and then by the smallest text.
     """
-    columns = docs.columns
     marked, members = _rooted(docs, "doc_id", "text", shingle, distance)
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"))
     by_fp = marked.groupBy("fp").agg(F.min(first).alias("first"))  # a large group of copies is one row from here on
@@ -221,7 +221,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
         F.col("best.first.none").alias("_none"), F.col("best.first.id").alias("_id"), F.col("best.fp").alias("_fp"))
     # The rows are fingerprinted again rather than carried through all of the above. They meet the chosen ones on
     # id and fingerprint, which keeps apart the texts of one id; the same exchange serves the choice of one row.
-    rows = _with_fingerprint(docs.select(F.struct(*columns).alias("_row")), shingle).withColumns({
+    rows = _with_fingerprint(whole_rows(docs), shingle).withColumns({
         "_none": F.col("_row.doc_id").isNull(), "_id": F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(0))})
     found = rows.join(kept, ["_none", "_id", "_fp"], "left_semi")
     once = Window.partitionBy("_none", "_id", "_fp").orderBy(F.col("_row.text"))
@@ -230,8 +230,6 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
 
 def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
     """Adds the fingerprint of the text in ``_row`` as ``_fp``."""
-    kind = rows.schema["_row"].dataType.simpleString()
-
     def run(batches):
         for batch in batches:
             data, ends = string_bytes(text_column(batch))
@@ -239,4 +237,4 @@ def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
             found = [fingerprint(raw[a:b], shingle) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.record_batch([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["_row", "_fp"])
 
-    return rows.mapInArrow(run, f"_row {kind}, _fp long")
+    return rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_fp", LongType())]))

@@ -194,6 +194,32 @@ def test_temperature_makes_overconfident_scores_honest():
     assert scores.max(1).mean() == pytest.approx(0.8, abs=0.03)
 
 
+def test_counts_of_long_texts_are_not_cut(spark):
+    rows = [(i, ("ab" * 100_000 if i % 2 else "the words of a text number") + " " + "xyz"[i % 3], "one" if i % 2 else "two") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    plain = language.weigh
+
+    def weigh(index, count, idf):
+        seen.append(int(count.max()))
+        return plain(index, count, idf)
+
+    language.weigh, model = weigh, None
+    try:
+        model = language.fit(docs, F.lit(True))
+    finally:
+        language.weigh = plain
+    assert max(seen) == max(int(language.counts(t).max()) for _, t, _ in rows) > 65_535
+    assert [model.predict(t)[0] for _, t, _ in rows] == [x for _, _, x in rows]
+
+
+def test_too_many_languages_fail_clearly(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_CLASSES", 5)
+    docs = spark.createDataFrame([(i, f"text {i}", f"l{i}") for i in range(6)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="6 different values of lang"):
+        language.fit(docs, F.lit(True))
+
+
 # --- licenses ---
 
 @pytest.fixture(scope="module")

@@ -61,3 +61,12 @@ def test_odd_and_no_documents(spark, odd_documents, no_documents):
 def test_dedup_keeps_the_rows_of_a_corpus_without_copies(spark, documents):
     single = simhash.deduplicate(documents)
     assert simhash.deduplicate(saved(single, "once")).count() == single.count()
+
+
+def test_columns_with_odd_names_pass_all_stages(spark, documents):
+    docs = documents.limit(60).selectExpr("*", "1 as `a.b`", "'x' as `my col`", "named_struct('c.d', 2) as `s``t`", "3 as `_row`")
+    for name, stage in corpus_pipeline.STAGES:
+        held = saved(stage(spark, docs, SF), "odd")
+        if name != "best-fit packing":
+            assert held.columns == docs.columns
+            assert all(r["a.b"] == 1 and r["my col"] == "x" and r["s`t"]["c.d"] == 2 for r in held.collect())
