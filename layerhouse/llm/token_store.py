@@ -94,14 +94,14 @@ def _code(lengths) -> Code:
     return _CODES["code"]
 
 
-def _coded(lengths, width: str):
+def _coded(lengths, base: dict[int, int], width: str):
     def run(batches):
         code = _code(lengths)
         for batch in batches:
             for row in batch.to_pylist():
                 bits, marks = code.encode(np.frombuffer(row["ids"], width).astype(np.int64))
                 yield pa.record_batch([
-                    [row["part"]], [row["seq"]], [row["first"]], [row["doc_ids"]], [row["n_tokens"]], [bits], [marks]], schema=_BLOCK)
+                    [row["part"]], [row["seq"]], [base[row["part"]] + row["inside"]], [row["doc_ids"]], [row["n_tokens"]], [bits], [marks]], schema=_BLOCK)
 
     return run
 
@@ -126,18 +126,17 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int =
     counts[[r["id"] for r in seen]] = [r["n"] for r in seen]
     lengths = code_lengths(counts)
     spark.createDataFrame([(int(size), lengths.tobytes())], "size long, lengths binary").coalesce(1).write.parquet(f"{path}/lengths")
-    total, base = 0, []
+    total, base = 0, {}
     for row in sorted(raw.filter("seq < 0").select("part", "inside").collect()):  # one row for each partition
-        base.append((row["part"], total))
-        total += row["inside"]
+        base[row["part"]], total = total, total + row["inside"]
     sent = spark.sparkContext.broadcast((path, lengths))
-    blocks = raw.filter("seq >= 0").join(spark.createDataFrame(base, "part int, base long"), "part").select(
-        "part", "seq", (F.col("base") + F.col("inside")).alias("first"), "doc_ids", "n_tokens", "ids")
-    # The range bounds come from a scan of the numbers alone; the ids are shuffled once, still uncoded.
-    blocks.repartitionByRange("first").sortWithinPartitions("first").mapInArrow(
-        _coded(sent, _width(size).str),
-        "part int, seq long, first long, doc_ids array<long>, n_tokens array<long>, bits binary, checkpoints binary"
-    ).write.option("compression", "none").parquet(f"{path}/blocks")
+    coded = raw.filter("seq >= 0").select("part", "seq", "inside", "doc_ids", "n_tokens", "ids").mapInArrow(
+        _coded(sent, base, _width(size).str),
+        "part int, seq long, first long, doc_ids array<long>, n_tokens array<long>, bits binary, checkpoints binary")
+    # A block's place says which file it belongs to, so the coded blocks are dealt to files in order, without a sample.
+    files = max(1, len(base))
+    coded.repartitionById(files, F.floor(F.col("first") * files / max(1, total)).cast("int")).sortWithinPartitions("first").write.option(
+        "compression", "none").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
