@@ -89,16 +89,21 @@ def pick_parent(df: DataFrame, u: Column, parent: DataFrame, key: Sequence[str],
     whose group has no parent.
     """
     wanted = list(dict.fromkeys([*within, *key, *columns]))
-    group = F.struct(*within) if within else F.lit(0)
-    numbered = dense_position(parent.select(*wanted), key, "_position", within).withColumn("_group", group)
-    numbered = numbered.drop(*within)
-    sizes = parent.groupBy(group.alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
-    sized = df.withColumn("_group", group).join(sizes, "_group", "left")
-    childless = F.concat(F.lit("no parent in the group "), F.to_json("_group") if within else F.lit("of all rows"))
+    numbered = dense_position(parent.select(*wanted), key, "_position", within)
+    by = []
+    if within:
+        group = F.struct(*within).alias("_group")
+        by = ["_group"]
+        sizes = parent.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+        sized = df.select("*", group).join(sizes, by, "left")
+        numbered = numbered.select("*", group).drop(*within)
+        childless = F.concat(F.lit("no parent in the group "), F.to_json("_group"))
+    else:
+        sized = df.withColumn("_n", F.nullif(parent.agg(F.count(F.lit(1)).alias("_n")).scalar(), F.lit(0)))
+        childless = F.lit("no parent at all")
     n = F.when(F.col("_n").isNull(), F.raise_error(childless).cast("bigint")).otherwise(F.col("_n"))
     placed = sized.withColumn("_position", rv.uniform_index(u, n)).drop("_n")
-    return placed.join(numbered, ["_group", "_position"]).drop("_group", "_position").select(
-        *within, *[c for c in df.columns if c not in within], *[c for c in wanted if c not in within])
+    return placed.join(numbered, [*by, "_position"]).select(*df.columns, *[c for c in wanted if c not in df.columns])
 
 
 def order_lines(orders: DataFrame, order: str, products: DataFrame, product: str, price: str,

@@ -23,13 +23,9 @@ FINDINGS = "qa"
 
 
 def _publish(df: DataFrame, contract: c.Contract, batch_id: str, quarantine: bool = False) -> int:
-    """Rows written; minus the number of kinds of NULLs if the old version stays because of them.
-
-    Where there is no old version yet, broken rows are set apart and the others shown, as in a run with ``quarantine``.
-    """
-    apart = quarantine or not df.sparkSession.catalog.tableExists(contract.name)
+    """Rows written; minus the number of kinds of NULLs if the old version stays because of them."""
     try:
-        return tables.publish(df, contract, batch_id, apart)
+        return tables.publish(df, contract, batch_id, quarantine)
     except tables.Rejected as rejected:
         print(rejected)
         return -len(rejected.nulls)
@@ -56,15 +52,16 @@ def newest_first(contract: c.Contract) -> list:
 
 
 def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str, quarantine: bool = False) -> dict[str, int]:
-    """Typed tables from all raw rows. With ``quarantine`` a broken row is set apart until its key is delivered
-    soundly, and the table goes on without it; else the whole table keeps its old version."""
+    """Typed tables from all raw rows. With ``quarantine``, and where there is no version yet, a broken row is set apart until
+    its key is delivered soundly, and the table goes on without it; else the whole table keeps its old version."""
+    apart = lambda target: quarantine or not spark.catalog.tableExists(target.name)
     written = {}
     for source, target, types in (
         (c.BRONZE_ORDERS, c.SILVER_ORDERS, c.ORDER_TYPES),
         (c.BRONZE_LINES, c.SILVER_LINES, c.LINE_TYPES),
     ):
         typed = silver.dedup_and_type(spark.table(source.name), target.key, types, newest_first(source))
-        written[target.name] = _publish(typed, target, batch_id, quarantine)
+        written[target.name] = _publish(typed, target, batch_id, apart(target))
     customers = _landing(spark, landing, "clienti")
     one_each = silver.latest_per_key(
         customers, c.SILVER_CUSTOMERS.key, [F.col(x).desc() for x in customers.columns]
@@ -72,7 +69,7 @@ def build_silver(spark: SparkSession, landing: str, batch_id: str, batch_ts: str
     typed = silver.apply_types(one_each, c.CUSTOMER_TYPES).withColumn(
         "_ingestion_ts", F.lit(batch_ts).cast("timestamp")
     )
-    written[c.SILVER_CUSTOMERS.name] = _publish(typed, c.SILVER_CUSTOMERS, batch_id, quarantine)
+    written[c.SILVER_CUSTOMERS.name] = _publish(typed, c.SILVER_CUSTOMERS, batch_id, apart(c.SILVER_CUSTOMERS))
     return written
 
 
