@@ -2,9 +2,10 @@
 
 The library splits a text at white space before it merges bytes, so the ids of a text are the ids
 of its pieces (a run of spaces and line feeds with what follows up to the next run), one after
-the other; a stop behind a plain letter starts a piece of its own. Each distinct piece is encoded once per worker and looked up afterwards; a 64-bit
-polynomial hash with random byte values stands for the piece. Texts with other white space, and
-tokenizers of another kind, go through the library whole.
+the other; a stop behind a plain letter starts a piece of its own. Each distinct piece is encoded once per worker
+and found again by a 64-bit polynomial hash with random byte values; its bytes are kept and compared
+each time, and a text with a piece whose hash belongs to another one goes through the library whole. So do texts
+with other white space, and tokenizers of another kind.
 """
 
 from __future__ import annotations
@@ -49,8 +50,15 @@ def _splits_at_spaces(tokenizer) -> bool:
     )
 
 
+def _picked(flat: np.ndarray, first: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` one after the other, and where each begins now."""
+    begin = np.cumsum(held) - held
+    return flat[np.repeat(first - begin, held) + np.arange(held.sum())], begin
+
+
 class Encoder:
-    """``most_pieces`` bounds the cache (some 100 bytes each); a full one keeps what is in use just now.
+    """``most_pieces`` bounds the cache (some 100 bytes each, and 64 bytes of text for each in the mean); a full
+    one keeps what is in use just now.
 
     New pieces are looked up in a small index of their own, which is merged into the large one now and then.
     """
@@ -89,6 +97,9 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
+        self.text = np.zeros(0, np.uint8)
+        self.at = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
 
     def _piece(self, piece: str) -> list[int] | None:
         """Ids of a piece; None if it holds white space other than leading spaces and line feeds."""
@@ -104,14 +115,18 @@ class Encoder:
         words = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
         return [t.id for word, _ in words for t in self.model.tokenize(word)]
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        ids = [self._piece(p) for p in pieces]
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        ids = [self._piece(p.decode()) for p in pieces]
         count = np.array([-1 if x is None else len(x) for x in ids], np.int64)
         flat = np.fromiter(chain.from_iterable(x for x in ids if x), np.uint32)
         held = np.maximum(count, 0)
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(held) - held])
         self.flat = np.concatenate([self.flat, flat])
         self.count = np.concatenate([self.count, count])
+        length = np.array([len(p) for p in pieces], np.int64)
+        self.at = np.concatenate([self.at, len(self.text) + np.cumsum(length) - length])
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(pieces), np.uint8)])
+        self.length = np.concatenate([self.length, length])
         self.fresh = pd.Index(np.concatenate([self.fresh.to_numpy(), hashes]))
         if len(self.fresh) > 50_000 + len(self.known) // 4:
             self.known = pd.Index(np.concatenate([self.known.to_numpy(), self.fresh.to_numpy()]))
@@ -127,21 +142,27 @@ class Encoder:
         return found
 
     def _entries(self, hashes: np.ndarray, piece_of) -> np.ndarray:
-        """Cache entry of each hash; ``piece_of(i)`` is the text of the i-th."""
+        """Cache entry of each hash; ``piece_of(i)`` is the i-th piece."""
         found = self._find(hashes)
         new = np.flatnonzero(found < 0)
         if not len(new):
             return found
-        if len(self.count) + len(new) > self.most_pieces:
+        if len(self.count) + len(new) > self.most_pieces or len(self.text) > 64 * self.most_pieces:
             kept = found[found >= 0]
-            held = np.maximum(self.count[kept], 0)
-            first = np.cumsum(held) - held
-            self.flat = self.flat[np.repeat(self.first[kept] - first, held) + np.arange(held.sum())]
-            self.first, self.count = first, self.count[kept]
+            self.flat, self.first = _picked(self.flat, self.first[kept], np.maximum(self.count[kept], 0))
+            self.text, self.at = _picked(self.text, self.at[kept], self.length[kept])
+            self.count, self.length = self.count[kept], self.length[kept]
             self.known, self.fresh = pd.Index(hashes[found >= 0]), pd.Index(np.zeros(0, np.uint64))
         self._learn(hashes[new], [piece_of(i) for i in new.tolist()])
         return self._find(hashes)
 
+    def _same(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Whether the pieces, which cover ``data``, are those of their cache entries."""
+        length = stops - starts
+        place = np.repeat(self.at[entry] - starts, length) + np.arange(len(data))
+        equal = self.text.take(place, mode="clip") == data
+        return np.logical_and.reduceat(equal, starts) & (self.length[entry] == length)
+
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(x) for x in found], np.int64)
@@ -167,9 +188,9 @@ class Encoder:
         sample[codes] = np.arange(len(codes))
         raw = data.tobytes()
         a, b = starts[sample].tolist(), stops[sample].tolist()
-        entry = self._entries(hashes, lambda i: raw[a[i]:b[i]].decode())[codes]
+        entry = self._entries(hashes, lambda i: raw[a[i]:b[i]])[codes]
         count = self.count[entry]
-        odd = count < 0
+        odd = (count < 0) | ~self._same(data, starts, stops, entry)
         count = np.maximum(count, 0)
         before = np.concatenate([[0], np.cumsum(count)])
         shift = np.repeat(self.first[entry] - before[:-1], count)

@@ -37,6 +37,31 @@ def test_encoder_equals_the_library(library, most):
         assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == ids_of(library, texts)
 
 
+@pytest.mark.parametrize("bits", [0, 4, 9])
+@pytest.mark.parametrize("most", [50, 1_000_000])
+def test_pieces_of_one_hash_keep_their_own_ids(library, bits, most):
+    """Hashes of a few bits: nearly all pieces share theirs with others, of equal and of other lengths."""
+    draw = random.Random(7)
+    parts = ["the ", "dog ", "cat ", "a", "b ", "\n", "longer", "日本 ", "\x1c", ". ", "<|endoftext|>"]
+    texts = ["", "the dog", "the cat", *("".join(draw.choice(parts) for _ in range(draw.randint(1, 30))) for _ in range(300))]
+    encoder = Encoder(vocabulary_path(), most)
+    encoder.byte_value &= np.uint64((1 << bits) - 1)
+    encoder.powers[:], encoder.inverses[:] = 1, 1
+    for _ in range(2):
+        ids, sizes = encoder.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == ids_of(library, texts)
+
+
+def test_long_pieces_do_not_fill_the_cache(library):
+    draw = random.Random(8)
+    texts = [" ".join("".join(draw.choices("abcdefgh", k=900)) for _ in range(40)) for _ in range(60)]
+    encoder = Encoder(vocabulary_path(), 1000)
+    for text in texts:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.text) <= 64 * 1000 + len(text)
+
+
 def test_encoder_of_another_kind():
     path = vocabulary_path("word_bpe_49k.json")
     texts = ["Hello  World", "", "naïve café"]
