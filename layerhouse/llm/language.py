@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -143,6 +143,13 @@ def held_out(doc_id) -> object:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(True))
 
 
+def _below(own: DataFrame, mark, bounds: dict[str, int]) -> DataFrame:
+    """Rows with a letter whose mark is at most the bound of their language; others' rows go."""
+    rows = own.sparkSession.createDataFrame(list(bounds.items()), "lang string, bound long")
+    near = own.select("text", "lang", mark.alias("mark")).join(F.broadcast(rows), "lang").filter("mark <= bound")
+    return near.filter(F.col("text").rlike(r"\p{L}"))
+
+
 def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample: int = SAMPLE, rounds: int = 3) -> Model:
     """Learns from the rows where the condition ``learn`` holds and text and language are not null.
 
@@ -168,11 +175,12 @@ def fit(docs: DataFrame, learn, text: str = "text", lang: str = "lang", sample:
     least, texts = max(1, min(LEAST, sample // len(held))), sum(n for _, n in held)
     wanted = [(x, n, max(least, math.ceil(sample * n / texts))) for x, n in held]
     # Marks are spread evenly: below the bound lie about twice as many as wanted, of which the smallest are taken.
-    bounds = docs.sparkSession.createDataFrame(
-        [(x, k, min((1 << 63) - 1, (1 << 64) * (2 * k + 20) // n - (1 << 63))) for x, n, k in wanted], "lang string, wanted int, bound long")
-    chosen = own.select("text", "lang", mark.alias("mark")).join(F.broadcast(bounds), "lang").filter("mark <= bound").filter(
-        F.col("text").rlike(r"\p{L}")).groupBy("lang", "wanted", "mark").agg(F.min("text").alias("text"))
-    chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter("rank <= wanted")
+    bounds = {x: min((1 << 63) - 1, (1 << 64) * (2 * k + 20) // n - (1 << 63)) for x, n, k in wanted}
+    lowest = {x: [] for x in bounds}
+    for r in _below(own, mark, bounds).select("lang", "mark").distinct().collect():
+        lowest[r["lang"]].append(r["mark"])
+    bounds = {x: sorted(lowest[x])[:k][-1] for x, _, k in wanted if lowest[x]}
+    chosen = _below(own, mark, bounds).groupBy("lang", "mark").agg(F.min("text").alias("text"))
     rows = chosen.select("text", "lang", "mark").mapInArrow(_sampled, "mark long, lang string, index binary, count binary").collect()
     rows = [(r["lang"], np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["count"], "<u4"))
             for r in sorted(rows, key=lambda r: (r["mark"], r["lang"], r["index"])) if r["index"]]
