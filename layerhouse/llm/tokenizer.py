@@ -21,6 +21,7 @@ from layerhouse.llm.common import slices, string_bytes
 
 CHUNK_BYTES = 1 << 20
 STOPS = ".,!?;:"
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _LOADED: dict[tuple[str, int], Encoder] = {}
 
 
@@ -56,6 +57,11 @@ def _picked(flat: np.ndarray, first: np.ndarray, held: np.ndarray) -> tuple[np.n
     return flat[np.repeat(first - begin, held) + np.arange(held.sum())], begin
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    return np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 class Encoder:
     """``most_pieces`` bounds the cache (some 100 bytes each, and 64 bytes of text for each in the mean); a full
     one keeps what is in use just now.
@@ -98,6 +104,7 @@ class Encoder:
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.text = np.zeros(0, np.uint8)
+        self.words = _words(self.text)
         self.at = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
 
@@ -126,6 +133,7 @@ class Encoder:
         length = np.array([len(p) for p in pieces], np.int64)
         self.at = np.concatenate([self.at, len(self.text) + np.cumsum(length) - length])
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(pieces), np.uint8)])
+        self.words = _words(self.text)
         self.length = np.concatenate([self.length, length])
         self.fresh = pd.Index(np.concatenate([self.fresh.to_numpy(), hashes]))
         if len(self.fresh) > 50_000 + len(self.known) // 4:
@@ -158,10 +166,17 @@ class Encoder:
 
     def _same(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, entry: np.ndarray) -> np.ndarray:
         """Whether the pieces, which cover ``data``, are those of their cache entries."""
-        length = stops - starts
-        place = np.repeat(self.at[entry] - starts, length) + np.arange(len(data))
-        equal = self.text.take(place, mode="clip") == data
-        return np.logical_and.reduceat(equal, starts) & (self.length[entry] == length)
+        length, at = stops - starts, self.at[entry]
+        same = self.length[entry] == length
+        words, done, rest = _words(data), 0, np.flatnonzero(same)
+        while len(rest) and done < 64:
+            differ = (words[starts[rest] + done] ^ self.words[at[rest] + done]) & LOW_BYTES[np.minimum(length[rest] - done, 8)] != 0
+            same[rest[differ]] = False
+            done += 8
+            rest = rest[~differ & (length[rest] > done)]
+        for i in rest.tolist():
+            same[i] = np.array_equal(data[starts[i] + done:stops[i]], self.text[at[i] + done:at[i] + length[i]])
+        return same
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
