@@ -49,10 +49,8 @@ def execute(spark, args: argparse.Namespace) -> int:
             print(f"{name}: {n:,} rows in {warehouse.FINDINGS}")
         return int(any(n for name, n in found.items() if name not in warehouse.INFORMATION))
     if args.step == "changes":
-        feed = warehouse.order_changes(spark)
-        if feed is not None:
-            feed.write.format("parquet").mode("overwrite").saveAsTable("slv_sales.ordini_changes")
-        print("no version before" if feed is None else f"slv_sales.ordini_changes: {spark.table('slv_sales.ordini_changes').count():,} rows")
+        for name, n in warehouse.record_changes(spark).items():
+            print(f"{name}: {n:,} rows added")
         return 0
     if args.step == "clean":
         print("\n".join(warehouse.clean(spark)))

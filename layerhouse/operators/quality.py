@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +25,19 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_ke
     return counts.join(parents, counts[foreign_key] == F.col("_parent"), "left_anti")
 
 
+def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows (foreign_key, value, n): the keys without parent of all foreign keys of a table, from one scan of it.
+
+    ``parents`` names for each foreign key the parent table and its key, of the same type; values are shown as text.
+    Rows are counted per key and value before the one join. NULL counts as one such value.
+    """
+    shown = lambda c: F.col(f"`{c}`").cast("string").alias("value")
+    pairs = F.array(*[F.struct(F.lit(c).alias("foreign_key"), shown(c)) for c in parents])
+    counts = child.select(F.explode(pairs).alias("_p")).groupBy("_p.foreign_key", "_p.value").agg(F.count(F.lit(1)).alias("n"))
+    known = [parent.select(F.lit(c).alias("foreign_key"), shown(key)) for c, (parent, key) in parents.items()]
+    return counts.join(reduce(DataFrame.unionByName, known), ["foreign_key", "value"], "left_anti")
+
+
 def reconcile(left: DataFrame, left_amount: Column, right: DataFrame, right_amount: Column,
               left_name: str = "tot_brz", right_name: str = "tot_gld") -> DataFrame:
     """Two totals side by side and their distance, as one row."""

@@ -31,6 +31,23 @@ def constraint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"quantity": F.col("l_quantity") < 40, "known": F.col("product") > 50})
 
 
+@query("""WITH lines AS (SELECT CASE WHEN l_partkey % 10 <> 3 THEN l_partkey END AS part, l_suppkey AS supplier, l_orderkey AS \"order\" FROM lineitem),
+counts AS (SELECT 'part' AS foreign_key, part AS value, count(*) AS n FROM lines GROUP BY 2
+  UNION ALL SELECT 'supplier', supplier, count(*) FROM lines GROUP BY 2 UNION ALL SELECT 'order', \"order\", count(*) FROM lines GROUP BY 2)
+SELECT foreign_key, CAST(value AS VARCHAR) AS value, n FROM counts WHERE CASE foreign_key
+  WHEN 'part' THEN NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = value AND p_size < 40)
+  WHEN 'supplier' THEN NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = value AND s_acctbal > 0)
+  ELSE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = value) END""")
+def orphans_of_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three foreign keys of the lines in one pass, against parents of which some are missing."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_partkey") % 10 != 3, F.col("l_partkey")).alias("part"), F.col("l_suppkey").alias("supplier"), F.col("l_orderkey").alias("order"))
+    return quality.orphans(lines, {
+        "part": (table(spark, sf_dir, "part").filter("p_size < 40"), "p_partkey"),
+        "supplier": (table(spark, sf_dir, "supplier").filter("s_acctbal > 0"), "s_suppkey"),
+        "order": (table(spark, sf_dir, "orders"), "o_orderkey")})
+
+
 @query(f"""WITH {FACT} SELECT sk_data, sk_prodotto, sk_punto_vendita, count(*) AS n FROM fact
 GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def grain_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from layerhouse.operators import silver
 from layerhouse.plans.catalogue.registry import query, scratch_schema, table
 from layerhouse.plans.catalogue.sales import FACT, fact_daily_sales
 from layerhouse.session import work_dir
-from layerhouse.sources import layout, tables
+from layerhouse.sources import change_log, layout, tables
 from layerhouse.streaming.incremental import follow_latest, typed_view
 
 
@@ -82,6 +82,51 @@ def sink_quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.unionByName(tables.quarantined(spark, contract).select("order_id", "data_ordine", F.concat_ws(",", "missing").alias("dove")))
 
 
+DAYS = """a AS (SELECT o_orderkey AS order_id, o_orderstatus AS stato, CAST(o_totalprice AS DECIMAL(12,2)) AS totale FROM orders WHERE o_orderkey % 5 <> 0),
+b AS (SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 = 0 THEN 'R' ELSE o_orderstatus END AS stato, CAST(o_totalprice AS DECIMAL(12,2)) AS totale
+  FROM orders WHERE o_orderkey % 3 <> 0),
+c AS (SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 14 = 0 THEN 'X' WHEN o_orderkey % 7 = 0 THEN 'R' ELSE o_orderstatus END AS stato,
+  CAST(o_totalprice AS DECIMAL(12,2)) AS totale FROM orders WHERE o_orderkey % 3 <> 1)"""
+
+
+def _three_versions(spark: SparkSession, sf_dir: str) -> Contract:
+    """Three versions of the orders in which rows come, change, go and come back; each is recorded, the last one twice."""
+    contract = Contract(f"{scratch_schema(spark)}.ordini", "order_id BIGINT NOT NULL, stato STRING, totale DECIMAL(12,2)", key=("order_id",))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("stato"), F.col("o_totalprice").cast("decimal(12,2)").alias("totale"))
+    status = F.when(F.col("order_id") % 7 == 0, "R").otherwise(F.col("stato"))
+    days = (orders.filter("order_id % 5 <> 0"), orders.filter("order_id % 3 <> 0").withColumn("stato", status),
+            orders.filter("order_id % 3 <> 1").withColumn("stato", F.when(F.col("order_id") % 14 == 0, "X").otherwise(status)))
+    for n, rows in enumerate(days):
+        tables.publish(rows, contract, f"d{n}")
+        change_log.record(spark, contract)
+    change_log.record(spark, contract)
+    return contract
+
+
+def _feed_sql(number: int, old: str, new: str) -> str:
+    differ = f"{old} JOIN {new} USING (order_id) WHERE ({old}.stato, {old}.totale) IS DISTINCT FROM ({new}.stato, {new}.totale)"
+    return (
+        f"SELECT {new}.*, 'insert' AS _change_type, {number} AS _number FROM {new} WHERE order_id NOT IN (SELECT order_id FROM {old}) "
+        f"UNION ALL SELECT {old}.*, 'delete', {number} FROM {old} WHERE order_id NOT IN (SELECT order_id FROM {new}) "
+        f"UNION ALL SELECT {old}.*, 'update_preimage', {number} FROM {differ} UNION ALL SELECT {new}.*, 'update_postimage', {number} FROM {differ}")
+
+
+@query(f"WITH {DAYS} SELECT *, 'insert' AS _change_type, 1 AS _number FROM a UNION ALL {_feed_sql(2, 'a', 'b')} UNION ALL {_feed_sql(3, 'b', 'c')}")
+def change_log_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of three versions, kept for all of them."""
+    contract = _three_versions(spark, sf_dir)
+    return spark.table(change_log.log_of(contract).name).drop(change_log.VERSION)
+
+
+@query(f"WITH {DAYS} SELECT 2 AS seen, * FROM b UNION ALL SELECT 3, * FROM c")
+def change_log_as_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second and the last version again, from the log alone."""
+    contract = _three_versions(spark, sf_dir)
+    second, last = change_log.as_recorded(spark, contract, 2), change_log.as_recorded(spark, contract)
+    return second.select(F.lit(2).alias("seen"), "*").unionByName(last.select(F.lit(3).alias("seen"), "*"))
+
+
 ORDER_TEXT = text_schema(("order_id", "stato", "totale", "letto"))
 
 

@@ -6,12 +6,12 @@ alone. ``batch_id`` and ``batch_ts`` come from the caller; the same values give
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from layerhouse import contracts as c
 from layerhouse.operators import bronze, calendar_dim, cdf, gold, quality, scd, silver
 from layerhouse.operators.keys import keep_keys, strided_keys
-from layerhouse.sources import landing as files, tables
+from layerhouse.sources import change_log, landing as files, tables
 
 
 #: Tables that are replaced version by version.
@@ -20,6 +20,8 @@ PUBLISHED = (c.SILVER_ORDERS, c.SILVER_LINES, c.SILVER_CUSTOMERS, c.DIM_PRODUCT,
 #: Checks that only inform: the raw total differs after a repeated delivery, the days depend on the calendar.
 INFORMATION = ("raw_total", "silver_total", "days")
 FINDINGS = "qa"
+#: Tables whose changes are kept for all versions.
+LOGGED = (c.SILVER_ORDERS,)
 
 
 def _publish(df: DataFrame, contract: c.Contract, batch_id: str, quarantine: bool = False) -> int:
@@ -161,18 +163,60 @@ def contract_checks(spark: SparkSession) -> dict[str, DataFrame]:
     return found
 
 
+def _counts(spark: SparkSession) -> dict[str, dict]:
+    """Of every published table the numbers that its checks need, from one scan each."""
+    totals = {c.FACT_DAILY_SALES: {"total": F.col("importo_lordo")}, c.SILVER_LINES: {"total": F.col("importo_riga")}}
+    return {
+        t.name: dict(quality.constraints(spark.table(t.name), t.key, t.required, totals.get(t)).collect()) for t in PUBLISHED}
+
+
 def report(spark: SparkSession) -> dict[str, int]:
     """Writes all rows of every check to a table of its own in the schema ``qa``; rows per check.
 
-    The checks in ``INFORMATION`` always have a row; rows of any other are violations.
+    The checks in ``INFORMATION`` always have a row; rows of any other are violations. The findings are those of ``checks``,
+    ``contract_checks`` and ``rejects``, but keys, required columns and totals of a table come from one scan of it, all foreign
+    keys of the fact from another, and keys are listed only where one occurs twice. Rows are counted as they are written.
     """
     tables.create_schemas(spark, [FINDINGS])
     found = {}
+
+    def listed(name: str, df: DataFrame) -> None:
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("parquet").mode("overwrite").saveAsTable(
+            f"{FINDINGS}.{name.replace('.', '_').replace(' ', '_')}")
+        found[name] = seen.get["n"]
+
+    one_row = lambda schema, *values: spark.createDataFrame([values], schema)
+    counts, fact, lines = _counts(spark), c.FACT_DAILY_SALES.name, c.SILVER_LINES.name
+    total = lambda name: counts[name]["sum total"] if counts[name]["rows"] else None
+    for contract in PUBLISHED:
+        held = counts[contract.name]
+        twice = quality.duplicate_groups(spark.table(contract.name), contract.key)
+        listed(f"{contract.name} key", twice if held["key"] else spark.createDataFrame([], twice.schema))
+        missing = [(x, int(held[f"null {x}"])) for x in contract.required if held[f"null {x}"]]
+        listed(f"{contract.name} required", spark.createDataFrame(missing, "column_name string, n_null long"))
+    lost = quality.orphans(spark.table(fact), {
+        "sk_prodotto": (spark.table(c.DIM_PRODUCT.name), "sk_prodotto"),
+        "sk_punto_vendita": (spark.table(c.DIM_STORE.name), "sk_punto_vendita"),
+        "sk_data": (spark.table(c.GOLD_DATE.name), "sk_data")})
+    listed("orphans", lost)
+    for name, key in (("orphan_products", "sk_prodotto"), ("orphan_stores", "sk_punto_vendita"), ("orphan_days", "sk_data")):
+        kind = c.FACT_DAILY_SALES.schema[key].dataType
+        mine = spark.table(f"{FINDINGS}.orphans").filter(F.col("foreign_key") == key)
+        listed(name, mine.select(F.col("value").cast(kind).alias(key), "n"))
+    named = checks(spark)
+    totals = {"raw_total": spark.table(c.BRONZE_LINES.name).agg(F.sum(F.col("importo_riga").try_cast("decimal(12,2)"))).first()[0],
+              "silver_total": total(lines)}
+    for name, first in totals.items():
+        second, column = total(fact), "tot_brz" if name == "raw_total" else "tot_slv"
+        delta = None if first is None or second is None else abs(first - second)
+        listed(name, one_row(f"{column} decimal(22,2), tot_gld decimal(22,2), delta decimal(22,2)", first, second, delta))
+    listed("silver_differs", spark.table(f"{FINDINGS}.silver_total").filter("NOT delta <=> 0"))
+    listed("grain", spark.table(f"{FINDINGS}.{fact.replace('.', '_')}_key"))
     apart = {f"{name} quarantined": df for name, df in quarantined(spark).items()}
-    for name, df in {**checks(spark), **contract_checks(spark), **rejects(spark), **apart}.items():
-        target = f"{FINDINGS}.{name.replace('.', '_').replace(' ', '_')}"
-        df.write.format("parquet").mode("overwrite").saveAsTable(target)
-        found[name] = spark.table(target).count()
+    rest = {name: df for name, df in named.items() if name not in found}
+    for name, df in {**rest, **rejects(spark), **apart}.items():
+        listed(name, df)
     return found
 
 
@@ -184,12 +228,19 @@ def order_changes(spark: SparkSession) -> DataFrame | None:
     return cdf.change_feed(before, spark.table(c.SILVER_ORDERS.name), c.SILVER_ORDERS.key)
 
 
+def record_changes(spark: SparkSession) -> dict[str, int]:
+    """Adds the changes of the orders since the last record to their log; rows added."""
+    return {change_log.log_of(t).name: change_log.record(spark, t) for t in LOGGED}
+
+
 def clean(spark: SparkSession) -> list[str]:
-    """Drops old versions; of the orders the one before stays, for ``order_changes``."""
+    """Drops old versions; of the orders the one before stays, for ``order_changes``, and of a logged table the one
+    recorded last."""
     dropped = []
     for contract in PUBLISHED:
         if spark.catalog.tableExists(contract.name):
-            dropped += tables.drop_old_versions(spark, contract, keep_before=contract is c.SILVER_ORDERS)
+            recorded = change_log.last_recorded(spark, contract)
+            dropped += tables.drop_old_versions(spark, contract, contract is c.SILVER_ORDERS, [recorded] if recorded else [])
     return dropped
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -154,16 +155,19 @@ def view_property(spark: SparkSession, contract: Contract, name: str) -> str | N
 def version_before(spark: SparkSession, contract: Contract) -> DataFrame | None:
     """The version that the present one has replaced, if it is still there."""
     name = view_property(spark, contract, "before")
-    if not name or not spark.catalog.tableExists(name):
-        return None
+    return version(spark, contract, name) if name and spark.catalog.tableExists(name) else None
+
+
+def version(spark: SparkSession, contract: Contract, name: str) -> DataFrame:
+    """The rows that the version in this table shows."""
     rows = spark.table(name)
     return (rows.filter(~F.col(QUARANTINE)) if QUARANTINE in rows.columns else rows).select(*contract.columns)
 
 
-def drop_old_versions(spark: SparkSession, contract: Contract, keep_before: bool = False) -> list[str]:
-    """Drops all versions of a published table but the one its view shows, and the one before if asked to
-    keep it for a change feed; tables of rejects stay."""
-    held = {view_property(spark, contract, "holds"), view_property(spark, contract, "before") if keep_before else None}
+def drop_old_versions(spark: SparkSession, contract: Contract, keep_before: bool = False, keep: Sequence[str] = ()) -> list[str]:
+    """Drops all versions of a published table but the one its view shows, the one before if asked to
+    keep it for a change feed, and those named in ``keep``; tables of rejects stay."""
+    held = {*keep, view_property(spark, contract, "holds"), view_property(spark, contract, "before") if keep_before else None}
     schema, table = contract.name.split(".")
     versions = [f"{schema}.{t}" for t in list_tables(spark, schema)
                 if t.startswith(f"{table}__") and not t.startswith(f"{table}__rejects_")]

@@ -10,7 +10,7 @@ from layerhouse.__main__ import execute, parse
 from layerhouse.operators import calendar_dim, gold
 from layerhouse.operators.keys import keep_keys, strided_keys
 from layerhouse.plans import generate, warehouse
-from layerhouse.sources import landing, tables
+from layerhouse.sources import change_log, landing, tables
 from layerhouse.streaming.incremental import ingest_new_files
 
 N_PRODUCTS, N_CUSTOMERS, N_ORDERS = 60, 200, 1500
@@ -186,6 +186,45 @@ def test_changes_of_the_orders(spark, first_run):
     assert feed is None or feed.columns == [*c.SILVER_ORDERS.columns, "_change_type"]
 
 
+def test_report_finds_what_the_checks_find(spark, first_run):
+    apart = {f"{n} quarantined": df for n, df in warehouse.quarantined(spark).items()}
+    expected = {**warehouse.checks(spark), **warehouse.contract_checks(spark), **warehouse.rejects(spark), **apart}
+    found = warehouse.report(spark)
+    assert found.pop("orphans") == sum(found[n] for n in ("orphan_products", "orphan_stores", "orphan_days"))
+    assert found == {name: df.count() for name, df in expected.items()}
+    for name in warehouse.INFORMATION:
+        assert spark.table(f"qa.{name}").collect() == expected[name].collect()
+
+
+def test_change_log_over_skipped_and_cleaned_versions(spark):
+    contract = c.Contract("default.logged", "k BIGINT, v STRING", key=("k",))
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "k long, v string")
+    state = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    versions = [[(1, "a"), (2, "b"), (None, "n")], [(1, "a"), (3, "c"), (None, None)], [(2, "again"), (3, "c")], [(3, "d")]]
+    assert change_log.record(spark, contract) == 0  # nothing published yet
+    sizes = []
+    for n, pairs in enumerate(versions):
+        tables.publish(rows(*pairs), contract, f"v{n}")
+        if n != 1:  # this version is passed over
+            sizes.append(change_log.record(spark, contract))
+            assert change_log.record(spark, contract) == 0
+        tables.drop_old_versions(spark, contract, keep=[change_log.last_recorded(spark, contract)])
+    assert sizes == [3, 5, 3]  # 3 rows; 1 and NULL go, 2 changes, 3 comes; 2 goes, 3 changes
+    assert [state(change_log.as_recorded(spark, contract, n)) for n in (1, 2, 3)] == [
+        sorted(versions[n], key=repr) for n in (0, 2, 3)]
+    assert state(change_log.as_recorded(spark, contract)) == state(spark.table(contract.name))
+    spark.sql(f"DROP TABLE {change_log.last_recorded(spark, contract)}")
+    tables.publish(rows((9, "z")), contract, "v9")
+    with pytest.raises(ValueError, match="is gone"):
+        change_log.record(spark, contract)
+
+
+def test_change_step_adds_to_the_log(spark, first_run, capsys):
+    assert execute(spark, parse(["changes"])) == 0 and execute(spark, parse(["changes"])) == 0
+    assert "slv_sales.ordini_change_log: 0 rows added" in capsys.readouterr().out
+    assert change_log.as_recorded(spark, c.SILVER_ORDERS).count() == spark.table(c.SILVER_ORDERS.name).count()
+
+
 def test_check_step_lists_every_violation(spark, first_run, capsys):
     before = spark.table("gld_sales.dim_data")
     held = before.count()
