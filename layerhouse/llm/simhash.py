@@ -96,14 +96,15 @@ def _met(fps: DataFrame, distance: int, segments: int | None, hot: int) -> DataF
 
     Two fingerprints within the distance meet in one of these groups at least: of floor(distance / 2) + 1 parts one
     differs in one bit at most, in the whole fingerprint and again in what is left of it. Variants are counted by an aggregate that
-    is joined back, so a crowded one is not gathered in one task. A cut group leaves few bits open, which bounds its size.
+    is joined back, so a crowded one is not gathered in one task; by merging, as Spark would take the 64 variants of a fingerprint
+    for no larger than itself and broadcast them. A cut group leaves few bits open, which bounds its size.
     """
     segments = segments or distance // 2 + 1
     if distance > 2 * segments - 1 or BITS // segments > 32:
         raise ValueError("a part could differ in more than one bit, or is too long to be packed")
     indexed = fps.select("fp", F.explode(_index(fps, segments)).alias("key"))
     shared = indexed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = saved(indexed.join(shared, "key"), "variants")
+    met = saved(indexed.hint("merge").join(shared.hint("merge"), "key"), "variants")
     found = met.filter(F.col("n") <= hot).select("key", F.lit(0).cast("long").alias("finer"), "fp")
     crowded = met.filter(F.col("n") > hot)
     for i in range(segments):
@@ -223,7 +224,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     # id and fingerprint, which keeps apart the texts of one id; the same exchange serves the choice of one row.
     rows = _with_fingerprint(whole_rows(docs), shingle).withColumns({
         "_none": F.col("_row.doc_id").isNull(), "_id": F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(0))})
-    found = rows.join(kept, ["_none", "_id", "_fp"], "left_semi")
+    found = rows.join(kept.hint("merge"), ["_none", "_id", "_fp"], "left_semi")
     once = Window.partitionBy("_none", "_id", "_fp").orderBy(F.col("_row.text"))
     return found.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row.*")
 
