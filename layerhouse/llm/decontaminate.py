@@ -6,26 +6,28 @@ position: the shift table says how far the search may jump, a block that ends so
 to a bucket of patterns by suffix, and the words of each are compared directly.
 
 The benchmark is read in blocks of bounded size; each block is sent to the tasks and all documents are
-searched for it, without a shuffle. Hits of several blocks are merged as intervals in the row.
+searched for it. One block needs neither a shuffle nor a table. For several, the rows are written once with a number for each,
+each block leaves only the rows that it hits, and their intervals are merged by row number.
 """
 
 from __future__ import annotations
 
-
 import uuid
 from collections import defaultdict
+from collections.abc import Iterable
+from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from layerhouse.llm.common import saved, string_bytes, text_column, whole_rows
+from layerhouse.llm.common import saved, string_bytes, text_column, whole_rows, work_dir
 
 #: Bytes that separate words; A-Z becomes a-z. Every byte of a character beyond ASCII belongs to a word.
 FOLD = bytes(
     (c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isascii() and chr(c).isalnum() else 32 for c in range(256))
-STATE = "hits array<struct<start:long,stop:long>>, items array<string>"
+HITS = "row_id long, hits array<struct<start:long,stop:long>>, items array<string>"
 RESULT = "n_words long, n_hit long, items array<string>, contaminated boolean"
 
 
@@ -134,19 +136,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = 13, doc_id: s
     their repetitions, and doc_id may be null and of any type. Without ``text`` the text is a field of doc_id,
     which then holds the whole row.
     """
-    state = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
-    carried = state.schema.fields
-    pending = list_first(blocks(benchmark, block_bytes)) or ([], iter(()))
-    state = state.withColumns({
-        "hits": F.lit(None).cast("array<struct<start:long,stop:long>>"), "items": F.lit(None).cast("array<string>")})
-    while pending:
-        block, following = pending
-        pending = list_first(following)
-        search_block = _pass(docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, block)), size, last=not pending)
-        if not pending:
-            return state.mapInArrow(search_block, StructType([state.schema["doc_id"], *StructType.fromDDL(RESULT).fields]))
-        # One block in a worker's memory at a time.
-        state = saved(state.mapInArrow(search_block, StructType([*carried, *StructType.fromDDL(STATE).fields])), "decontamination")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *([F.col(text).alias("text")] if text else []))
+    first, others = list_first(blocks(benchmark, block_bytes)) or ([], iter(()))
+    second = list_first(others)
+    if second:
+        return _by_blocks(rows, chain([first, second[0]], second[1]), size, block_bytes)
+    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, first))
+    return rows.mapInArrow(_judged(sent, size), StructType([rows.schema["doc_id"], *StructType.fromDDL(RESULT).fields]))
 
 
 def list_first(iterator):
@@ -156,47 +152,109 @@ def list_first(iterator):
     return None
 
 
+def _by_blocks(rows: DataFrame, several: Iterable, size: int, most: int) -> DataFrame:
+    """The rows of :func:`occurrences` for more than one block of the benchmark, one after the other in the workers' memory.
+
+    Rows are named by their place in the written table, as documents may have no id or share one. What the
+    blocks found is sent to all tasks up to ``most`` bytes, as measured, and joined by merging beyond that.
+    """
+    spark = rows.sparkSession
+    counted = rows.mapInArrow(_counted, StructType([*rows.schema.fields, StructField("n_words", LongType())]))
+    rows = saved(counted.withColumn("row_id", F.monotonically_increasing_id()), "decontamination")
+    text = rows["text"] if "text" in rows.columns else rows["doc_id"].getField("text")
+    texts, path = rows.select("row_id", text.alias("text")), work_dir(spark, "hits")
+    for block in several:
+        sent = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
+        texts.mapInArrow(_hits(sent, size), HITS).write.mode("append").option("compression", "zstd").parquet(path)
+        sent.destroy()
+    found = spark.read.schema(HITS).parquet(path).groupBy("row_id").agg(
+        _covered(F.flatten(F.collect_list("hits"))).alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    seen = Observation()
+    found = saved(found.observe(seen, F.sum(F.lit(64) + F.octet_length(F.concat_ws(" " * 16, "items"))).alias("bytes")), "hit-rows")
+    how = "broadcast" if (seen.get["bytes"] or 0) <= most else "merge"
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return rows.select("row_id", "doc_id", "n_words").join(found.hint(how), "row_id", "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+
+
+def _covered(spans: Column) -> Column:
+    """How many words an array of intervals covers, overlaps counted once."""
+    none = F.lit(0).cast("long")
+
+    def add(so_far, span):
+        new = F.greatest(none, span["stop"] - F.greatest(so_far["stop"], span["start"]))
+        return F.struct((so_far["n"] + new).alias("n"), F.greatest(so_far["stop"], span["stop"]).alias("stop"))
+
+    return F.aggregate(F.array_sort(spans), F.struct(none.alias("n"), none.alias("stop")), add, lambda state: state["n"])
+
+
 _TABLES: dict = {}
 
 
-def _pass(block, size: int, last: bool):
-    """Adds the hits of one block to the rows; the last block also counts."""
+def _tables(block, size: int):
+    """Searchers and item names of a block, made once for each worker."""
+    name, items = block.value
+    if _TABLES.get("name") != name:
+        _TABLES.update(name=name, made=searchers(items, size))
+    return _TABLES["made"]
+
+
+def _words(column: pa.Array):
+    data, ends = string_bytes(column)
+    raw = data.tobytes()
+    return (words_of(raw[a:b]) for a, b in zip(ends[:-1], ends[1:]))
+
+
+def _judged(block, size: int):
+    """The result rows by one block that is the whole benchmark."""
 
     def run(batches):
-        name, items_of_block = block.value
-        if _TABLES.get("name") != name:
-            _TABLES.update(name=name, made=searchers(items_of_block, size))
-        tables, names = _TABLES["made"]
+        tables, names = _tables(block, size)
         for batch in batches:
-            data, ends = string_bytes(text_column(batch))
-            raw, hits, items, n_words = data.tobytes(), [], [], []
-            before = zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist())
-            for a, b, (old, had) in zip(ends[:-1], ends[1:], before):
-                words = words_of(raw[a:b])
+            n_words, n_hit, items = [], [], []
+            for words in _words(text_column(batch)):
                 spans, found = search(words, tables)
-                hits.append(merged([*spans, *((x["start"], x["stop"]) for x in old or ())]))
-                items.append(sorted({*(names[i] for i in found if names[i] is not None), *(had or ())}))
                 n_words.append(len(words))
-            if last:
-                yield _digest(batch.column(0), n_words, hits, items)
-            else:
-                hits = [[{"start": s, "stop": e} for s, e in spans] for spans in hits]
-                yield pa.record_batch([
-                    *batch.columns[:-2], pa.array(hits, batch.column("hits").type), pa.array(items, batch.column("items").type)],
-                    names=batch.schema.names)
+                n_hit.append(sum(stop - start for start, stop in spans))
+                items.append(sorted({names[i] for i in found if names[i] is not None}))
+            contaminated = [h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words)]
+            yield pa.record_batch([
+                batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                pa.array(items, pa.list_(pa.string())), pa.array(contaminated, pa.bool_())],
+                names=["doc_id", "n_words", "n_hit", "items", "contaminated"])
 
     return run
 
 
-def _digest(doc_id: pa.Array, n_words: list[int], hits: list, items: list) -> pa.RecordBatch:
-    n_hit = [sum(stop - start for start, stop in spans) for spans in hits]
-    return pa.record_batch([
-        doc_id, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
-        pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words)], pa.bool_())],
-        names=["doc_id", "n_words", "n_hit", "items", "contaminated"])
+def _counted(batches):
+    """Adds the number of words."""
+    for batch in batches:
+        n_words = [len(words) for words in _words(text_column(batch))]
+        yield pa.record_batch([*batch.columns, pa.array(n_words, pa.int64())], names=[*batch.schema.names, "n_words"])
+
+
+def _hits(block, size: int):
+    """(row_id, intervals, items) of the rows that hold a pattern of the block."""
+    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+    def run(batches):
+        tables, names = _tables(block, size)
+        for batch in batches:
+            hit = []
+            for row, words in zip(batch.column(0).to_pylist(), _words(batch.column(1))):
+                spans, found = search(words, tables)
+                if spans:
+                    hit.append((row, [{"start": a, "stop": b} for a, b in spans], [names[i] for i in found if names[i] is not None]))
+            yield pa.record_batch([
+                pa.array([h[0] for h in hit], pa.int64()), pa.array([h[1] for h in hit], spans_type),
+                pa.array([h[2] for h in hit], pa.list_(pa.string()))], names=["row_id", "hits", "items"])
+
+    return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    judged = occurrences(whole_rows(docs), benchmark, size, doc_id="_row", text=None)
+    judged = occurrences(whole_rows(docs), benchmark, size, doc_id="_row", text=None, block_bytes=block_bytes)
     return judged.filter(~F.col("contaminated")).select("doc_id.*")

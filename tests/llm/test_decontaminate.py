@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from layerhouse.llm import decontaminate
 from layerhouse.llm.queries import QUERIES
 from tests.llm.conftest import SF
@@ -65,8 +67,25 @@ def test_odd_rows_short_items_and_blocks(spark, odd_documents):
     assert digest(decontaminate.occurrences(odd_documents, items, block_bytes=120)) == expected
 
 
+@pytest.mark.parametrize("block_bytes,how", [(120, "merge"), (4000, "broadcast")])
+def test_several_blocks_write_the_rows_once(spark, odd_documents, monkeypatch, block_bytes, how):
+    items = bench(spark, [*TEXTS, " ".join(f"w{i}" for i in range(2000))])
+    written, hints = [], []
+    frame, saved = type(odd_documents), decontaminate.saved
+    hint = frame.hint
+    monkeypatch.setattr(decontaminate, "saved", lambda df, purpose: written.append(purpose) or saved(df, purpose))
+    monkeypatch.setattr(frame, "hint", lambda df, name, *more: hints.append(name) or hint(df, name, *more))
+    judged = decontaminate.occurrences(odd_documents, items, block_bytes=block_bytes)
+    assert written.count("decontamination") == 1 and hints == [how]
+    assert digest(judged) == brute(rows(odd_documents, "doc_id", "text"), rows(items, "item_id", "text"))
+    kept, whole = decontaminate.clean(odd_documents, items, block_bytes=block_bytes), decontaminate.clean(odd_documents, items)
+    assert kept.dtypes == whole.dtypes
+    assert sorted(kept.collect(), key=str) == sorted(whole.collect(), key=str)
+
+
 def test_no_rows(spark, no_documents, odd_documents):
     assert decontaminate.occurrences(no_documents, bench(spark, TEXTS)).count() == 0
+    assert decontaminate.occurrences(no_documents, bench(spark, TEXTS), block_bytes=60).count() == 0
     none = decontaminate.occurrences(odd_documents, bench(spark, TEXTS).limit(0))
     assert none.count() == odd_documents.count() and none.filter("n_hit > 0 or contaminated").count() == 0
 
