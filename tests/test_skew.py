@@ -5,6 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from layerhouse.operators import gold, quality, silver
+from layerhouse.session import _bytes, adapt
 
 # Sizes that make a small test look like a large skewed shuffle.
 LOW = {
@@ -75,3 +76,19 @@ def test_many_copies_of_one_key(spark):
     assert kept.filter("k = 0").first().v == 29997
     hot = quality.duplicate_groups(df, ["k"]).first()
     assert (hot.k, hot.n) == (0, 10000)
+
+
+def test_tasks_take_little_of_a_merged_shuffle(spark):
+    """The caller's size for merged partitions is lowered, and kept if it is smaller."""
+    advisory, skewed = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    old = {k: spark.conf.get(k) for k in (advisory, skewed)}
+    try:
+        for given, kept in (("64MB", 16 << 20), ("1g", 16 << 20), ("8m", 8 << 20), ("20000", 20000)):
+            spark.conf.set(advisory, given)
+            spark.conf.set(skewed, "256MB")
+            adapt(spark)
+            assert _bytes(spark.conf.get(advisory)) == kept
+            assert _bytes(spark.conf.get(skewed)) == 64 << 20
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
