@@ -42,18 +42,43 @@ def _drawn(state: DataFrame, group: Sequence[str | Column]) -> DataFrame:
     return single.groupBy(*names, BUCKET).agg(F.bitmap_construct_agg(F.col("_at").cast("bigint")).alias(BITMAP))
 
 
-def merge_states(state: DataFrame, group: Sequence[str | Column]) -> DataFrame:
-    """The state of coarser groups, all as bitmaps, joined bit by bit: no position is counted twice.
+def _sets(state: DataFrame, group: Sequence[str | Column]) -> DataFrame:
+    """Rows (group, bucket, listed, bitmap) of coarser groups: all listed positions, and the bitmaps joined bit by bit.
 
-    It can be merged further and counted. Meant for groups that are far fewer than those of ``state``.
+    Few positions stay a list, so a group with a handful of them in a bucket never costs 4 KB on its way.
     """
     names = state.select(*group).columns
+    at = state.schema[LISTED].dataType.elementType
     given = state.filter(F.col(BITMAP).isNotNull()).select(*group, BUCKET, BITMAP)
-    joined = _drawn(state, group).unionByName(given).groupBy(*names, BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
-    return joined.withColumn(LISTED, F.lit(None).cast("array<smallint>"))
+    joined = given.groupBy(*names, BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
+    single = state.filter(F.col(LISTED).isNotNull()).select(*group, BUCKET, F.explode(LISTED).alias("_at"))
+    both = single.withColumn(BITMAP, F.lit(None).cast("binary")).unionByName(joined.withColumn("_at", F.lit(None).cast(at)))
+    return both.groupBy(*names, BUCKET).agg(
+        F.sort_array(F.collect_set("_at")).alias(LISTED), F.first(BITMAP, ignorenulls=True).alias(BITMAP))
+
+
+def merge_states(state: DataFrame, group: Sequence[str | Column], most_listed: int = MOST_LISTED) -> DataFrame:
+    """The state of coarser groups: no position is counted twice. It can be merged further and counted."""
+    names = state.select(*group).columns
+    sets = _sets(state, group)
+    short = F.col(BITMAP).isNull() & (F.size(LISTED) <= most_listed)
+    large = sets.filter(~short)
+    drawn = _drawn(large, names).unionByName(large.filter(F.col(BITMAP).isNotNull()).select(*names, BUCKET, BITMAP))
+    full = drawn.groupBy(*names, BUCKET).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))
+    few = sets.filter(short)
+    return few.unionByName(full.withColumn(LISTED, F.lit(None).cast(sets.schema[LISTED].dataType)))
 
 
 def distinct_counts(state: DataFrame, group: Sequence[str | Column], name: str) -> DataFrame:
     """The number of distinct positions in each group of a state; the groups may be coarser than the state's."""
     names = state.select(*group).columns
-    return merge_states(state, group).groupBy(*names).agg(F.sum(F.bitmap_count(BITMAP)).alias(name))
+    beside = F.when(F.col(BITMAP).isNull(), F.size(LISTED)).otherwise(
+        F.bitmap_count(BITMAP) + F.size(F.filter(LISTED, lambda at: ~_holds(F.col(BITMAP), at))))
+    return _sets(state, group).groupBy(*names).agg(F.sum(beside).alias(name))
+
+
+def _holds(bitmap: Column, at: Column) -> Column:
+    """Whether the bit of a position is set."""
+    place = at.cast("int")
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, place % 8) == 1

@@ -238,6 +238,23 @@ def test_distinct_states_listed_and_drawn(spark):
     assert distinct.distinct_counts(state.limit(0), ["g"], "n").count() == 0
 
 
+def test_merged_states_of_few_positions_stay_lists(spark):
+    """A bucket with a list and a bitmap has one row; a handful of positions does not become a bitmap of 4 KB."""
+    rows = spark.range(0, 6000, 1, 4).select(F.col("id").alias("pos"), F.when(F.col("id") < 3000, "hot").otherwise(
+        F.concat(F.lit("g"), F.col("id"))).alias("g"), (F.col("id") % 2).alias("half"))
+    rows = rows.unionByName(rows.filter("pos between 2990 and 2999").withColumn("g", F.lit(None).cast("string")))
+    state = distinct.distinct_state(rows, ["g", "half"], "pos")
+    fine = distinct.merge_states(state, ["g"])
+    assert fine.filter("_bitmap is not null").select("g").collect() == [("hot",)]
+    assert fine.filter("_listed is not null").agg(F.count("*"), F.sum(F.size("_listed"))).first() == (3001, 3010)
+    hot = F.coalesce(F.col("g") == "hot", F.col("g").isNull() | (F.col("g") < "g4")).alias("h")
+    coarse = distinct.merge_states(fine, [hot])
+    assert coarse.groupBy("h", "_bucket").count().filter("count > 1").count() == 0
+    plain = lambda df: {r[0]: r[1] for r in df.collect()}
+    want = plain(rows.groupBy(hot).agg(F.count_distinct("pos")))
+    assert plain(distinct.distinct_counts(coarse, ["h"], "n")) == plain(distinct.distinct_counts(fine, [hot], "n")) == want
+
+
 def test_change_feed_of_null_and_repeated_keys(spark):
     old = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k int, v string")
     new = spark.createDataFrame([(None, "a"), (1, "x")], "k int, v string")
