@@ -132,8 +132,9 @@ def touched_days(orders_before: DataFrame, orders: DataFrame, lines_before: Data
         [*line_key, n.order, n.product, n.quantity, n.amount, *[c for c in (n.store,) if c in df.columns]]))
     moved = change_feed(heads(orders_before), heads(orders), order_key).select(n.day)
     changed = change_feed(parts(lines_before), parts(lines), line_key).select(n.order).distinct()
-    of_lines = [changed.join(df.select(n.order, n.day), n.order).select(n.day) for df in (orders_before, orders)]
-    return moved.unionByName(of_lines[0]).unionByName(of_lines[1]).filter(F.col(n.day).isNotNull()).distinct()
+    both = orders_before.select(n.order, n.day).unionByName(orders.select(n.order, n.day))
+    of_lines = changed.join(both, n.order).select(n.day)
+    return moved.unionByName(of_lines).filter(F.col(n.day).isNotNull()).distinct()
 
 
 def rekeyed_days(fact: DataFrame, lines: DataFrame, orders: DataFrame, product_dim: DataFrame, store_dim: DataFrame,
@@ -141,19 +142,22 @@ def rekeyed_days(fact: DataFrame, lines: DataFrame, orders: DataFrame, product_d
     """Days (as ``day_key``) whose rows a new version of a dimension changes, for the fact by current versions.
 
     They hold a surrogate key that is current no more, or lines of a product or store whose current key the
-    fact does not have at all.
+    fact does not have at all. Only the latter lines meet the orders.
     """
     n = names
-    days = None
+    days = sold = None
     for dim, key, sk in ((product_dim, n.product, n.product_sk), (store_dim, n.store, n.store_sk)):
         now = current_versions(dim).select(key, sk)
         left = fact.select(day_key, sk).distinct().join(now.select(sk), sk, "left_anti").select(day_key)
         gained = now.join(fact.select(sk).distinct(), sk, "left_anti").select(key)
-        sold = lines.join(orders, n.order).select(n.day, key).join(gained, key, "left_semi").select(
-            date_key(F.col(n.day)).alias(day_key))
-        found = left.unionByName(sold)
-        days = found if days is None else days.unionByName(found)
-    return days.filter(F.col(day_key).isNotNull()).distinct()
+        # The store may be a column of the lines or of the orders.
+        of_key = (lines if key in lines.columns else orders).select(n.order, key).join(gained, key, "left_semi").select(n.order)
+        if key not in lines.columns:
+            of_key = of_key.join(lines.select(n.order), n.order, "left_semi")
+        days = left if days is None else days.unionByName(left)
+        sold = of_key if sold is None else sold.unionByName(of_key)
+    sold = sold.distinct().join(orders.select(n.order, n.day), n.order).select(date_key(F.col(n.day)).alias(day_key))
+    return days.unionByName(sold).filter(F.col(day_key).isNotNull()).distinct()
 
 
 def of_days(orders: DataFrame, day_keys: Sequence[int], names: SalesColumns = SalesColumns()) -> DataFrame:

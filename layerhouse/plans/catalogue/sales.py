@@ -249,6 +249,13 @@ def fact_rollup_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.distinct_counts(months, [F.year("mese").cast("bigint").alias("anno")], "n_transazioni")
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once, for steps that read them several times."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query(f"WITH {FACT} SELECT * FROM fact")
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first delivery lacks some orders and the lines of the last months, one order stands on another day and a product
@@ -258,8 +265,8 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = order_heads(spark, sf_dir)
     first_orders = orders.filter("order_id % 1000 <> 3").withColumn(
         "data_ordine", F.when(F.col("order_id") % 1000 == 5, F.date_add("data_ordine", -40)).otherwise(F.col("data_ordine")))
-    raw, lines = raw_lines(spark, sf_dir), latest_lines(spark, sf_dir)
-    first_lines = silver.latest_per_key(raw.filter("_ingestion_ts <= DATE '1998-03-01'"), LINE_KEY, line_order())
+    raw, lines = raw_lines(spark, sf_dir), _kept(latest_lines(spark, sf_dir), "lines")
+    first_lines = _kept(silver.latest_per_key(raw.filter("_ingestion_ts <= DATE '1998-03-01'"), LINE_KEY, line_order()), "first_lines")
     products, stores = product_dim(spark, sf_dir), store_dim(spark, sf_dir)
     first_products = products.filter("cod_prodotto <> 7")
     patched.commit(gold.daily_sales_fact(first_lines, first_orders, first_products, stores), contract, part, "first")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from layerhouse.plans.catalogue import QUERIES
 from compare import SF
-from layerhouse.operators import scd
+from layerhouse.operators import gold, scd
 
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
             "FlatMapGroupsInPandas")
@@ -63,3 +63,24 @@ def test_snapshot_history_needs_one_shuffle_by_key(spark):
     log = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("seq"), (F.col("id") % 2).alias("a"),
                                   F.col("id").alias("p"))
     assert plan_of(scd.scd2_history(log, spec, "seq")).count("Exchange hashpartitioning") == 1
+
+
+def test_changed_lines_are_compared_once(spark):
+    """Two feeds, of orders and of lines, are two outer joins; the order heads meet the gained products' lines alone."""
+    heads = spark.range(0, 50).select(F.col("id").alias("order_id"), F.lit("2024-01-01").cast("date").alias("data_ordine"))
+    lines = spark.range(0, 90).select(
+        (F.col("id") % 50).alias("order_id"), F.col("id").alias("line_num"), (F.col("id") % 7).alias("cod_prodotto"),
+        F.lit(1).cast("bigint").alias("pos_id"), F.lit(1).alias("quantita"), F.lit("1.00").cast("decimal(10,2)").alias("importo_riga"))
+    less = lines.filter("line_num <> 3")
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    days = gold.touched_days(heads, heads, less, lines, ["order_id"], ["order_id", "line_num"])
+    assert optimized(days).count("Join FullOuter") == 2 and days.count() == 1
+    products = spark.range(0, 7).select(F.col("id").alias("cod_prodotto"), F.col("id").alias("sk_prodotto"), F.lit(True).alias("is_current"))
+    stores = spark.range(0, 2).select(F.col("id").alias("pos_id"), F.col("id").alias("sk_punto_vendita"), F.lit(True).alias("is_current"))
+    fact = gold.daily_sales_fact(lines, heads, products.filter("cod_prodotto <> 6"), stores).localCheckpoint()
+    rekeyed = gold.rekeyed_days(fact, lines, heads, products, stores)
+    assert optimized(rekeyed).count("Range (0, 50") == 1
+    assert [r[0] for r in rekeyed.collect()] == [20240101]
+    of_store = heads.withColumn("pos_id", F.lit(1).cast("bigint"))
+    assert gold.rekeyed_days(fact, lines.drop("pos_id"), of_store, products, stores).count() == 1
+    assert gold.rekeyed_days(fact, lines, heads, products.filter("cod_prodotto <> 6"), stores).count() == 0
