@@ -119,8 +119,9 @@ NO_NOTICE = (
     "an eclipse of the sun", "the public eclipse party", "use of this file", "see the notes for details", "software license agreement required",
     "public license office", "license office", "a list of licenses", "the bsd port", "cc by mail", "cc me on the mail", "isc meeting")
 #: Words by which licenses are spoken of (fixed values); a line without them, and without a template's triple, is not looked at.
-GATE = (r"licen[cs]|spdx|copyright|rights reserved|public domain|creative commons|\bcc0|\bcc by\b|\bcc-by\b|redistribut|hereby granted|\bgnu\b|\b[al]?gpl"
-        r"|\bmit\b|\bapache\b|\bbsd\b|\bmozilla\b|\bmpl\b|\bisc\b|\beclipse public\b|\bepl\b")
+#: Alternatives share their beginnings: each of them is tried at every character of the corpus.
+GATE = (r"licen[cs]|spdx|c(?:opyright|reative commons)|r(?:ights reserved|edistribut)|public domain|hereby granted"
+        r"|\b(?:cc(?:0|[ -]by\b)|[al]?gpl|(?:gnu|m(?:it|ozilla|pl)|apache|bsd|isc|e(?:clipse public|pl))\b)")
 SAMPLE = 4000
 #: Words on either side of a line's end that a notice across it can hold; more than any template has.
 REACH = 40
