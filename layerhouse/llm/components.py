@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from layerhouse.llm.common import work_dir
+from layerhouse.llm.common import saved, work_dir
 
 BLOCK = 1 << 18
 
@@ -86,8 +86,12 @@ def components(edges: DataFrame) -> DataFrame:
     rounds that grows with the logarithm of the longest chain at most: each task first replaces the edges it reads,
     in blocks, by stars, so short chains and small graphs are done at once. Each round is written to the shared
     folder. Self links, repeated links and links with a null end are ignored; no link, no row.
+
+    The links are written first: where they come from a Python operator, a task would run it and the contraction at once,
+    with two Python workers for each core, and Spark keeps them all, each with what it has loaded.
     """
     edges = edges.filter("u <> v").select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
+    edges = saved(edges, "edges")
     current, mark = _written(edges.mapInArrow(_contracted, "u long, v long").distinct())
     while mark[0]:
         before = mark

@@ -145,7 +145,8 @@ def held_out(doc_id) -> object:
 
 def _below(own: DataFrame, mark, bounds: dict[str, int]) -> DataFrame:
     """Rows with a letter whose mark is at most the bound of their language; others' rows go."""
-    rows = own.sparkSession.createDataFrame(list(bounds.items()), "lang string, bound long")
+    # An Arrow table is read by the JVM; a list would be an RDD of Python's, which starts workers of another kind beside the others.
+    rows = own.sparkSession.createDataFrame(pa.table([pa.array(list(bounds), pa.string()), pa.array(list(bounds.values()), pa.int64())], ["lang", "bound"]))
     near = own.select("text", "lang", mark.alias("mark")).join(F.broadcast(rows), "lang").filter("mark <= bound")
     return near.filter(F.col("text").rlike(r"\p{L}"))
 

@@ -172,6 +172,15 @@ def test_quality_sample_is_of_distinct_texts(spark, monkeypatch):
     assert sizes == [20, 32]
 
 
+def test_bounds_of_the_sample_start_no_python(spark):
+    docs = spark.createDataFrame([("one", "en", 1), ("two", "en", 3), ("drei", "de", 3), ("!", "de", 1), ("un", "fr", 1)], "text string, lang string, m long")
+    found = language._below(docs, F.col("m"), {"en": 2, "de": 9})
+    assert sorted(map(tuple, found.select("text", "lang", "mark").collect())) == [("drei", "de", 3), ("one", "en", 1)]
+    assert language._below(docs, F.col("m"), {}).count() == 0
+    table = spark.range(3).select(F.lit("a").alias("text"), F.lit("en").alias("lang"), F.col("id").alias("m"))
+    assert "RDD" not in language._below(table, F.col("m"), {"en": 2})._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_leader_is_sparse_and_learns():
     draw = np.random.default_rng(1)
     leader = language.Leader(2, l1=0.5)

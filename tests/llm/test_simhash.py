@@ -156,3 +156,16 @@ def test_deduplicate_of_one_id_with_many_texts_makes_no_pairs(spark):
     assert kept.count() == 900 and kept.distinct().count() == 900
     plan = kept._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_no_task_needs_two_python_workers(spark, documents, monkeypatch):
+    """The forest and the first contraction are both Python operators: they run in tasks of their own."""
+    plans, written = [], components.__globals__["_written"]
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().optimizedPlan().toString())
+        return written(edges)
+
+    monkeypatch.setitem(components.__globals__, "_written", seen)
+    assert simhash.groups(documents).count() == documents.count()
+    assert plans and plans[0].count("MapInArrow") == 1
